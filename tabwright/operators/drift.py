@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwright.operators.metrics import share
 from tabwright.operators.running import cuts, exact_quantiles, join_groups, range_of
+from tabwright.session import materialize
 
 # Fixed value: the least share used by the stability index.
 SHARE_FLOOR = 1e-6
@@ -46,7 +48,7 @@ def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str])
         "column", range_of(F.col("value"), F.col("edges")).alias("r"), "value", "p", "q", "np", "nq"
     )
     order = Window.partitionBy("column", "r").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.sum("p").over(order) / F.col("np") - F.sum("q").over(order) / F.col("nq")
+    gap = share(F.sum("p").over(order), F.col("np")) - share(F.sum("q").over(order), F.col("nq"))
     ranges = (
         ranged.withColumn("gap", gap)
         .groupBy("column", "r", "np", "nq")
@@ -59,7 +61,7 @@ def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str])
     )
     earlier = Window.partitionBy("column").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(
-        F.sum("p").over(earlier) / F.col("np") - F.sum("q").over(earlier) / F.col("nq"), F.lit(0.0)
+        share(F.sum("p").over(earlier), F.col("np")) - share(F.sum("q").over(earlier), F.col("nq")), F.lit(0.0)
     )
     reach = F.greatest(F.abs(F.col("before") + F.col("top")), F.abs(F.col("before") + F.col("bottom")))
     return ranges.withColumn("before", before).groupBy("column").agg(F.max(reach).alias("ks"))
@@ -77,16 +79,16 @@ def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> Da
 def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """``(column, psi)`` on bins whose inner edges are the baseline's quantiles; outer bins are open."""
     rows = _tagged(baseline, current, columns, "double")
-    edges = bin_edges(baseline, columns, bins)
+    edges = materialize(bin_edges(baseline, columns, bins), "bin-edges")
     binned = join_groups(rows, edges, ["column"], "drift-edges").select(
         "column", F.size(F.filter("edges", lambda e: F.col("value") > e)).alias("bin"), "is_current"
     )
     counts = binned.groupBy("column", "bin").agg(*_sides())
     every = edges.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     full = every.join(counts, ["column", "bin"], "left").fillna(0, ["p", "q"])
-    whole = Window.partitionBy("column")
-    p = F.greatest(F.col("p") / F.sum("p").over(whole), F.lit(SHARE_FLOOR))
-    q = F.greatest(F.col("q") / F.sum("q").over(whole), F.lit(SHARE_FLOOR))
+    whole = Window.partitionBy("column")  # as many rows as bins
+    p = F.greatest(share(F.col("p"), F.sum("p").over(whole)), F.lit(SHARE_FLOOR))
+    q = F.greatest(share(F.col("q"), F.sum("q").over(whole)), F.lit(SHARE_FLOOR))
     return full.select("column", p.alias("p"), q.alias("q")).groupBy("column").agg(
         F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi")
     )
@@ -101,8 +103,8 @@ def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence
     """``(column, chi_square, total_variation, js_distance)`` over the union of values."""
     counts = _tagged(baseline, current, columns, "string").groupBy("column", "value").agg(*_sides())
     sizes = counts.groupBy("column").agg(F.sum("p").alias("np"), F.sum("q").alias("nq"))
-    cells = counts.join(sizes, "column")
-    p, q = F.col("p") / F.col("np"), F.col("q") / F.col("nq")
+    cells = counts.join(F.broadcast(sizes), "column")  # one row per named column
+    p, q = share(F.col("p"), F.col("np")), share(F.col("q"), F.col("nq"))
     middle = (p + q) / 2
     expected = lambda n: F.col(n) * (F.col("p") + F.col("q")) / (F.col("np") + F.col("nq"))
     surplus = lambda c, n: (F.col(c) - expected(n)) * (F.col(c) - expected(n)) / expected(n)

@@ -86,36 +86,44 @@ def _key_hash(key: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in key])
 
 
-def keyed_join(
+def keyed_join(left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "left", **options) -> DataFrame:
+    """Join ``left`` to ``right``, which has at most one row per key; see :func:`keyed_joins`."""
+    return keyed_joins(left, [(right, how)], key, **options)
+
+
+def keyed_joins(
     left: DataFrame,
-    right: DataFrame,
+    rights: Sequence[tuple[DataFrame, str]],
     key: Sequence[str],
-    how: str = "left",
     skew: str = "auto",
-    hot: Sequence[int] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``left`` to ``right``, which has at most one row per key.
+    """Join several frames, each with at most one row per key, shuffling ``left`` once.
 
-    With ``skew="auto"`` a right side the optimizer will broadcast is joined as
-    it is. Otherwise the rows of hot left keys are spread over ``salts`` tasks
-    and only the right rows of those keys are repeated. ``skew="off"`` leaves
-    everything to adaptive execution; ``skew="salt"`` always looks for hot keys.
+    With ``skew="auto"`` right sides the optimizer will broadcast are joined as
+    they are. For others the rows of hot left keys are spread over ``salts``
+    tasks and only the right rows of those keys are repeated; all joins share
+    that layout. ``skew="off"`` leaves everything to adaptive execution,
+    ``skew="salt"`` always looks for hot keys.
     """
     key = list(key)
-    if skew == "auto":
-        limit = broadcast_limit(left.sparkSession)
-        fits = 0 <= planned_bytes(right) <= limit
-        skew = "off" if fits or left.isStreaming else "salt"
-    if skew == "off":
-        return left.join(right, key, how)
-    hot = hot_keys(left, key) if hot is None else list(hot)
+    shuffled = []
+    limit = broadcast_limit(left.sparkSession)
+    for right, how in rights:
+        if skew == "off" or left.isStreaming or (skew == "auto" and 0 <= planned_bytes(right) <= limit):
+            left = left.join(right, key, how)
+        else:
+            shuffled.append((right, how))
+    hot = hot_keys(left, key) if shuffled else []
     if not hot:
-        return left.join(right, key, how)
+        for right, how in shuffled:
+            left = left.join(right, key, how)
+        return left
+    is_hot = _key_hash(key).isin(*hot)
     # rand() with a seed also separates equal rows, which no hash of the row can
     spread = (F.rand(17) * salts).cast("int")
-    is_hot = _key_hash(key).isin(*hot)
-    salted_left = left.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
+    left = left.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn(_SALT, F.explode(copies))
-    return salted_left.join(salted_right, [*key, _SALT], how).drop(_SALT)
+    for right, how in shuffled:
+        left = left.join(right.withColumn(_SALT, F.explode(copies)), [*key, _SALT], how)
+    return left.drop(_SALT)

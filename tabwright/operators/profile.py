@@ -44,19 +44,6 @@ def value_counts(df: DataFrame, column: str, normalize: bool = False) -> DataFra
     return counts.withColumn("share", F.col("n") / df.agg(F.count("*")).scalar())
 
 
-def categorical_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value, n, share)`` for several columns in one shuffle; nulls left out."""
-    counts = (
-        df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-        .unpivot([], list(columns), "column", "value")
-        .where("value is not null")
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "column").select("column", "value", "n", (F.col("n") / F.col("total")).alias("share"))
-
-
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     """The distinct values, null included."""
     return df.select(column).distinct()

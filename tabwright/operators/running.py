@@ -7,7 +7,6 @@ cuts only decide how work is spread and never change a result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -104,7 +103,3 @@ def exact_quantiles(
         F.max("_n").alias("n"), F.array(*[quantile(p) for p in probabilities]).alias("quantiles")
     )
 
-
-def rank_of(p: float, n: int) -> int:
-    """The 0-based rank of the lower neighbour of a quantile."""
-    return math.floor(p * (n - 1))
