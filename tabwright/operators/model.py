@@ -131,7 +131,8 @@ def wrap_model(
             batch[output] = call(loaded, batch[inputs])
             yield batch
 
-    return df.mapInPandas(run, df.schema.add(output, output_type))
+    schema = T.StructType([*df.schema.fields, T.StructField(output, output_type)])
+    return df.mapInPandas(run, schema)
 
 
 def score_to_table(

@@ -80,7 +80,7 @@ def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> Dat
 
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for ``df``."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:

@@ -29,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, contract: Contract | None = None, t
     else:
         schema = contract.schema(names)
     frame = (
-        spark.read.schema(schema.add(CORRUPT, T.StringType()))
+        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

@@ -58,8 +58,13 @@ def overwrite(df: DataFrame, table: str, path: str | None = None, partition_by:
     """Replace a table, or only the partitions the frame has rows for."""
     spark = df.sparkSession
     if partition_by and spark.catalog.tableExists(table):
-        columns = spark.table(table).columns
-        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        mode = "spark.sql.sources.partitionOverwriteMode"
+        before = spark.conf.get(mode)
+        spark.conf.set(mode, "dynamic")
+        try:
+            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        finally:
+            spark.conf.set(mode, before)
         return
     writer = df.write.format("parquet").mode("overwrite")
     if partition_by:
