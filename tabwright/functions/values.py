@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _WHEN_LIMIT = 16
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+_WHOLE = r"^\s*[+-]?[0-9]{1,19}\s*$"
 
 
 def resolve_chain(corrections: Mapping[Any, Any]) -> dict[Any, Any]:
@@ -52,11 +53,29 @@ def corrected(column: Column, corrections: Mapping[Any, Any], strict: bool = Fal
 
 
 def converted(column: Column, source: T.DataType, target: T.DataType) -> Column:
-    """Conversion that truncates fractions and turns what does not fit into null."""
+    """Conversion that truncates fractions and turns what does not fit into null.
+
+    Ranges are compared before casting: a failing ``try_cast`` raises and
+    catches an error per row, which is many times slower.
+    """
     if source == target:
         return column
     name = target.simpleString()
-    if isinstance(target, _INTEGRAL) and isinstance(source, T.StringType):
-        # "3" and "3.0" are both read as 3; the exact form first keeps long keys exact
-        return F.coalesce(column.try_cast(name), column.try_cast("double").try_cast(name))
+    if type(target) not in _BITS:
+        return column.try_cast(name)
+    if isinstance(source, T.StringType):
+        # "3" and "3.0" both mean 3; whole numbers do not pass through a double
+        whole = F.when(column.rlike(_WHOLE), column.try_cast("bigint"))
+        return F.coalesce(
+            converted(whole, T.LongType(), target), converted(column.try_cast("double"), T.DoubleType(), target)
+        )
+    if isinstance(source, (T.DoubleType, T.FloatType)):
+        end = float(1 << (_BITS[type(target)] - 1))
+        above = column >= -end if isinstance(target, T.LongType) else column > -end - 1
+        return F.when(above & (column < end), column.cast(name))
+    if type(source) in _BITS:
+        if _BITS[type(source)] <= _BITS[type(target)]:
+            return column.cast(name)
+        end = 1 << (_BITS[type(target)] - 1)
+        return F.when(column.between(-end, end - 1), column.cast(name))
     return column.try_cast(name)

@@ -79,14 +79,16 @@ def parse_inference_log(
         F.from_json(fmt.request, fmt.request_schema(record))[fmt.records].alias("_records"),
         F.from_json(fmt.response, fmt.response_schema())[fmt.predictions].alias("_predictions"),
     )
+    # The outer form, then a filter: the inner one would make the optimizer test
+    # the list for emptiness before unfolding it, and so parse every text again.
     unfolded = parsed.select(
         "timestamp",
         fmt.time_ms,
         fmt.request_id,
         fmt.duration_ms,
         "_predictions",
-        F.posexplode("_records").alias("position", "_record"),
-    )
+        F.posexplode_outer("_records").alias("position", "_record"),
+    ).where("position is not null")
     which = F.lit(0) if first_only else F.col("position")
     return unfolded.select(
         "timestamp",

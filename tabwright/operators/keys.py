@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.session import broadcast_limit, planned_bytes
@@ -14,21 +14,15 @@ SALTS = 64
 _SALT = "_salt"
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], method: str = "window") -> DataFrame:
+def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the newest by ``order`` (nulls oldest).
 
-    Both methods keep one row per key and task before the shuffle, so a key
-    with very many rows costs no more than others. ``order`` should name
-    enough columns to leave no ties between different rows.
-
-    ``window`` ranks and filters, which Spark turns into a limit per key on
-    both sides of the shuffle; ``aggregate`` uses ``max_by``.
+    Each task keeps one row per key before the shuffle, so a key with very
+    many rows costs no more than others. ``order`` should name enough columns
+    to leave no ties between different rows.
     """
-    if method == "aggregate":
-        whole = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
-        return df.groupBy(*key).agg(whole).select("_row.*")
-    newest = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    newest = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_row")
+    return df.groupBy(*key).agg(newest).select("_row.*")
 
 
 def check_key(df: DataFrame, key: Sequence[str]) -> DataFrame:

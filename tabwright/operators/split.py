@@ -8,9 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.functions.hashing import HASH_BITS, hash60
+from tabwright.functions.hashing import HASH_DIGITS, hash_bound, key_hash
 
-_FINE_BITS = 16
+_STEP = 4  # digits per round: at most 65,536 ranges
 _SMALL = 100_000
 
 
@@ -21,8 +21,10 @@ def hash_split(
 
     The test share is met on average. All rows of a key fall on one side.
     """
-    chosen = hash60([F.col(k) for k in key], seed) < F.lit(int(test * (1 << HASH_BITS)))
-    return df.where(~chosen), df.where(chosen)
+    hashed = key_hash([F.col(k) for k in key], seed)
+    if test >= 1:
+        return df.where(F.lit(False)), df
+    return df.where(hashed >= hash_bound(test)), df.where(hashed < hash_bound(test))
 
 
 def exact_split(
@@ -35,22 +37,22 @@ def exact_split(
     stay together, so with repeated keys the test part is the smallest whole
     set of keys that reaches the count.
     """
-    hashed = hash60([F.col(k) for k in key], seed)
+    hashed = key_hash([F.col(k) for k in key], seed)
     cut = _cut_value(df.select(hashed.alias("h")), test)
     return df.where(hashed > cut), df.where(hashed <= cut)
 
 
-def _cut_value(hashes: DataFrame, test: float) -> int:
-    """The hash at rank ``ceil(test * rows)``.
+def _cut_value(hashes: DataFrame, test: float) -> str:
+    """The hash at rank ``ceil(test * rows)``, or a text before all hashes for no test rows.
 
     Each round counts rows per range of hashes (at most 65,536 ranges, counted
     before the shuffle) and goes on inside the range that holds the rank.
     """
-    low, bits, below, wanted = 0, HASH_BITS, 0, None
-    while bits:
-        step = max(bits - _FINE_BITS, 0)
-        inside = hashes.where(F.col("h").between(low, low + (1 << bits) - 1))
-        ranges = inside.groupBy(F.shiftright("h", step).alias("r")).agg(F.count("*").alias("n"))
+    prefix, below, wanted = "", 0, None
+    while len(prefix) < HASH_DIGITS:
+        inside = hashes.where(F.col("h").startswith(prefix)) if prefix else hashes
+        digits = min(len(prefix) + _STEP, HASH_DIGITS)
+        ranges = inside.groupBy(F.substring("h", 1, digits).alias("r")).agg(F.count("*").alias("n"))
         counted = ranges.withColumns(
             {
                 "upto": F.sum("n").over(Window.orderBy("r")) + below,
@@ -59,12 +61,12 @@ def _cut_value(hashes: DataFrame, test: float) -> int:
         )
         found = counted.where("upto >= goal").orderBy("r").first()
         if found is None or found["goal"] == 0:
-            return -1
-        low, bits, wanted = found["r"] << step, step, found["goal"]
+            return ""
+        prefix, wanted = found["r"], found["goal"]
         below = found["upto"] - found["n"]
         if found["n"] <= _SMALL:
             break
-    last = hashes.where(F.col("h").between(low, low + (1 << bits) - 1)).groupBy("h").agg(F.count("*").alias("n"))
+    last = hashes.where(F.col("h").startswith(prefix)).groupBy("h").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.orderBy("h")) + below
     return last.withColumn("upto", upto).where(F.col("upto") >= wanted).agg(F.min("h")).first()[0]
 
@@ -85,4 +87,4 @@ def sample_with_replacement(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
 def evaluation_sample(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest key hashes: a repeatable sample of fixed size."""
     columns = [F.col(k) for k in key]
-    return df.orderBy(hash60(columns, seed), *columns).limit(n)
+    return df.orderBy(key_hash(columns, seed), *columns).limit(n)
