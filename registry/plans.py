@@ -175,7 +175,7 @@ DAILY_SQL = quality_sql(MODEL_SQL, "booking_status", "prediction", "second // 86
 
 @query("c7_refresh_monitoring", DAILY_SQL)
 def c7_refresh_monitoring(spark, sf_dir):
-    return flat_quality(_refreshed(spark, sf_dir).quality, ("model_name",))
+    return flat_quality(_refreshed(spark, sf_dir).quality(), ("model_name",))
 
 
 @query(
@@ -184,7 +184,24 @@ def c7_refresh_monitoring(spark, sf_dir):
         AND window_start = (SELECT max(second // 86400 * 86400) FROM ({MONITORING_SQL}))""",
 )
 def c7_refresh_monitoring_alert(spark, sf_dir):
-    return flat_quality(_refreshed(spark, sf_dir).alerts, ("model_name",))
+    return flat_quality(_refreshed(spark, sf_dir).alerts(), ("model_name",))
+
+
+@query(
+    "c7_refresh_monitoring_columns",
+    " UNION ALL ".join(
+        f"""SELECT second // 86400 * 86400 AS window_start, 'rule' AS model_name, '{c}' AS "column", count({c}) AS n,
+                   count(*) - count({c}) AS nulls, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max",
+                   round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, count(DISTINCT {c}) AS "distinct",
+                   round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS median
+            FROM ({MONITORING_SQL}) GROUP BY 1"""
+        for c in ("amount", "guest")
+    ),
+)
+def c7_refresh_monitoring_columns(spark, sf_dir):
+    found = rounded(_refreshed(spark, sf_dir).columns(), "mean", "std", "median")
+    start = F.unix_seconds(F.col("window.start")).alias("window_start")
+    return found.select(start, *[c for c in found.columns if c != "window"])
 
 
 # --- the flagship: payloads to quality windows --------------------------------

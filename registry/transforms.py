@@ -16,11 +16,13 @@ from tabwright.operators.transform import (
     combine,
     correct_values,
     drop_columns,
+    flatten_record,
     from_records_json,
     recode_target,
     rename,
     rename_back,
     select_features,
+    tag_model,
     to_records_json,
 )
 from tabwright.sources.tables import stamp
@@ -175,6 +177,17 @@ def p16_event_time(spark, sf_dir):
     )
 
 
+@query("p13_tag_model", "SELECT c_custkey, 'rule' AS model_name FROM customer")
+def p13_tag_model(spark, sf_dir):
+    return tag_model(table(spark, sf_dir, "customer").select("c_custkey"), "rule")
+
+
+@query("p14_flatten_record", "SELECT c_nationkey, c_custkey AS id, c_acctbal AS balance FROM customer")
+def p14_flatten_record(spark, sf_dir):
+    record = F.struct(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance")).alias("record")
+    return flatten_record(table(spark, sf_dir, "customer").select("c_nationkey", record), "record")
+
+
 @query("p17_records_json", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def p17_records_json(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")

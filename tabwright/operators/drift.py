@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators.metrics import share
-from tabwright.operators.running import cuts, exact_quantiles, join_groups, range_of
+from tabwright.operators.running import exact_quantiles, join_groups, range_edges, range_of
 from tabwright.session import materialize
 
 # Fixed value: the least share used by the stability index.
@@ -39,13 +39,10 @@ def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str])
     """
     rows = _tagged(baseline, current, columns, "double")
     counted = rows.groupBy("column", "value").agg(*_sides())
-    sizes = rows.groupBy("column").agg(
-        cuts(F.col("value")).alias("edges"),
-        F.count_if(~F.col("is_current")).alias("np"),
-        F.count_if("is_current").alias("nq"),
-    )
+    np, nq = _sides()
+    sizes = range_edges(rows, ["column"], "value", np.alias("np"), nq.alias("nq"))
     ranged = join_groups(counted, sizes, ["column"], "drift-cuts").select(
-        "column", range_of(F.col("value"), F.col("edges")).alias("r"), "value", "p", "q", "np", "nq"
+        "column", range_of(F.col("value")).alias("r"), "value", "p", "q", "np", "nq"
     )
     order = Window.partitionBy("column", "r").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     gap = share(F.sum("p").over(order), F.col("np")) - share(F.sum("q").over(order), F.col("nq"))

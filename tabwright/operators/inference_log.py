@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tabwright.functions.dates import event_time
 from tabwright.operators.features import Lookup
 from tabwright.operators.keys import keyed_join, keyed_joins
+from tabwright.operators.transform import flatten_record, tag_model
 
 
 @dataclass(frozen=True)
@@ -90,16 +91,16 @@ def parse_inference_log(
         F.posexplode_outer("_records").alias("position", "_record"),
     ).where("position is not null")
     which = F.lit(0) if first_only else F.col("position")
-    return unfolded.select(
+    scored = unfolded.select(
         "timestamp",
         fmt.time_ms,
         fmt.request_id,
         fmt.duration_ms,
         "position",
-        "_record.*",
+        "_record",
         F.get("_predictions", which).alias("prediction"),
-        F.lit(model_name).alias("model_name"),
     )
+    return tag_model(flatten_record(scored, "_record"), model_name)
 
 
 def dropped_payloads(log: DataFrame, record: T.StructType, fmt: PayloadFormat = PayloadFormat()) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.session import broadcast_if_small, materialize
+from tabwright.session import materialize
 
 BLOCK = 32  # ranges per group: BLOCK * BLOCK + 1
 ACCURACY = 10_000
@@ -29,24 +29,29 @@ def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
 def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], label: str) -> DataFrame:
     """Add per-group columns to rows; ``groups`` has one row per group.
 
-    The groups are written once, so their real size decides whether they are
-    sent to every executor or joined by a shuffle.
+    The groups are written once, so the planner knows their real size: up to
+    its broadcast threshold they are sent to every executor, beyond it they are
+    joined by a shuffle with adaptive skew handling.
     """
     stored = materialize(groups.withColumnsRenamed({name: f"_{name}" for name in by}), label)
-    return rows.join(broadcast_if_small(stored), same(rows, stored, by)).drop(*[f"_{name}" for name in by])
+    return rows.join(stored, same(rows, stored, by)).drop(*[f"_{name}" for name in by])
 
 
-def cuts(value: Column) -> Column:
-    """Approximate quantiles that cut a group into about a thousand ranges."""
+def range_edges(rows: DataFrame, by: Sequence[str], value: str, *extra: Column) -> DataFrame:
+    """``(by..., edges, ends, extra...)``: approximate quantiles that cut each group into about a thousand ranges.
+
+    ``ends`` holds the last edge of every block of edges.
+    """
     n = BLOCK * BLOCK
-    return F.percentile_approx(value, [i / (n + 1) for i in range(1, n + 1)], ACCURACY)
+    quantiles = F.percentile_approx(value, [i / (n + 1) for i in range(1, n + 1)], ACCURACY)
+    ends = F.transform(F.sequence(F.lit(1), F.lit(BLOCK)), lambda j: F.get("edges", j * BLOCK - 1))
+    return rows.groupBy(*by).agg(quantiles.alias("edges"), *extra).withColumn("ends", ends)
 
 
-def range_of(value: Column, edges: Column) -> Column:
-    """How many edges lie below the value, by a search in two steps."""
-    ends = F.transform(F.sequence(F.lit(1), F.lit(BLOCK)), lambda j: F.get(edges, j * BLOCK - 1))
-    block = F.size(F.filter(ends, lambda e: e < value))
-    inside = F.slice(edges, block * BLOCK + 1, F.lit(BLOCK))
+def range_of(value: Column) -> Column:
+    """How many of ``edges`` lie below the value, searched by block and then inside one block."""
+    block = F.size(F.filter("ends", lambda e: e < value))
+    inside = F.slice("edges", block * BLOCK + 1, F.lit(BLOCK))
     return block * BLOCK + F.size(F.filter(inside, lambda e: e < value))
 
 
@@ -62,26 +67,30 @@ def exact_quantiles(
     outside its bracket would fail the job rather than give a wrong value.
     """
     by = list(by)
-    v = F.col(value).cast("double")
-    rows = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     margin = 3.0 / accuracy
-    brackets = [(max(p - margin, 0.0), min(p + margin, 1.0)) for p in probabilities]
+    sides = [max(p - margin, 0.0) for p in probabilities], [min(p + margin, 1.0) for p in probabilities]
+    asked = sorted({p for side in sides for p in side})
 
     def bound(p: float) -> Column:
         if p == 0.0:
-            return F.min("_v")
-        return F.max("_v") if p == 1.0 else F.percentile_approx("_v", p, accuracy)
+            return F.col("_min")
+        return F.col("_max") if p == 1.0 else F.get("_sketch", F.lit(asked.index(p)))
 
     sketch = rows.groupBy(*by).agg(
         F.count("*").alias("_n"),
-        F.array(*[bound(low) for low, _ in brackets]).alias("_low"),
-        F.array(*[bound(high) for _, high in brackets]).alias("_high"),
+        F.min("_v").alias("_min"),
+        F.max("_v").alias("_max"),
+        F.percentile_approx("_v", asked, accuracy).alias("_sketch"),
     )
-    near = F.exists(
-        F.arrays_zip("_low", "_high"), lambda b: (F.col("_v") >= b["_low"]) & (F.col("_v") <= b["_high"])
+    pairs = [F.struct(bound(low).alias("low"), bound(high).alias("high")) for low, high in zip(*sides)]
+    brackets = sketch.select(
+        *by, "_n", F.array(*pairs).alias("_pairs"), F.array(*[bound(p) for p in asked]).alias("_bounds")
     )
-    below = F.array_max(F.filter(F.concat("_low", "_high"), lambda b: b < F.col("_v")))
-    marked = join_groups(rows, sketch, by, "brackets").select(
+    v = F.col("_v")
+    near = F.exists("_pairs", lambda b: (v >= b["low"]) & (v <= b["high"]))
+    below = F.array_max(F.filter("_bounds", lambda b: b < v))
+    marked = join_groups(rows, brackets, by, "brackets").select(
         *by, "_n", near.alias("_near"), F.when(near, F.col("_v")).otherwise(below).alias("_at")
     )
     counted = marked.groupBy(*by, "_n", "_near", "_at").agg(F.count("*").alias("_c"))

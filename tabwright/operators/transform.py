@@ -119,3 +119,18 @@ def limit(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
 def combine(*frames: DataFrame) -> DataFrame:
     """All rows of frames with the same column names, repeats kept."""
     return reduce(DataFrame.unionByName, frames)
+
+
+def preview(df: DataFrame, n: int, order: Sequence[str | Column]) -> list:
+    """The first rows in a stated order, for logs only."""
+    return limit(df, n, order).collect()
+
+
+def tag_model(df: DataFrame, name: str) -> DataFrame:
+    """Add the name of the model that scored the rows."""
+    return df.withColumn("model_name", F.lit(name))
+
+
+def flatten_record(df: DataFrame, column: str) -> DataFrame:
+    """Fields of a struct column as columns of their own."""
+    return df.select(*[c for c in df.columns if c != column], f"{column}.*")

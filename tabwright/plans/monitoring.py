@@ -27,11 +27,26 @@ def build_inference_set(
 
 @dataclass(frozen=True)
 class Monitoring:
-    """Frames of one refresh: quality and column profiles and the breaching rows."""
+    """A monitoring table and its profiles; a profile costs nothing until it is asked for."""
 
-    quality: DataFrame
-    columns: DataFrame
-    alerts: DataFrame
+    rows: DataFrame
+    label: str
+    numeric: tuple[str, ...]
+    granularity: str
+    threshold: float
+    approx: bool
+
+    def quality(self) -> DataFrame:
+        """Quality per window and model."""
+        return quality_profile(self.rows, "timestamp", self.label, "prediction", ["model_name"], self.granularity)
+
+    def columns(self) -> DataFrame:
+        """Column statistics per window and model."""
+        return column_profile(self.rows, "timestamp", self.numeric, ["model_name"], self.granularity, self.approx)
+
+    def alerts(self) -> DataFrame:
+        """Models whose latest window breaches the threshold."""
+        return alert(self.quality(), threshold=self.threshold)
 
 
 def refresh_monitoring(
@@ -53,7 +68,7 @@ def refresh_monitoring(
     approx: bool = False,
     path: str | None = None,
 ) -> Monitoring:
-    """Append new monitoring rows, then profile the table and check the alert.
+    """Append new monitoring rows and offer the profiles and alerts of the table.
 
     Records already in the table are skipped, so a refresh can be repeated. The
     table is partitioned by day; profiles of a period read only its days.
@@ -66,7 +81,4 @@ def refresh_monitoring(
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
-    rows = spark.table(table)
-    quality = quality_profile(rows, "timestamp", label, "prediction", ["model_name"], granularity)
-    columns = column_profile(rows, "timestamp", numeric, ["model_name"], granularity, approx)
-    return Monitoring(quality, columns, alert(quality, threshold=threshold))
+    return Monitoring(spark.table(table), label, tuple(numeric), granularity, threshold, approx)

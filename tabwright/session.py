@@ -6,10 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Aggregates over groups are only handed to every executor below this many rows.
-BROADCAST_ROWS = 200_000
 
 
 def get_session(app: str = "tabwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -69,15 +65,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting a *stored* frame (a footer-only scan).
-
-    Above the bound the frame is returned as it is, so the join becomes a
-    shuffled one and adaptive skew handling applies.
-    """
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
-
-
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
