@@ -8,6 +8,8 @@ cuts only decide how work is spread and never change a result.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,23 +20,20 @@ BLOCK = 32  # ranges per group: BLOCK * BLOCK + 1
 ACCURACY = 10_000
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Join condition on equal names, nulls equal; true when there are none."""
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[name].eqNullSafe(right[f"_{name}"])
-    return condition
-
-
 def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], label: str) -> DataFrame:
     """Add per-group columns to rows; ``groups`` has one row per group.
 
     The groups are written once, so the planner knows their real size: up to
     its broadcast threshold they are sent to every executor, beyond it they are
-    joined by a shuffle with adaptive skew handling.
+    joined by a shuffle with adaptive skew handling. Without grouping columns
+    the single row is read as scalar subqueries.
     """
+    if not by:
+        stored = materialize(groups, label)
+        return rows.withColumns({c: stored.select(c).scalar() for c in stored.columns})
     stored = materialize(groups.withColumnsRenamed({name: f"_{name}" for name in by}), label)
-    return rows.join(stored, same(rows, stored, by)).drop(*[f"_{name}" for name in by])
+    condition = reduce(and_, [rows[name].eqNullSafe(stored[f"_{name}"]) for name in by])
+    return rows.join(stored, condition).drop(*[f"_{name}" for name in by])
 
 
 def range_edges(rows: DataFrame, by: Sequence[str], value: str, *extra: Column) -> DataFrame:

@@ -80,7 +80,8 @@ def create_table(
     """An empty typed table whose key columns are NOT NULL.
 
     ``columns`` is DDL text such as ``"id STRING, n INT"``. The key is kept in
-    the table properties; ``check_key`` tells whether the rows honour it.
+    the table properties; ``insert_select`` refuses nulls in it and
+    ``check_key`` tells whether it is unique.
     """
     fields = [f.strip() for f in columns.split(",")]
     ddl = ", ".join(
@@ -95,8 +96,20 @@ def create_table(
 
 
 def insert_select(source: DataFrame, target: str, columns: Sequence[str]) -> None:
-    """Append a projection of ``source`` to a table with the same columns in the same order."""
-    source.select(*columns).write.insertInto(target)
+    """Append a projection of ``source`` to a table with the same columns in the same order.
+
+    Parquet tables do not enforce NOT NULL, so a null in the declared key fails the job here.
+    """
+    key = table_properties(source.sparkSession, target).get("primary_key", "").split(",")
+    names = dict(zip(columns, source.sparkSession.table(target).columns))
+    source.select(
+        *[
+            F.coalesce(F.col(c), F.raise_error(F.lit(f"null in key {names[c]} of {target}"))).alias(c)
+            if names[c] in key
+            else F.col(c)
+            for c in columns
+        ]
+    ).write.insertInto(target)
 
 
 def set_table_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
