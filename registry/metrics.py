@@ -47,13 +47,13 @@ PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 @query(
     "a2_numeric_profile",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std
+        f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 3) AS mean, round(stddev_samp({c}), 3) AS std
             FROM lineitem"""
         for c in PROFILED
     ),
 )
 def a2_numeric_profile(spark, sf_dir):
-    return rounded(pr.numeric_profile(table(spark, sf_dir, "lineitem"), PROFILED), "mean", "std")
+    return rounded(pr.numeric_profile(table(spark, sf_dir, "lineitem"), PROFILED), "mean", "std", digits=3)
 
 
 @query(
@@ -291,14 +291,14 @@ def a13_alert(spark, sf_dir):
 @query(
     "g2_metric_change",
     f"""SELECT window_start, model, accuracy_score,
-               round(accuracy_score - lag(accuracy_score) OVER (PARTITION BY model ORDER BY window_start), 5) AS change
+               round(accuracy_score - lag(accuracy_score) OVER (PARTITION BY model ORDER BY window_start), 6) AS change
         FROM ({WINDOWS_SQL})""",
 )
 def g2_metric_change(spark, sf_dir):
     quality = pr.quality_profile(judged(spark, sf_dir), "ts", "label", "prediction", ["model"])
     changed = pr.metric_change(quality.withColumn("accuracy_score", F.round("accuracy_score", 6)), "accuracy_score", ["model"])
     start = F.unix_seconds(F.col("window.start").cast("timestamp")).alias("window_start")
-    return changed.select(start, "model", "accuracy_score", F.round("change", 5).alias("change"))
+    return changed.select(start, "model", "accuracy_score", F.round("change", 6).alias("change"))
 
 
 def _hard_auc(prediction: str) -> str:

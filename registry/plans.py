@@ -106,7 +106,7 @@ def c4_refresh_upsert(spark, sf_dir):
     daily = _daily(spark, sf_dir).select("event_id", "value", "day")
     daily.write.option("path", work_dir(spark, "event-features")).saveAsTable(name)
     changed = daily.withColumn("value", F.col("value") + 1)
-    refresh_features(spark, name, [changed], ["event_id", "value"], ["event_id"], "upsert", "day")
+    refresh_features(spark, name, [changed], ["event_id", "value"], ["event_id"], "upsert", "day", work_dir(spark, "states"))
     return spark.table(name).withColumn("day", F.col("day").cast("string"))
 
 

@@ -115,10 +115,10 @@ def s11_upsert_features(spark, sf_dir):
         "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "event_id", "event_type", "value"
     )
     middle = F.lit(1705363200000000)  # 2024-01-16
-    name = fresh_name("latest_event")
+    name, root = fresh_name("latest_event"), work_dir(spark, "states")
     # the later half first, so that the earlier one must not win; then the same rows again
     for part in (events.where(F.col("ts") >= middle), events.where(F.col("ts") < middle), events):
-        upsert_features(spark, name, part, ["user_id"], ["ts", "event_id"])
+        upsert_features(spark, name, part, ["user_id"], ["ts", "event_id"], root)
     return spark.table(name)
 
 

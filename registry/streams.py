@@ -49,9 +49,9 @@ def t2_sync_features(spark, sf_dir):
     events = stream(spark, sf_dir, "events").select(
         "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts"), "event_id", "event_type", "value"
     )
-    name, checkpoint = fresh_name("synced"), work_dir(spark, "checkpoint")
+    name, checkpoint, root = fresh_name("synced"), work_dir(spark, "checkpoint"), work_dir(spark, "states")
     for _ in range(2):  # the second run finds nothing new
-        sync_features(events, name, ["user_id"], ["ts", "event_id"], checkpoint)
+        sync_features(events, name, ["user_id"], ["ts", "event_id"], checkpoint, root)
     return spark.table(name)
 
 

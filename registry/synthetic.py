@@ -23,12 +23,12 @@ def _profile(spark, sf_dir):
 @query(
     "y1_fit_profile_numeric",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std FROM ({FITTED_SQL})"""
+        f"""SELECT '{c}' AS "column", count(*) AS n, round(avg({c}), 3) AS mean, round(stddev_samp({c}), 3) AS std FROM ({FITTED_SQL})"""
         for c in NUMERIC
     ),
 )
 def y1_fit_profile_numeric(spark, sf_dir):
-    return rounded(_profile(spark, sf_dir).numeric, "mean", "std")
+    return rounded(_profile(spark, sf_dir).numeric, "mean", "std", digits=3)
 
 
 @query(

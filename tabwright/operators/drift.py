@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators.metrics import share
-from tabwright.operators.running import exact_quantiles, join_groups, range_edges, range_of
+from tabwright.operators.running import exact_quantiles, join_groups, range_edges, with_range
 from tabwright.session import materialize
 
 # Fixed value: the least share used by the stability index.
@@ -41,9 +43,7 @@ def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str])
     counted = rows.groupBy("column", "value").agg(*_sides())
     np, nq = _sides()
     sizes = range_edges(rows, ["column"], "value", np.alias("np"), nq.alias("nq"))
-    ranged = join_groups(counted, sizes, ["column"], "drift-cuts").select(
-        "column", range_of(F.col("value")).alias("r"), "value", "p", "q", "np", "nq"
-    )
+    ranged = with_range(join_groups(counted, sizes, ["column"], "drift-cuts"), "value").drop("edges")
     order = Window.partitionBy("column", "r").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     gap = share(F.sum("p").over(order), F.col("np")) - share(F.sum("q").over(order), F.col("nq"))
     ranges = (
@@ -77,8 +77,10 @@ def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[s
     """``(column, psi)`` on bins whose inner edges are the baseline's quantiles; outer bins are open."""
     rows = _tagged(baseline, current, columns, "double")
     edges = materialize(bin_edges(baseline, columns, bins), "bin-edges")
+    # one comparison per edge, spelled out so that it stays inside generated code
+    passed = [(F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(bins - 1)]
     binned = join_groups(rows, edges, ["column"], "drift-edges").select(
-        "column", F.size(F.filter("edges", lambda e: F.col("value") > e)).alias("bin"), "is_current"
+        "column", reduce(add, passed).alias("bin"), "is_current"
     )
     counts = binned.groupBy("column", "bin").agg(*_sides())
     every = edges.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.checks import enforce
 from tabwright.operators.keys import check_key, keyed_join, keyed_joins, latest_per_key
-from tabwright.session import materialize, work_dir
+from tabwright.session import materialize
 
 
 @dataclass(frozen=True)
@@ -105,15 +106,22 @@ def newest_rows(current: DataFrame, fresh: DataFrame, key: Sequence[str], order:
 
 
 def upsert_features(
-    spark: SparkSession, table: str, update: DataFrame, key: Sequence[str], order: Sequence[str]
+    spark: SparkSession,
+    table: str,
+    update: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str],
+    root: str | None = None,
 ) -> None:
     """Apply the newest rows to a keyed table; applying the same rows again changes nothing.
 
-    The new state is written beside the old one and the table is then pointed
-    at it, so a failed run leaves the table as it was and readers never see
-    half of a refresh. Single writer per table.
+    The new state is written below ``root`` (the warehouse unless given) and
+    the table is then pointed at it, so a failed run leaves the table as it was
+    and readers never see half of a refresh. Earlier states stay until they are
+    deleted. Single writer per table.
     """
-    state = work_dir(spark, "features")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/states"
+    state = f"{root}/{table}/{uuid.uuid4().hex}"
     if spark.catalog.tableExists(table):
         current = spark.table(table)
         # written once: it is read three times, and its size decides how it is joined

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.running import join_groups, range_edges, range_of
+from tabwright.operators.running import join_groups, range_edges, with_range
 
 
 def share(part: Column, whole: Column) -> Column:
@@ -71,7 +71,7 @@ def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFr
     )
     counted = rows.groupBy(*by, "s").agg(F.count_if(F.col("y") == 1).alias("p"), F.count_if(F.col("y") != 1).alias("q"))
     edges = range_edges(rows, by, "s")
-    ranged = join_groups(counted, edges, by, "score-cuts").select(*by, range_of(F.col("s")).alias("r"), "s", "p", "q")
+    ranged = with_range(join_groups(counted, edges, by, "score-cuts"), "s").select(*by, "r", "s", "p", "q")
     order = Window.partitionBy(*by, "r").orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
     # pairs won by the positives of this score against negatives of its range
     won = F.col("p") * (F.sum("q").over(order) - F.col("q") / F.lit(2.0))

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.session import materialize
 
-BLOCK = 32  # ranges per group: BLOCK * BLOCK + 1
+RANGES = 1024  # per group; a power of two
 ACCURACY = 10_000
 
 
@@ -37,21 +37,23 @@ def join_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], label: st
 
 
 def range_edges(rows: DataFrame, by: Sequence[str], value: str, *extra: Column) -> DataFrame:
-    """``(by..., edges, ends, extra...)``: approximate quantiles that cut each group into about a thousand ranges.
+    """``(by..., edges, extra...)``: approximate quantiles that cut each group into ``RANGES`` ranges."""
+    quantiles = F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], ACCURACY)
+    return rows.groupBy(*by).agg(quantiles.alias("edges"), *extra)
 
-    ``ends`` holds the last edge of every block of edges.
-    """
-    n = BLOCK * BLOCK
-    quantiles = F.percentile_approx(value, [i / (n + 1) for i in range(1, n + 1)], ACCURACY)
-    ends = F.transform(F.sequence(F.lit(1), F.lit(BLOCK)), lambda j: F.get("edges", j * BLOCK - 1))
-    return rows.groupBy(*by).agg(quantiles.alias("edges"), *extra).withColumn("ends", ends)
 
+def with_range(df: DataFrame, value: str, name: str = "r") -> DataFrame:
+    """Add how many of ``edges`` lie below the value, by bisection.
 
-def range_of(value: Column) -> Column:
-    """How many of ``edges`` lie below the value, searched by block and then inside one block."""
-    block = F.size(F.filter("ends", lambda e: e < value))
-    inside = F.slice("edges", block * BLOCK + 1, F.lit(BLOCK))
-    return block * BLOCK + F.size(F.filter(inside, lambda e: e < value))
+    One projection per step keeps the search inside generated code.
+    """
+    df = df.withColumn(name, F.lit(0))
+    step = RANGES // 2
+    while step:
+        ahead = F.get("edges", F.col(name) + (step - 1)) < F.col(value)
+        df = df.withColumn(name, F.col(name) + F.when(ahead, step).otherwise(0))
+        step //= 2
+    return df
 
 
 def exact_quantiles(
@@ -71,26 +73,24 @@ def exact_quantiles(
     sides = [max(p - margin, 0.0) for p in probabilities], [min(p + margin, 1.0) for p in probabilities]
     asked = sorted({p for side in sides for p in side})
 
-    def bound(p: float) -> Column:
-        if p == 0.0:
-            return F.col("_min")
-        return F.col("_max") if p == 1.0 else F.get("_sketch", F.lit(asked.index(p)))
-
     sketch = rows.groupBy(*by).agg(
         F.count("*").alias("_n"),
         F.min("_v").alias("_min"),
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", asked, accuracy).alias("_sketch"),
     )
-    pairs = [F.struct(bound(low).alias("low"), bound(high).alias("high")) for low, high in zip(*sides)]
-    brackets = sketch.select(
-        *by, "_n", F.array(*pairs).alias("_pairs"), F.array(*[bound(p) for p in asked]).alias("_bounds")
-    )
+    names = {p: f"_b{i}" for i, p in enumerate(asked)}  # bounds in ascending order
+    ends = {0.0: F.col("_min"), 1.0: F.col("_max")}
+    bounds = [ends.get(p, F.get("_sketch", F.lit(i))).alias(names[p]) for i, p in enumerate(asked)]
+    joined = join_groups(rows, sketch.select(*by, "_n", *bounds), by, "brackets")
+
     v = F.col("_v")
-    near = F.exists("_pairs", lambda b: (v >= b["low"]) & (v <= b["high"]))
-    below = F.array_max(F.filter("_bounds", lambda b: b < v))
-    marked = join_groups(rows, brackets, by, "brackets").select(
-        *by, "_n", near.alias("_near"), F.when(near, F.col("_v")).otherwise(below).alias("_at")
+    near = reduce(or_, [(v >= F.col(names[low])) & (v <= F.col(names[high])) for low, high in zip(*sides)])
+    below = F.when(v > F.col(names[asked[-1]]), F.col(names[asked[-1]]))
+    for p in reversed(asked[:-1]):
+        below = below.when(v > F.col(names[p]), F.col(names[p]))
+    marked = joined.withColumn("_near", near).select(
+        *by, "_n", "_near", F.when(F.col("_near"), v).otherwise(below).alias("_at")
     )
     counted = marked.groupBy(*by, "_n", "_near", "_at").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*by).orderBy(F.col("_at").asc_nulls_first(), F.col("_near").desc())

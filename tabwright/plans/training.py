@@ -41,6 +41,7 @@ def refresh_features(
     key: Sequence[str] = (),
     mode: str = "append",
     stamp_column: str = STAMP,
+    root: str | None = None,
 ) -> None:
     """Take over the newest batch of every source.
 
@@ -54,7 +55,7 @@ def refresh_features(
             insert_select(newest, table, columns)
         else:
             names = list(dict.fromkeys([*columns, stamp_column]))
-            upsert_features(spark, table, newest.select(*names), key, [stamp_column])
+            upsert_features(spark, table, newest.select(*names), key, [stamp_column], root)
 
 
 @dataclass(frozen=True)

@@ -50,8 +50,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return f"{shared_dir(spark)}/tabwright/{label}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing path below the shared folder.
+
+    All paths of one application lie in one folder, which can be deleted when
+    the application has ended.
+    """
+    return f"{shared_dir(spark)}/tabwright/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

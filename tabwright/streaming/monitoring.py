@@ -67,16 +67,19 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def sync_features(stream: DataFrame, table: str, key: Sequence[str], order: Sequence[str], checkpoint: str) -> None:
+def sync_features(
+    stream: DataFrame, table: str, key: Sequence[str], order: Sequence[str], checkpoint: str, root: str | None = None
+) -> None:
     """Apply new rows of a stream to a keyed table, then stop.
 
     A micro-batch that is run twice leaves the table as running it once does,
-    because the newest row per key wins.
+    because the newest row per key wins. Every micro-batch writes the table
+    anew, so leave the source unlimited: one run is then one micro-batch.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            upsert_features(batch.sparkSession, table, batch, key, order)
+            upsert_features(batch.sparkSession, table, batch, key, order, root)
 
     query = (
         stream.writeStream.foreachBatch(apply)
