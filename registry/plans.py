@@ -124,10 +124,14 @@ def c5_build_inference_set(spark, sf_dir):
 
 @query("c6_train_and_compare")
 def c6_train_and_compare(spark, sf_dir):
+    """Feature table from both splits, refreshed by appending, then training with lookups from it."""
     state = prepare(bookings(spark, sf_dir), BOOKINGS)
     train, test = split(state, "booking_id")
+    name = fresh_name("features")
+    columns = "booking_id STRING, repeated_guest SMALLINT, no_of_weekend_nights SMALLINT"
     looked_up = ("repeated_guest", "no_of_weekend_nights")
-    lookup = Lookup(state.df, ("booking_id",), looked_up, unique=True)
+    build_features(spark, name, [train, test], columns, ["booking_id"], work_dir(spark, "features"))
+    refresh_features(spark, name, [train], ["booking_id", *looked_up], stamp_column="date_of_booking")
     result = train_and_compare(
         train.drop("lead_time", *looked_up),
         test.drop("lead_time", *looked_up),
@@ -135,7 +139,7 @@ def c6_train_and_compare(spark, sf_dir):
         BOOKINGS.numeric_features,
         BOOKINGS.categorical_features,
         "booking_id",
-        [lookup],
+        [Lookup(spark.table(name), ("booking_id",), looked_up)],
         {"lead_time": lead_time(F.col("date_of_arrival"), F.col("date_of_booking"))},
         PARAMETERS,
         latest=lambda df: df.withColumn("prediction", (F.col("avg_price_per_room") > 250000).cast("int")),

@@ -37,6 +37,11 @@ def empty_count() -> list[tuple[str, str, Column]]:
     return [("not_empty", "*", F.when(F.count(F.lit(1)) == 0, 1).otherwise(0))]
 
 
+def malformed_count(column: str) -> list[tuple[str, str, Column]]:
+    """Records whose text was kept because they did not fit the read schema."""
+    return [("well_formed", column, F.count(_quoted(column)))]
+
+
 def loss_counts(df: DataFrame, types: Mapping[str, T.DataType]) -> list[tuple[str, str, Column]]:
     """Values per column that a conversion would turn into null."""
     source = {f.name: f.dataType for f in df.schema.fields}

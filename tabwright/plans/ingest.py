@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from tabwright.contract import Contract, ContractViolation, check_present_after, check_required, check_types
 from tabwright.functions.dates import booking_date, normalize_date
-from tabwright.operators.checks import check_all, enforce
+from tabwright.operators.checks import check_all, empty_count, enforce, malformed_count, null_counts, report
 from tabwright.operators.split import exact_split, hash_split
 from tabwright.operators.transform import TARGET_CODES, cast, partition_by_predicate, recode_target, rename
 from tabwright.session import materialize
-from tabwright.sources.files import read_csv, well_formed
+from tabwright.sources.files import CORRUPT, read_csv
 from tabwright.sources.tables import append_stamped
 
 
@@ -108,13 +108,15 @@ def ingest(
 
     ``extra`` holds the rows outside the segment. The text is parsed and
     prepared once; checks and the three writes work on that result, and one
-    timestamp stands for the whole run.
+    timestamp stands for the whole run. A record that does not fit the header,
+    a null in any column or an empty file stops the run before anything is
+    written.
     """
-    raw = well_formed(read_csv(spark, path, contract, typed=False))
-    state = prepare(raw, contract, dates, codes, check=False)
-    stored = Prepared(materialize(state.df, "prepared"), contract)
-    enforce(check_all(stored.df))
-    wanted, extra = partition_by_predicate(stored.df, F.col(segment[0]) == segment[1])
+    state = prepare(read_csv(spark, path, contract, typed=False), contract, dates, codes, check=False)
+    stored = materialize(state.df, "prepared")
+    clean = stored.drop(CORRUPT)
+    enforce(report(stored, empty_count() + malformed_count(CORRUPT) + null_counts(clean)))
+    wanted, extra = partition_by_predicate(clean, F.col(segment[0]) == segment[1])
     train, held_out = split(Prepared(wanted, contract), key, test, seed)
     ts = ts or datetime.now(timezone.utc)
     for name, part in (("train", train), ("test", held_out), ("extra", extra)):

@@ -9,7 +9,7 @@ from tabwright.contract import ContractViolation
 from tabwright.operators import synth
 from tabwright.operators.checks import cast_losses, enforce
 from tabwright.operators.transform import partition_by_predicate
-from tabwright.plans.ingest import Prepared, check_processed, check_unprocessed, prepare, split
+from tabwright.plans.ingest import Prepared, check_processed, check_unprocessed, ingest, prepare, split
 from tabwright.session import shared_dir, work_dir
 from tabwright.sources import tables as tb
 from tabwright.sources.files import CORRUPT, read_csv, well_formed, write_csv
@@ -44,6 +44,25 @@ def test_csv_errors(spark, tmp_path):
             read_csv(spark, str(tmp_path / name))
 
 
+def test_ingest_stops_at_a_malformed_record(spark, sf_dir, tmp_path):
+    rows = bookings(spark, sf_dir).limit(5).collect()
+    names = rows[0].asDict()
+    lines = [",".join(names), *[",".join(str(r[n]) for n in names) for r in rows]]
+    path = tmp_path / "bookings.csv"
+
+    def run():
+        tables = {part: fresh_name(part) for part in ("train", "test", "extra")}
+        places = {part: work_dir(spark, part) for part in tables}
+        made = ingest(spark, str(path), BOOKINGS, tables, "booking_id", ("market_segment_type", "Online"), locations=places)
+        return sum(spark.table(name).count() for name in made.values())
+
+    path.write_text("\n".join(lines))
+    assert run() == 5
+    path.write_text("\n".join([*lines, "B9,1,2"]))
+    with pytest.raises(ContractViolation, match="well_formed"):
+        run()
+
+
 def test_versions_and_properties(spark):
     name = fresh_name("t")
     assert tb.data_version(spark, name) is None
