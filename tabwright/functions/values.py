@@ -64,11 +64,11 @@ def converted(column: Column, source: T.DataType, target: T.DataType) -> Column:
     if type(target) not in _BITS:
         return column.try_cast(name)
     if isinstance(source, T.StringType):
-        # "3" and "3.0" both mean 3; whole numbers do not pass through a double
-        whole = F.when(column.rlike(_WHOLE), column.try_cast("bigint"))
-        return F.coalesce(
-            converted(whole, T.LongType(), target), converted(column.try_cast("double"), T.DoubleType(), target)
-        )
+        # "3" and "3.0" both mean 3; only whole numbers of 64 bits need more than a double
+        number = converted(column.try_cast("double"), T.DoubleType(), target)
+        if not isinstance(target, T.LongType):
+            return number
+        return F.when(column.rlike(_WHOLE), column.try_cast("bigint")).otherwise(number)
     if isinstance(source, (T.DoubleType, T.FloatType)):
         end = float(1 << (_BITS[type(target)] - 1))
         above = column >= -end if isinstance(target, T.LongType) else column > -end - 1

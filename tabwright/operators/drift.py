@@ -79,7 +79,7 @@ def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[s
     edges = materialize(bin_edges(baseline, columns, bins), "bin-edges")
     # one comparison per edge, spelled out so that it stays inside generated code
     passed = [(F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(bins - 1)]
-    binned = join_groups(rows, edges, ["column"], "drift-edges").select(
+    binned = rows.join(F.broadcast(edges), "column").select(  # one row per named column
         "column", reduce(add, passed).alias("bin"), "is_current"
     )
     counts = binned.groupBy("column", "bin").agg(*_sides())

@@ -8,11 +8,13 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.contract import Contract
 from tabwright.functions.records import from_record, to_record
 from tabwright.functions.values import converted, corrected
 
+_NARROW = (T.ByteType, T.ShortType, T.IntegerType)  # every value has an exact double
 # Codes of the booking status.
 TARGET_CODES = {"Canceled": 1, "Not_Canceled": 0}
 
@@ -28,8 +30,19 @@ def rename_back(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def cast(df: DataFrame, contract: Contract) -> DataFrame:
-    """Convert to the declared types in one projection; a category keeps an integer code."""
+    """Convert to the declared types without a shuffle; a category keeps an integer code.
+
+    Text for narrow integers becomes a double in a projection of its own, so
+    that it is parsed once however often the range checks look at it.
+    """
     declared = {c.alias: c for c in contract.columns}
+    parsed = {
+        f.name: F.col(f"`{f.name}`").try_cast("double")
+        for f in df.schema.fields
+        if f.name in declared and isinstance(f.dataType, T.StringType) and isinstance(declared[f.name].spark_type, _NARROW)
+    }
+    if parsed:
+        df = df.select(*[parsed[c].alias(c) if c in parsed else F.col(f"`{c}`") for c in df.columns])
     fields = []
     for f in df.schema.fields:
         column = F.col(f"`{f.name}`")
