@@ -124,7 +124,11 @@ def _with_second(df):
     return df.withColumn("second", F.unix_seconds("timestamp"))
 
 
-@query("j5_parse_inference_log", f"SELECT {', '.join(PARSED)}, 'rule' AS model_name FROM ({PARSED_SQL})")
+@query(
+    "j5_parse_inference_log",
+    f"""SELECT * REPLACE (CAST(prediction AS BIGINT) AS prediction)
+        FROM (SELECT {', '.join(PARSED)}, 'rule' AS model_name FROM ({PARSED_SQL}))""",
+)
 def j5_parse_inference_log(spark, sf_dir):
     parsed = parse_inference_log(inference_log(table(spark, sf_dir, "events")), RECORD, "rule")
     return _with_second(parsed).select(*PARSED, "model_name")
@@ -208,9 +212,9 @@ def j7_lookup_keys(spark, sf_dir):
 @query(
     "j8_new_only",
     """SELECT c_custkey, c_name FROM customer
-       WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 100000)""",
+       WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""",
 )
 def j8_new_only(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    orders = table(spark, sf_dir, "orders").where("o_totalprice > 100000").withColumnRenamed("o_custkey", "c_custkey")
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 400000").withColumnRenamed("o_custkey", "c_custkey")
     return new_only(customer, orders, ["c_custkey"])

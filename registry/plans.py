@@ -38,7 +38,8 @@ from tabwright.sources.tables import append_stamped
 
 DATES = ("date_of_arrival", "date_of_booking")
 PREPARED = [*(c.alias for c in BOOKINGS.columns), *DATES]
-PREPARED_TEXT_SQL = f"SELECT * REPLACE ({', '.join(f'CAST({d} AS VARCHAR) AS {d}' for d in DATES)}) FROM ({PREPARED_SQL})"
+_TYPES = {d: "VARCHAR" for d in DATES} | {c.alias: "SMALLINT" for c in BOOKINGS.numeric if c.dtype == "int16"}
+PREPARED_TEXT_SQL = f"SELECT * REPLACE ({', '.join(f'CAST({c} AS {t}) AS {c}' for c, t in _TYPES.items())}) FROM ({PREPARED_SQL})"
 RUN_TIME = datetime(2024, 2, 1, 6, 0)
 
 
