@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tabwright.session import broadcast_limit, planned_bytes
+from tabwright.session import broadcast_limit, materialize, planned_bytes
 
 HOT_SHARE = 0.001
 SALTS = 64
@@ -99,6 +100,9 @@ def keyed_joins(
     tasks and only the right rows of those keys are repeated; all joins share
     that layout. ``skew="off"`` leaves everything to adaptive execution,
     ``skew="salt"`` always looks for hot keys.
+
+    Where a row goes depends on its content alone, so a task that is run again
+    after a loss sends every row where it went before.
     """
     key = list(key)
     shuffled = []
@@ -114,8 +118,14 @@ def keyed_joins(
             left = left.join(right, key, how)
         return left
     is_hot = _key_hash(key).isin(*hot)
-    # rand() with a seed also separates equal rows, which no hash of the row can
-    spread = (F.rand(17) * salts).cast("int")
+    content = [f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    if hot_keys(left.where(is_hot), content):
+        # Many equal rows, which no hash of the row can separate: draw by position.
+        # Positions in a written table are the same however often a task runs.
+        left = materialize(left, "copies")
+        spread = (F.rand(17) * salts).cast("int")
+    else:
+        spread = F.pmod(_key_hash(content), F.lit(salts)).cast("int")
     left = left.withColumn(_SALT, F.when(is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     for right, how in shuffled:

@@ -34,14 +34,17 @@ def test_skewed_join(spark, skewed, how, skew):
     assert joined.columns == ["k", "v", "f"]
 
 
-def test_hot_rows_are_spread(spark, skewed):
+@pytest.mark.parametrize("columns", [["k", "v"], ["k"]])
+def test_hot_rows_are_spread(spark, skewed, columns):
+    """Also when the rows of the hot key are all equal."""
     right = spark.range(997).select(F.col("id").alias("k"), F.col("id").alias("f"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     adaptive = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = ks.keyed_join(skewed, right, ["k"])
+        joined = ks.keyed_join(skewed.select(*columns), right, ["k"])
+        assert joined.where("k <> f").isEmpty()
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 30000
         assert max(sizes) < 0.3 * 30000  # the hot key alone would be a third in one task
