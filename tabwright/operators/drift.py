@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tabwright.operators.metrics import share
 from tabwright.operators.running import exact_quantiles, join_groups, range_edges, with_range
-from tabwright.session import materialize
 
 # Fixed value: the least share used by the stability index.
 SHARE_FLOOR = 1e-6
@@ -74,16 +73,25 @@ def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> Da
 
 
 def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """``(column, psi)`` on bins whose inner edges are the baseline's quantiles; outer bins are open."""
-    rows = _tagged(baseline, current, columns, "double")
-    edges = materialize(bin_edges(baseline, columns, bins), "bin-edges")
-    # one comparison per edge, spelled out so that it stays inside generated code
-    passed = [(F.col("value") > F.get("edges", F.lit(i))).cast("int") for i in range(bins - 1)]
-    binned = rows.join(F.broadcast(edges), "column").select(  # one row per named column
-        "column", reduce(add, passed).alias("bin"), "is_current"
-    )
-    counts = binned.groupBy("column", "bin").agg(*_sides())
-    every = edges.select("column", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    """``(column, psi)`` on bins whose inner edges are the baseline's quantiles; outer bins are open.
+
+    The edges, a few numbers per named column, become literals, so that bins
+    are found by plain comparisons in the scan and only counts are shuffled.
+    """
+    edges = {r["column"]: r["edges"] for r in bin_edges(baseline, columns, bins).collect()}
+    known = [c for c in columns if c in edges]  # a column without baseline values has no bins
+
+    def binned(df: DataFrame, side: bool) -> DataFrame:
+        passed = {c: [(F.col(c).cast("double") > e).cast("int") for e in edges[c]] for c in known}
+        wide = df.select(*[reduce(add, passed[c]).alias(c) for c in known])
+        long = wide.unpivot([], known, "column", "bin").where("bin is not null")
+        return long.withColumn("is_current", F.lit(side))
+
+    if not known:
+        return _nothing(baseline, "column string, psi double")
+    counts = binned(baseline, False).unionByName(binned(current, True)).groupBy("column", "bin").agg(*_sides())
+    names = F.explode(F.array(*[F.lit(c) for c in known])).alias("column")
+    every = baseline.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), names)
     full = every.join(counts, ["column", "bin"], "left").fillna(0, ["p", "q"])
     whole = Window.partitionBy("column")  # as many rows as bins
     p = F.greatest(share(F.col("p"), F.sum("p").over(whole)), F.lit(SHARE_FLOOR))
@@ -93,6 +101,10 @@ def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[s
     )
 
 
+def _nothing(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def numeric_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """``(column, ks, psi)``."""
     return ks_distance(baseline, current, columns).join(stability_index(baseline, current, columns, bins), "column")

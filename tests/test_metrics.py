@@ -137,3 +137,15 @@ def test_approximate_profile_is_near(spark):
     exact = pr.column_profile(df, "ts", ["x"]).first()
     assert near["mean"] == exact["mean"] and exact["distinct"] == 5000 and exact["median"] == 2499.5
     assert abs(near["distinct"] - 5000) < 500 and abs(near["median"] - 2499.5) < 5
+
+
+def test_stability_index_equals_brute_force(spark):
+    rng = np.random.default_rng(9)
+    p, q = rng.normal(size=4000), np.concatenate([np.full(1500, 0.25), rng.normal(0.5, size=3000)])
+    frame = lambda xs: spark.createDataFrame([(float(x), None) for x in xs], "x double, y double")
+    edges = np.quantile(p, np.arange(1, 10) / 10)
+    a, b = (np.bincount(np.searchsorted(edges, xs), minlength=10) / len(xs) for xs in (p, q))
+    a, b = np.maximum(a, 1e-6), np.maximum(b, 1e-6)
+    found = {r["column"]: r["psi"] for r in dr.stability_index(frame(p), frame(q), ["x", "y"]).collect()}
+    assert set(found) == {"x"} and abs(found["x"] - ((b - a) * np.log(b / a)).sum()) < 1e-9
+    assert dr.stability_index(frame(p), frame(q), ["y"]).isEmpty()
