@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tabwright.llm.rows import slices
+from tabwright.llm.rows import id_and_text, slices
 
 #: Entries of a worker's table of pieces already encoded; a full table starts anew.
 CACHE = 400_000
@@ -170,48 +171,41 @@ def _byte_coder(spec: bytes) -> ByteCoder:
     return ByteCoder(spec)
 
 
-def _added(df: DataFrame, column: str, kind: str, apply) -> DataFrame:
-    """``df`` with a column from ``apply(batch) -> arrow array``."""
-    if column in df.columns:
-        raise ValueError(f"{column} is there already")
-    schema = df.schema.add(column, kind)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield from apply(batch)
-
-    return df.mapInArrow(run, schema)
-
-
-def bpe_encode(docs: DataFrame, tokenizer: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with the ids of each text as packed little-endian unsigned 32-bit integers.
+def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, ids`` of every row: the ids of its text, packed as little-endian unsigned 32-bit integers.
 
     ``tokenizer`` is the path of a byte-level tokenizer file, read on the driver (a few
     MB at most) and sent with the function. Strings of special tokens in a text become
-    their ids, none are added, nothing is cut. A null or empty text gives no ids; rows
-    are independent, so repeated rows give repeated results and an empty table none.
-    Other columns pass unchanged; ``out_col`` must not be among them.
+    their ids, none are added, nothing is cut. A null or empty text gives no ids, a null
+    id stays null; rows are independent, so repeated rows give repeated results and an
+    empty table none. Other columns play no part, whatever their names.
     """
     spec = Path(tokenizer).read_bytes()
+    frame = id_and_text(docs, id_col, text_col)
 
-    def apply(batch):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _byte_coder(spec)
-        for part in slices(batch, text_col):
-            ids = [coder.encode(t or "") for t in part.column(text_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.binary())], [*part.schema.names, out_col])
+        for batch in batches:
+            for part in slices(batch):
+                ids = [coder.encode(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
 
-    return _added(docs, out_col, "binary", apply)
+    return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary")
 
 
-def bpe_decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
-    """``docs`` with the text of each row's packed ids; null ids give the empty text."""
+def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
+    """``id, ids, text`` of every row: the text that its packed ids stand for; null ids give the empty text."""
     spec = Path(tokenizer).read_bytes()
+    frame = encoded.select(
+        encoded[f"`{id_col}`"].alias("id"), F.coalesce(encoded[f"`{ids_col}`"], F.lit(b"")).alias("ids")
+    )
 
-    def apply(batch):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _byte_coder(spec)
-        for start in range(0, batch.num_rows, 64):
-            part = batch.slice(start, 64)
-            texts = [coder.decode(i or b"") for i in part.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, out_col])
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                texts = [coder.decode(i) for i in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["id", "ids", "text"])
 
-    return _added(docs, out_col, "string", apply)
+    return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary, text string")

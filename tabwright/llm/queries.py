@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import bpe_decode, bpe_encode
 from tabwright.llm.exact_dedup import exact_duplicates
-from tabwright.llm.rows import id_and_text, read_table
+from tabwright.llm.rows import read_table
 from tabwright.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,13 +31,12 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 @_query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
-    docs = id_and_text(read_table(spark, sf_dir, "documents"))
-    both = bpe_decode(bpe_encode(docs, path).select("id", "ids"), path)
+    both = bpe_decode(bpe_encode(read_table(spark, sf_dir, "documents"), path), path)
     return both.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
