@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import bpe_decode, bpe_encode
 from tabwright.llm.exact_dedup import exact_duplicates
+from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
 from tabwright.llm.token_counts import count_tokens
 
@@ -28,6 +29,27 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+#: From this score on a document counts as good.
+GOOD = 0.3
+
+
+def held_out(id_col: str = "doc_id"):
+    """A fifth of the ids: their labels are never learned from."""
+    return F.crc32(F.col(id_col).cast("string")) % 5 == 0
+
+
+@_query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = score(docs, fit(docs, labels.where(~held_out())))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 @_query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
