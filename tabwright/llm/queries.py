@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import bpe_decode, bpe_encode
 from tabwright.llm.exact_dedup import exact_duplicates
+from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
 from tabwright.llm.token_counts import count_tokens
@@ -50,6 +51,23 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+@_query("op5_personal_data")
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda m: ~m["added"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[F.size(F.filter(base, _of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.size(F.filter("spans", lambda m: m["added"])).cast("long").alias("n_added"),
+        F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"),
+        spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 @_query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
