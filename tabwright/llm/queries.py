@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm.bpe import bpe_decode, bpe_encode
+from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
@@ -96,3 +97,17 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(read_table(spark, sf_dir, "documents"), digest=True)
     return found.withColumnsRenamed({"id": "doc_id", "digest": "text_sha256"})
+
+
+@_query("op10_benchmark_decontamination")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    ids = docs.select(docs["doc_id"].alias("id"))
+    return ids.join(found, "id", "left").select(
+        F.col("id").alias("doc_id"),
+        F.col("n_items").isNotNull().alias("contaminated"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
+        F.col("item").alias("item_id"),
+        F.coalesce("covered_share", F.lit(0.0)).alias("covered_share"),
+    )

@@ -11,6 +11,9 @@ _STEP = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: All bytes but ASCII letters, digits and those of other letters.
+SIGNS = np.ones(256, bool)
+SIGNS[48:58] = SIGNS[65:91] = SIGNS[97:123] = SIGNS[128:] = False
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -38,12 +41,14 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def spans(
+    data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text the index of its first word (one more than texts).
 
-    A word is a run of bytes other than blank, tab and line ends; it never crosses texts.
+    A word is a run of bytes other than ``gaps`` (blank, tab and line ends); it never crosses texts.
     """
-    inside = ~SPACE[data]
+    inside = ~gaps[data]
     begin, finish = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     finish[:-1] &= ~inside[1:]
@@ -74,10 +79,10 @@ def span_hashes(codes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: n
     return mix(out + (ends - starts).astype(np.uint64))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (A-Z as a-z when ``lower``) and the index of each text's first word."""
-    starts, ends, first = spans(data, offsets)
-    return span_hashes(_LOWER if lower else _BYTE_CODES, data, starts, ends), first
+def word_hashes(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, A-Z as a-z, and the index of each text's first word."""
+    starts, ends, first = spans(data, offsets, gaps)
+    return span_hashes(_LOWER, data, starts, ends), first
 
 
 def grams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
