@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.bpe import bpe_decode, bpe_encode
 from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
+from tabwright.llm.line_dedup import drop_repeated_lines
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
@@ -52,6 +53,29 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query(
+    "op4_line_dedup",
+    r"""WITH split AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                              unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+            full_lines AS (SELECT doc_id, i, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS t FROM split
+                           WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+            pairs AS (SELECT doc_id, i, lead(i) OVER w AS j, t, lead(t) OVER w AS u FROM full_lines
+                      WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+            ranked AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY t, u ORDER BY doc_id, i) AS nth
+                       FROM pairs WHERE j IS NOT NULL),
+            gone AS (SELECT DISTINCT s.doc_id, s.i FROM split s JOIN ranked r
+                     ON s.doc_id = r.doc_id AND s.i BETWEEN r.i AND r.j WHERE r.nth > 1)
+       SELECT s.doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.i) AS INTEGER) AS n_removed,
+              sha256(coalesce(string_agg(s.line, chr(10) ORDER BY s.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+       FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id""",
+)
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_lines(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
