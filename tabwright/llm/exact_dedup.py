@@ -9,14 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import id_and_text
+from tabwright.llm.rows import id_and_text, marks, with_mark
 from tabwright.session import materialize
 
 #: Characters under the prefix hash.
 PREFIX = 64
-#: Bits of the mark table that says which (length, prefix) groups go on: 128 KB at any input size.
-_BITS = 1 << 20
-_BITMAP = 1 << 15  # bits of one bitmap_construct_agg value
 
 
 def normalised(text: Column) -> Column:
@@ -53,25 +50,9 @@ def exact_duplicates(
     keys = materialize(_stage_keys(frame).select("n", "p"), "exact-keys")
     same_length = keys.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("n")
     same_prefix = keys.join(same_length, "n", "left_semi").groupBy("n", "p").agg(F.count(F.lit(1)).alias("rows"))
-    bit = F.pmod(F.xxhash64("n", "p"), F.lit(_BITS))
-    marks = (
-        same_prefix.where("rows > 1")
-        .select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / _BITMAP).cast("long").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % _BITMAP).alias("marks"))
-    )
-    # at most _BITS / _BITMAP rows of _BITMAP / 8 bytes: 32 rows of 4 KB
-    rows = (
-        _stage_keys(frame)
-        .withColumn("bit", bit)
-        .withColumn("bucket", F.floor(F.col("bit") / _BITMAP).cast("long"))
-        .join(F.broadcast(marks), "bucket", "left")
-    )
-    place = (F.col("bit") % _BITMAP).cast("int")
-    octet = F.conv(F.hex(F.substring(F.col("marks"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    marked = F.coalesce(F.expr("shiftright(octet, place % 8) & 1") == 1, F.lit(False))
+    table = marks(same_prefix.where("rows > 1").select(F.xxhash64("n", "p").alias("key")), "key")
+    rows = with_mark(_stage_keys(frame).withColumn("key", F.xxhash64("n", "p")), "key", table)
     full = F.sha2(F.col("norm").cast("binary"), 256)
-    rows = rows.withColumn("place", place).withColumn("octet", octet).withColumn("marked", marked)
     rows = rows.select(
         "id", "n", "p", F.when(F.col("marked"), full).alias("full"), *([full.alias("digest")] if digest else [])
     )

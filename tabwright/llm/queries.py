@@ -12,6 +12,7 @@ from tabwright.llm.bpe import bpe_decode, bpe_encode
 from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
 from tabwright.llm.line_dedup import drop_repeated_lines
+from tabwright.llm.near_dedup import near_duplicates
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
@@ -53,6 +54,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op3_minhash_near_dedup")
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @_query(
     "op4_line_dedup",
     r"""WITH split AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

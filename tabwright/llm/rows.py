@@ -26,6 +26,40 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+#: Bits of a mark table: 1 MB, whatever is marked.
+MARK_BITS = 1 << 23
+_BITMAP = 1 << 15  # bits of one value of bitmap_construct_agg
+
+
+def marks(keys: DataFrame, hashed: str, bits: int = MARK_BITS) -> DataFrame:
+    """A table of fixed size (``bits / 8`` bytes in all) with a bit set for each value of a column of hashes."""
+    bit = F.pmod(F.col(hashed), F.lit(bits))
+    return (
+        keys.select(bit.alias("bit"))
+        .groupBy(F.floor(F.col("bit") / _BITMAP).cast("int").alias("mark_bucket"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % _BITMAP).alias("mark_bits"))
+    )
+
+
+def with_mark(df: DataFrame, hashed: str, table: DataFrame, bits: int = MARK_BITS) -> DataFrame:
+    """``df`` with ``marked``: false only where the hash was never marked.
+
+    The table is broadcast; its size is fixed. Wrong marks grow with what is marked and
+    cost work, never a result.
+    """
+    bit = F.pmod(F.col(hashed), F.lit(bits))
+    place = (bit % _BITMAP).cast("int")
+    octet = F.conv(F.hex(F.substring(F.col("mark_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (
+        df.withColumn("mark_bucket", F.floor(bit / _BITMAP).cast("int"))
+        .join(F.broadcast(table), "mark_bucket", "left")
+        .withColumn("mark_octet", octet)
+        .withColumn("mark_place", place % 8)
+        .withColumn("marked", F.coalesce(F.expr("(shiftright(mark_octet, mark_place) & 1) = 1"), F.lit(False)))
+        .drop("mark_bucket", "mark_bits", "mark_octet", "mark_place")
+    )
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of a batch whose texts hold about ``size`` bytes, one row at least."""
     offsets = text_buffer(batch.column(column))[1]
