@@ -16,6 +16,7 @@ from tabwright.llm.near_dedup import near_duplicates
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
+from tabwright.llm.substring_dedup import drop_repeated_strings
 from tabwright.llm.token_counts import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_strings(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @_query("op3_minhash_near_dedup")
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
