@@ -14,15 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import id_and_text, slices, text_buffer
+from tabwright.llm.rows import BITMAP, MARK_BITS, id_and_text, marks, slices, text_buffer, with_mark
 from tabwright.llm.words import SIGNS, grams, word_hashes
 from tabwright.session import materialize
 
 #: Words of the shortest run that counts, and share of an item's words from which a document is contaminated.
 MIN_MATCH, SHARE = 5, 0.6
-#: Bits of the table that tells which seeds the benchmark may have: 1 MB at any size of the benchmark.
-_BITS = 1 << 23
-_BITMAP = 1 << 15
 
 
 def tiles(left: list[int], right: list[int], shortest: int) -> list[tuple[int, int, int]]:
@@ -147,16 +144,9 @@ def overlaps(
     items = materialize(_items(id_and_text(benchmark, item_col, item_text), min_match), "bench-items")
     items = items.select(F.col("id").alias("item"), F.xxhash64("words").alias("item_row"), "words", "seeds").distinct()
     seeds = items.select("item", "item_row", F.size("words").alias("n_words"), F.explode("seeds").alias("seed"))
-    bit = F.pmod(F.col("seed"), F.lit(_BITS))
-    marks = (
-        seeds.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / _BITMAP).cast("int").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % _BITMAP).alias("marks"))
-        .collect()
-    )  # at most 256 rows of 4 KB
-    table = np.zeros((_BITS // _BITMAP, _BITMAP // 8), np.uint8)
-    for r in marks:
-        table[r.bucket] = np.frombuffer(bytes(r.marks), np.uint8)
+    table = np.zeros((MARK_BITS // BITMAP, BITMAP // 8), np.uint8)
+    for r in marks(seeds, "seed").collect():  # at most 256 rows of 4 KB
+        table[r["_mark_bucket"]] = np.frombuffer(bytes(r["_mark_bits"]), np.uint8)
     sent = spark.sparkContext.broadcast(np.unpackbits(table.reshape(-1), bitorder="little").astype(bool))
     frame = id_and_text(docs, id_col, text_col)
     kind = frame.schema["id"].dataType.simpleString()
@@ -166,7 +156,7 @@ def overlaps(
         for batch in batches:
             for part in slices(batch):
                 words, first, runs, at = _seeds(part, min_match)
-                hit = marked[(runs.view(np.int64) % _BITS)]
+                hit = marked[(runs.view(np.int64) % MARK_BITS)]
                 rows, kept, found = [], [], []
                 per_text = np.diff(np.concatenate([[0], np.cumsum(hit)])[at])
                 for k in np.flatnonzero(per_text):
@@ -230,3 +220,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
         .agg(F.count_distinct("item").alias("n_items"), best.alias("best"))
         .select("id", "n_items", F.col("best.item").alias("item"), F.col("best.share").alias("covered_share"))
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows whose id :func:`contaminated` finds; rows with a null id are told by each other."""
+    found = materialize(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("id"), "bench-found")
+    hashed = F.xxhash64(F.col(f"`{id_col}`"))
+    marked = with_mark(docs.withColumn("_id", hashed), "_id", marks(found.select(F.xxhash64("id").alias("key")), "key"))
+    columns = [f"`{c}`" for c in docs.columns]
+    gone = found.select(F.col("id").alias("_gone"))
+    asked = marked.where("marked").join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    return marked.where("NOT marked").select(*columns).union(asked.select(*columns))

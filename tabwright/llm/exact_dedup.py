@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import id_and_text, marks, with_mark
+from tabwright.llm.rows import id_and_text, keep_decided, marks, with_mark
 from tabwright.session import materialize
 
 #: Characters under the prefix hash.
@@ -23,10 +23,28 @@ def normalised(text: Column) -> Column:
 
 def _stage_keys(frame: DataFrame) -> DataFrame:
     return frame.withColumn("norm", normalised(F.col("text"))).select(
-        "id", "norm", F.length("norm").alias("n"), F.xxhash64(F.substring("norm", 1, PREFIX)).alias("p")
+        "id", "norm", F.xxhash64("text").alias("row"), F.length("norm").alias("n"), F.xxhash64(F.substring("norm", 1, PREFIX)).alias("p")
     )
 
 
+def _rows_and_groups(frame: DataFrame, digest: bool) -> tuple[DataFrame, DataFrame]:
+    keys = materialize(_stage_keys(frame).select("n", "p"), "exact-keys")
+    same_length = keys.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("n")
+    same_prefix = keys.join(same_length, "n", "left_semi").groupBy("n", "p").agg(F.count(F.lit(1)).alias("rows"))
+    table = marks(same_prefix.where("rows > 1").select(F.xxhash64("n", "p").alias("key")), "key")
+    rows = with_mark(_stage_keys(frame).withColumn("key", F.xxhash64("n", "p")), "key", table)
+    full = F.sha2(F.col("norm").cast("binary"), 256)
+    more = [full.alias("digest")] if digest else []
+    rows = rows.select("id", "row", "n", "p", F.when(F.col("marked"), full).alias("full"), *more)
+    rows = materialize(rows, "exact-rows")
+    groups = (
+        rows.where("full IS NOT NULL")
+        .groupBy("n", "p", "full")
+        .agg(F.min("id").alias("keep_id"), F.min(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
+    )
+    return rows, groups
+
+
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: bool = False
 ) -> DataFrame:
@@ -46,22 +64,7 @@ def exact_duplicates(
     shuffle, so a large group of copies costs one row per task. The join that brings
     the counts back is one that adaptive execution splits when a key is hot.
     """
-    frame = id_and_text(docs, id_col, text_col)
-    keys = materialize(_stage_keys(frame).select("n", "p"), "exact-keys")
-    same_length = keys.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("n")
-    same_prefix = keys.join(same_length, "n", "left_semi").groupBy("n", "p").agg(F.count(F.lit(1)).alias("rows"))
-    table = marks(same_prefix.where("rows > 1").select(F.xxhash64("n", "p").alias("key")), "key")
-    rows = with_mark(_stage_keys(frame).withColumn("key", F.xxhash64("n", "p")), "key", table)
-    full = F.sha2(F.col("norm").cast("binary"), 256)
-    rows = rows.select(
-        "id", "n", "p", F.when(F.col("marked"), full).alias("full"), *([full.alias("digest")] if digest else [])
-    )
-    rows = materialize(rows, "exact-rows")
-    groups = (
-        rows.where("full IS NOT NULL")
-        .groupBy("n", "p", "full")
-        .agg(F.min("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    )
+    rows, groups = _rows_and_groups(id_and_text(docs, id_col, text_col), digest)
     out = rows.join(groups, ["n", "p", "full"], "left")
     keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
     return out.select(
@@ -71,3 +74,11 @@ def exact_duplicates(
         F.col("id").eqNullSafe(keep).alias("kept"),
         *(["digest"] if digest else []),
     )
+
+
+def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, that of the smallest id (a null id is the smallest here)."""
+    rows, groups = _rows_and_groups(id_and_text(docs, id_col, text_col), False)
+    decided = rows.join(groups.where("group_size > 1"), ["n", "p", "full"])
+    stays = F.struct("id", "row").eqNullSafe(F.col("keep"))
+    return keep_decided(docs, materialize(decided.select("id", "row", stays.alias("stays")), "exact-decided"), id_col, text_col)

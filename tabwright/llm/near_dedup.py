@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.llm.components import components
-from tabwright.llm.rows import id_and_text, marks, slices, text_buffer, with_mark
+from tabwright.llm.rows import id_and_text, keep_decided, marks, slices, text_buffer, with_mark
 from tabwright.llm.words import grams, mix, word_hashes
 from tabwright.session import materialize
 
@@ -202,27 +202,8 @@ def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(nodes.union(fresh), "forest-classes")
 
 
-def near_duplicates(
-    docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``id, n_shingles, component_id, kept`` for every row of ``docs``.
-
-    Words are runs of bytes other than blank, tab and line ends, A-Z as a-z; a document's
-    set holds its distinct runs of ``settings.words`` words, or all its words as one run
-    when it has fewer. Documents are linked when the sets' intersection is at least
-    ``settings.percent`` hundredths of their union, checked on the full sets.
-    ``component_id`` is the smallest id that links reach. Null texts and texts without
-    words have the empty set and are linked with nothing; repeated rows and equal sets
-    are linked; a null id is reached by links but is no smallest id unless all are null;
-    an empty table gives none, other columns play no part.
-
-    Equal sets become one print first, combined before the shuffle. Each print stands in
-    every signature order; orders are cut into sorted parts at any place, also inside a
-    region of equal prefixes, and rows at the borders are compared in a second, small
-    pass. Of the candidates, each set's most promising one is confirmed first; what then
-    lies in one class needs no further test, so a large group of near copies costs about
-    a test per member and not one per pair. Only texts of candidates are shuffled.
-    """
+def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col: str) -> DataFrame:
+    """``id, row, n, class`` of every row; the class of the empty set is null."""
     s = settings or Settings()
     frame = id_and_text(docs, id_col, text_col)
     rows = materialize(set_prints(frame, s), "near-prints")
@@ -264,7 +245,43 @@ def near_duplicates(
         again = orders.join(nodes, "print").join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
         pairs = materialize(_candidates(again, s), "near-candidates")
     known = rows.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
-    known = known.select("id", "n", "class")
+    return known.select("id", "row", "n", "class")
+
+
+def near_duplicates(
+    docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    Words are runs of bytes other than blank, tab and line ends, A-Z as a-z; a document's
+    set holds its distinct runs of ``settings.words`` words, or all its words as one run
+    when it has fewer. Documents are linked when the sets' intersection is at least
+    ``settings.percent`` hundredths of their union, checked on the full sets.
+    ``component_id`` is the smallest id that links reach. Null texts and texts without
+    words have the empty set and are linked with nothing; repeated rows and equal sets
+    are linked; a null id is reached by links but is no smallest id unless all are null;
+    an empty table gives none, other columns play no part.
+
+    Equal sets become one print first, combined before the shuffle. Each print stands in
+    every signature order; orders are cut into sorted parts at any place, also inside a
+    region of equal prefixes, and rows at the borders are compared in a second, small
+    pass. Of the candidates, each set's most promising one is confirmed first; what then
+    lies in one class needs no further test, so a large group of near copies costs about
+    a test per member and not one per pair. Only texts of candidates are shuffled.
+    """
+    known = _classes(docs, settings, id_col, text_col)
     lowest = known.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("component_id"))
     out = known.join(lowest, "class", "left").withColumn("component_id", F.coalesce("component_id", "id"))
-    return out.select("id", F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return out.select("id", F.col("n").alias("n_shingles"), "component_id", kept.alias("kept"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (a null id is the smallest here)."""
+    known = _classes(docs, settings, id_col, text_col).where("class IS NOT NULL")
+    groups = known.groupBy("class").agg(F.min(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("size"))
+    decided = known.join(groups.where("size > 1"), "class")
+    stays = F.struct("id", "row").eqNullSafe(F.col("keep"))
+    return keep_decided(docs, materialize(decided.select("id", "row", stays.alias("stays")), "near-decided"), id_col, text_col)

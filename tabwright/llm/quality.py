@@ -165,3 +165,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 )
 
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, score double")
+
+
+def good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def scores(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        found = [probabilities(part, sent.value) for part in slices(batch)]
+        return pa.array(np.concatenate(found) if found else np.zeros(0))
+
+    return docs.where(scores(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) >= least)

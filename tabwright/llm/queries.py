@@ -19,6 +19,8 @@ from tabwright.llm.rows import read_table
 from tabwright.llm.substring_dedup import drop_repeated_strings
 from tabwright.llm.token_counts import count_tokens
 
+#: From this score on a document counts as good.
+QUALITY = 0.3
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -34,10 +36,6 @@ def _query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-#: From this score on a document counts as good.
-GOOD = 0.3
-
-
 def held_out(id_col: str = "doc_id"):
     """A fifth of the ids: their labels are never learned from."""
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
@@ -51,7 +49,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"),
         held_out("id").alias("held_out"),
         "score",
-        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
     )
 
 

@@ -28,7 +28,7 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 #: Bits of a mark table: 1 MB, whatever is marked.
 MARK_BITS = 1 << 23
-_BITMAP = 1 << 15  # bits of one value of bitmap_construct_agg
+BITMAP = 1 << 15  # bits of one value of bitmap_construct_agg
 
 
 def marks(keys: DataFrame, hashed: str, bits: int = MARK_BITS) -> DataFrame:
@@ -36,8 +36,8 @@ def marks(keys: DataFrame, hashed: str, bits: int = MARK_BITS) -> DataFrame:
     bit = F.pmod(F.col(hashed), F.lit(bits))
     return (
         keys.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / _BITMAP).cast("int").alias("mark_bucket"))
-        .agg(F.bitmap_construct_agg(F.col("bit") % _BITMAP).alias("mark_bits"))
+        .groupBy(F.floor(F.col("bit") / BITMAP).cast("int").alias("_mark_bucket"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % BITMAP).alias("_mark_bits"))
     )
 
 
@@ -48,18 +48,37 @@ def with_mark(df: DataFrame, hashed: str, table: DataFrame, bits: int = MARK_BIT
     cost work, never a result.
     """
     bit = F.pmod(F.col(hashed), F.lit(bits))
-    place = (bit % _BITMAP).cast("int")
-    octet = F.conv(F.hex(F.substring(F.col("mark_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    place = (bit % BITMAP).cast("int")
+    octet = F.conv(F.hex(F.substring(F.col("_mark_bits"), F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
     return (
-        df.withColumn("mark_bucket", F.floor(bit / _BITMAP).cast("int"))
-        .join(F.broadcast(table), "mark_bucket", "left")
-        .withColumn("mark_octet", octet)
-        .withColumn("mark_place", place % 8)
-        .withColumn("marked", F.coalesce(F.expr("(shiftright(mark_octet, mark_place) & 1) = 1"), F.lit(False)))
-        .drop("mark_bucket", "mark_bits", "mark_octet", "mark_place")
+        df.withColumn("_mark_bucket", F.floor(bit / BITMAP).cast("int"))
+        .join(F.broadcast(table), "_mark_bucket", "left")
+        .withColumn("_mark_octet", octet)
+        .withColumn("_mark_place", place % 8)
+        .withColumn("marked", F.coalesce(F.expr("(shiftright(_mark_octet, _mark_place) & 1) = 1"), F.lit(False)))
+        .drop("_mark_bucket", "_mark_bits", "_mark_octet", "_mark_place")
     )
 
 
+def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that ``decided(id, row, stays)`` sends away; ``row`` is the hash of a text.
+
+    Rows it does not name stay. Of rows with one id and text that it lets stay, one does.
+    Only rows whose text hash is marked are shuffled, the rest is a filter. All columns
+    of ``docs`` come back, in order.
+    """
+    names = docs.columns
+    text = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))
+    hashed = with_mark(docs.withColumn("_row", F.xxhash64(text)), "_row", marks(decided, "row"))
+    verdicts = decided.select(F.col("id").alias("_id"), F.col("row").alias("_same"), "stays").distinct()
+    known = F.col("_row").eqNullSafe(F.col("_same")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
+    asked = hashed.where("marked").join(verdicts, known, "left")
+    columns = [f"`{c}`" for c in names]
+    one = asked.where("stays").dropDuplicates(["_id", "_same"])
+    out = hashed.where("NOT marked").select(*columns).union(asked.where("stays IS NULL").select(*columns))
+    return out.union(one.select(*columns))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges of a batch whose texts hold about ``size`` bytes, one row at least."""
     offsets = text_buffer(batch.column(column))[1]
