@@ -13,6 +13,7 @@ from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
 from tabwright.llm.line_dedup import drop_repeated_lines
 from tabwright.llm.near_dedup import near_duplicates
+from tabwright.llm.pages import extract_text
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
 from tabwright.llm.rows import read_table
@@ -106,6 +107,13 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op6_html_extraction")
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(read_table(spark, sf_dir, "pages"))
+    lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n", -1)))
+    return found.select(F.col("id").alias("page_id"), lines.cast("long").alias("n_lines"), "text")
+
+
 @_query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
