@@ -225,9 +225,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the rows whose id :func:`contaminated` finds; rows with a null id are told by each other."""
     found = materialize(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select("id"), "bench-found")
-    hashed = F.xxhash64(F.col(f"`{id_col}`"))
-    marked = with_mark(docs.withColumn("_id", hashed), "_id", marks(found.select(F.xxhash64("id").alias("key")), "key"))
-    columns = [f"`{c}`" for c in docs.columns]
-    gone = found.select(F.col("id").alias("_gone"))
-    asked = marked.where("marked").join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
-    return marked.where("NOT marked").select(*columns).union(asked.select(*columns))
+    id_ = docs[f"`{id_col}`"]
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), id_.alias("id"), F.xxhash64(id_).alias("key"))
+    whole = with_mark(whole, "key", marks(found.select(F.xxhash64("id").alias("key")), "key"))
+    gone = found.select(F.col("id").alias("gone"))
+    asked = whole.where("marked").join(gone, F.col("id").eqNullSafe(F.col("gone")), "left_anti")
+    return whole.where("NOT marked").select("whole.*").union(asked.select("whole.*"))

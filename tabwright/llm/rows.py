@@ -67,16 +67,14 @@ def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", te
     Only rows whose text hash is marked are shuffled, the rest is a filter. All columns
     of ``docs`` come back, in order.
     """
-    names = docs.columns
     text = F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit(""))
-    hashed = with_mark(docs.withColumn("_row", F.xxhash64(text)), "_row", marks(decided, "row"))
-    verdicts = decided.select(F.col("id").alias("_id"), F.col("row").alias("_same"), "stays").distinct()
-    known = F.col("_row").eqNullSafe(F.col("_same")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
-    asked = hashed.where("marked").join(verdicts, known, "left")
-    columns = [f"`{c}`" for c in names]
-    one = asked.where("stays").dropDuplicates(["_id", "_same"])
-    out = hashed.where("NOT marked").select(*columns).union(asked.where("stays IS NULL").select(*columns))
-    return out.union(one.select(*columns))
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), docs[f"`{id_col}`"].alias("id"), F.xxhash64(text).alias("row"))
+    whole = with_mark(whole, "row", marks(decided, "row"))
+    verdicts = decided.select(F.col("id").alias("same_id"), F.col("row").alias("same_row"), "stays").distinct()
+    known = F.col("row").eqNullSafe(F.col("same_row")) & F.col("id").eqNullSafe(F.col("same_id"))
+    asked = whole.where("marked").join(verdicts, known, "left")
+    one = asked.where("stays").dropDuplicates(["id", "row"])
+    return whole.where("NOT marked").select("whole.*").union(asked.where("stays IS NULL").select("whole.*")).union(one.select("whole.*"))
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
