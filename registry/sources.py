@@ -89,6 +89,17 @@ def s6_insert_select(spark, sf_dir):
     return spark.table(name)
 
 
+@query("s5_create_table", "SELECT c_custkey AS id, CAST(c_acctbal AS DECIMAL(10, 2)) AS balance, c_name AS name FROM customer")
+def s5_create_table(spark, sf_dir):
+    """A table made twice at one path holds the rows inserted after the second time only."""
+    name, path = fresh_name("made"), work_dir(spark, "made")
+    customer = table(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "CAST(c_acctbal AS DECIMAL(10,2)) AS balance", "struct(c_name AS name) AS whole")
+    for _ in range(2):
+        create_table(spark, name, "id BIGINT, balance DECIMAL(10,2), whole STRUCT<name: STRING>", ["id"], path)
+        insert_select(customer, name, ["id", "balance", "whole"])
+    return spark.table(name).select("id", "balance", "whole.name")
+
+
 @query("s9_data_version", "SELECT CAST(count(DISTINCT c_custkey % 3) AS INTEGER) AS version FROM customer")
 def s9_data_version(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")

@@ -93,6 +93,11 @@ def f7_evaluation_sample(spark, sf_dir):
     return evaluation_sample(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 100)
 
 
-@query("f8_sample_with_replacement")
+@query("f8_sample_with_replacement", "SELECT CAST(100 AS BIGINT) AS drawn, CAST(100 AS BIGINT) AS known FROM orders HAVING count(*) > 0")
 def f8_sample_with_replacement(spark, sf_dir):
-    return sample_with_replacement(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), 100)
+    """How many rows are drawn, and how many of them are rows of the table."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    found = sample_with_replacement(orders, 100)
+    same = [F.col("s.o_orderkey") == F.col("o.o_orderkey"), F.col("s.o_totalprice") == F.col("o.o_totalprice")]
+    both = found.alias("s").join(orders.alias("o"), same, "left")
+    return both.agg(F.count(F.lit(1)).alias("drawn"), F.count("o.o_orderkey").alias("known"))

@@ -89,11 +89,12 @@ def y3_gen_categorical_many_values(spark, sf_dir):
 
 @query(
     "y4_gen_key",
-    "SELECT i AS row_number, md5('42|' || i) AS key FROM (SELECT unnest(range(count(*))) AS i FROM customer)",
+    "SELECT c_custkey AS row_number, md5('42|' || c_custkey) AS key, c_mktsegment AS segment FROM customer",
 )
 def y4_gen_key(spark, sf_dir):
-    made = synth.rows(spark, table(spark, sf_dir, "customer").count())
-    return made.select(F.col(synth.ROW).alias("row_number"), synth.gen_key().alias("key"))
+    """New keys for the rows of a table, from their old numbers."""
+    made = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", synth.ROW)
+    return made.select(F.col(synth.ROW).alias("row_number"), synth.gen_key().alias("key"), F.col("c_mktsegment").alias("segment"))
 
 
 def _short_drawn(column: str, name: str) -> str:

@@ -39,6 +39,22 @@ NARROW = contract(
 )
 
 
+MANY = {5: None, 20: "many", **{100 + i: f"code {i % 7}" for i in range(40)}}
+
+
+@query(
+    "p3_correct_many",
+    """SELECT l_partkey, l_linenumber, l_orderkey,
+              CASE WHEN l_partkey = 5 THEN NULL WHEN l_partkey = 20 THEN 'many'
+                   WHEN l_partkey BETWEEN 100 AND 139 THEN 'code ' || (l_partkey - 100) % 7
+                   ELSE CAST(l_partkey AS VARCHAR) END AS part FROM lineitem""",
+)
+def p3_correct_many(spark, sf_dir):
+    """Forty-two corrections of a text column by integer keys, one of them to null."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr("l_partkey", "l_linenumber", "l_orderkey", "CAST(l_partkey AS STRING) AS part")
+    return correct_values(rows, {"part": MANY})
+
+
 @query(
     "p1_rename",
     """SELECT o_orderkey AS key, o_custkey AS customer, o_totalprice AS price, o_orderpriority AS priority,

@@ -171,7 +171,7 @@ def check_required(df: DataFrame, contract: Contract) -> DataFrame:
     """Every source column exists."""
     missing = column_difference(contract.names, df.columns)
     if missing:
-        raise ContractViolation(f"Missing columns in data: {missing}")
+        raise ContractViolation(f"the data lacks {missing}")
     return df
 
 
@@ -184,7 +184,7 @@ def check_present_after(df: DataFrame, contract: Contract) -> DataFrame:
     ):
         missing = column_difference([c.alias for c in columns], df.columns)
         if missing:
-            raise ContractViolation(f"Missing {role} columns {missing} after preparation")
+            raise ContractViolation(f"preparation left no {role} column named {missing}")
     return df
 
 
@@ -192,7 +192,7 @@ def check_types(df: DataFrame, contract: Contract) -> DataFrame:
     """Every aliased column has its declared type."""
     actual = {f.name: f.dataType for f in df.schema.fields}
     wrong = [
-        f"Column {c.alias} should be of type {c.dtype}, but is {actual[c.alias].simpleString()}"
+        f"{c.alias}: declared {c.dtype}, found {actual[c.alias].simpleString()}"
         for c in contract.columns
         if not c.accepts(actual[c.alias])
     ]

@@ -9,7 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_WHEN_LIMIT = 16
 _BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 _WHOLE = r"^\s*[+-]?[0-9]{1,19}\s*$"
 
@@ -29,27 +28,32 @@ def resolve_chain(corrections: Mapping[Any, Any]) -> dict[Any, Any]:
     return ends
 
 
-def corrected(column: Column, corrections: Mapping[Any, Any], strict: bool = False, name: str = "column") -> Column:
-    """The column with values replaced; others stay, or fail the job if strict."""
+def corrected(
+    column: Column, corrections: Mapping[Any, Any], strict: bool = False, name: str = "column", kind: T.DataType | None = None
+) -> Column:
+    """The column with values replaced; others stay, or fail the job if strict.
+
+    A correction to null gives null. ``kind`` is the column's type: values to replace are
+    compared in it, and on text the new ones become text unless every value is mapped.
+    One lookup table serves any number of corrections.
+    """
     ends = resolve_chain(corrections)
     if not ends:
         return column
+    text = isinstance(kind, T.StringType) or (kind is None and any(isinstance(old, str) for old in ends))
+    if text:
+        ends = {str(old): new for old, new in ends.items()}
     if strict:
         unknown = F.raise_error(F.concat(F.lit(f"unmapped value in {name}: "), column.cast("string")))
         rest = F.when(column.isNotNull(), unknown)
     else:
         rest = column
-        if any(isinstance(old, str) for old in ends):  # text stays text when some of it may remain
-            ends = {old: str(new) for old, new in ends.items()}
-    if len(ends) <= _WHEN_LIMIT:
-        pairs = list(ends.items())
-        chain = F.when(column == F.lit(pairs[0][0]), F.lit(pairs[0][1]))
-        for old, new in pairs[1:]:
-            chain = chain.when(column == F.lit(old), F.lit(new))
-        return chain.otherwise(rest)
-    table = F.create_map(*[F.lit(part) for pair in ends.items() for part in pair])
-    found = F.try_element_at(table, column)
-    return F.when(found.isNotNull(), found).otherwise(rest)
+        if text:  # text stays text when some of it may remain
+            ends = {old: None if new is None else str(new) for old, new in ends.items()}
+    olds = [F.lit(old) if kind is None else F.lit(old).cast(kind.simpleString()) for old in ends]
+    table = F.create_map(*[part for old, new in zip(olds, ends.values(), strict=True) for part in (old, F.lit(new))])
+    known = F.coalesce(F.map_contains_key(table, column), F.lit(False))
+    return F.when(known, F.try_element_at(table, column)).otherwise(rest)
 
 
 def converted(column: Column, source: T.DataType, target: T.DataType) -> Column:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import BITMAP, MARK_BITS, id_and_text, marks, slices, text_buffer, with_mark
+from tabwright.llm.rows import BITMAP, MARK_BITS, id_and_text, join_same, marks, slices, text_buffer, with_mark
 from tabwright.llm.words import SIGNS, grams, word_hashes
 from tabwright.session import materialize
 
@@ -191,7 +191,8 @@ def overlaps(
         .select("id", "row", "item", "item_row", "n_words")
     )
     lines = hits.select("id", "row", "line").dropDuplicates(["id", "row"])
-    both = pairs.join(lines, ["id", "row"]).join(items.select("item", "item_row", "words"), ["item", "item_row"])
+    both = join_same(pairs, lines, ["id", "row"])
+    both = join_same(both, items.select("item", "item_row", "words"), ["item", "item_row"])
     item_kind = items.schema["item"].dataType.simpleString()
 
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +218,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     best = F.max(F.struct((F.col("covered") / F.col("n_words")).alias("share"), "item"))
     return (
         found.groupBy("id")
-        .agg(F.count_distinct("item").alias("n_items"), best.alias("best"))
+        .agg(F.count_distinct(F.struct("item")).alias("n_items"), best.alias("best"))
         .select("id", "n_items", F.col("best.item").alias("item"), F.col("best.share").alias("covered_share"))
     )
 

@@ -23,8 +23,10 @@ class Settings:
     Two sets are candidates where they share the first ``least_depth`` values of an
     order and stand within ``near`` places of each other there: in a crowded region only
     those with the longest common prefix do, in a thin one all. At similarity 0.8 a
-    pair shares three values in one of 16 orders but for 1 of 100,000. Regions are
-    walked again, merged sets as one, until no walk finds a link.
+    pair shares three values in one of 16 orders but for 1 of 100,000. Sets with a
+    neighbour are then walked in other, deeper orders of the same values, ``far`` places
+    wide, until a walk finds no link; there, pairs count whose whole signatures agree in
+    at least ``percent`` less ``margin`` hundredths (17: four standard deviations).
     """
 
     words: int = 2
@@ -33,6 +35,8 @@ class Settings:
     depth: int = 6
     least_depth: int = 3
     near: int = 8
+    far: int = 96
+    margin: int = 17
 
 
 _MAX = np.uint32(0xFFFFFFFF)
@@ -92,77 +96,101 @@ def set_prints(docs: DataFrame, settings: Settings) -> DataFrame:
     return frame.mapInArrow(run, f"id {kind}, row long, n long, print binary, signature binary")
 
 
-def _walk(settings: Settings, edges: bool):
-    """A pass over sorted rows (tree, prefix, print, n, class) that yields neighbour pairs.
+@dataclass(frozen=True)
+class _Orders:
+    """Orders of one walk: rows (tree, prefix, print, n, class, signature) by their first three columns."""
+
+    rows: DataFrame
+    depth: int
+    least: int
+    near: int
+    signed: bool  # whether rows carry signatures, which then must agree well enough
+
+
+def _first_orders(sets: DataFrame, s: Settings) -> _Orders:
+    width = 4 * s.depth
+    prefix = F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("prefix")
+    rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))))
+    rows = rows.select("tree", prefix, "print", "n", F.col("print").alias("class"), F.lit(None).cast("binary").alias("signature"))
+    return _Orders(rows, s.depth, s.least_depth, s.near, False)
+
+
+def _further_orders(sets: DataFrame, s: Settings, walk: int) -> _Orders:
+    """Half as many orders, twice as deep, of the values in another sequence for each walk."""
+    total, deep = s.trees * s.depth, 2 * s.depth
+    sequence = np.argsort(mix(np.arange(total, dtype=np.uint64) + np.uint64(1000 * walk))).tolist()
+    prefixes = [
+        F.concat(*[F.substring(F.col("signature"), 4 * k + 1, 4) for k in sequence[at : at + deep]]) for at in range(0, total - deep + 1, deep)
+    ]
+    rows = sets.select("print", "n", "class", "signature", F.posexplode(F.array(*prefixes)).alias("tree", "prefix"))
+    return _Orders(rows.select("tree", "prefix", "print", "n", "class", "signature"), deep, 1, s.far, True)
+
+
+def _walk(orders: _Orders, s: Settings, edges: bool):
+    """A pass over sorted rows that yields neighbour pairs of different classes.
 
     With ``edges`` the first and last rows of the part come out as well, so that pairs
     across the borders of parts are found among them.
     """
-    near, least, width = settings.near, settings.least_depth, settings.depth
+    near, least, width, signed = orders.near, orders.least, orders.depth, orders.signed
+    agree = s.trees * s.depth * (s.percent - s.margin) / 100
+    names = ["a", "b", "tree", "prefix", "print", "n", "class", "signature"]
 
     def fixed(column: pa.Array, size: int) -> np.ndarray:
         return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), size)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None
-        head = 0
-        names = ["a", "b", "tree", "prefix", "print", "n", "class"]
-
-        def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
-            none = pa.nulls(batch.num_rows, pa.binary())
-            return pa.RecordBatch.from_arrays([none, none, *[batch.column(c) for c in names[2:]]], names)
+    def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        none = pa.nulls(batch.num_rows, pa.binary())
+        return pa.RecordBatch.from_arrays([none, none, *[batch.column(c) for c in names[2:]]], names)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if edges and head < near:
-                yield rows_of(batch.slice(0, near - head))
-                head += min(near - head, batch.num_rows)
-            table = batch if tail is None else pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
-            old = 0 if tail is None else tail.num_rows
-            tree = table.column("tree").to_numpy(zero_copy_only=False)
-            prefix = fixed(table.column("prefix"), 4 * width)[:, : 4 * least]
-            size = table.column("n").to_numpy(zero_copy_only=False)
-            group = fixed(table.column("class"), 16)
-            same = np.zeros(len(tree), bool)  # as the row before: same region, same class
-            region = np.zeros(len(tree), bool)
-            region[1:] = (tree[1:] == tree[:-1]) & (prefix[1:] == prefix[:-1]).all(axis=1)
-            same[1:] = region[1:] & (group[1:] == group[:-1]).all(axis=1)
-            inner = same.copy()
-            inner[:-1] &= same[1:]  # neither first nor last of a run of one class
-            inner[-1] = False
-            keep = np.flatnonzero(~inner)
-            print_ = table.column("print")
-            for step in range(1, near + 1):
-                i, j = keep[:-step], keep[step:]
-                ok = (j >= old) & (tree[i] == tree[j])
-                i, j = i[ok], j[ok]
-                ok = (prefix[i] == prefix[j]).all(axis=1) & (group[i] != group[j]).any(axis=1)
-                i, j = i[ok], j[ok]
-                ok = 100 * np.minimum(size[i], size[j]) >= settings.percent * np.maximum(size[i], size[j])
-                i, j = i[ok], j[ok]
-                if len(i):
-                    x, y = print_.take(pa.array(i)), print_.take(pa.array(j))
-                    none = [pa.nulls(len(i), table.schema.field(c).type) for c in names[2:]]
-                    yield pa.RecordBatch.from_arrays([x, y, *none], names)
-            tail = table.take(pa.array(keep[-near:]))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tail, head = None, 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                if edges and head < near:
+                    yield rows_of(batch.slice(0, near - head))
+                    head += min(near - head, batch.num_rows)
+                table = batch if tail is None else pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
+                old = 0 if tail is None else tail.num_rows
+                tree = table.column("tree").to_numpy(zero_copy_only=False)
+                prefix = fixed(table.column("prefix"), 4 * width)[:, : 4 * least]
+                size = table.column("n").to_numpy(zero_copy_only=False)
+                group = fixed(table.column("class"), 16)
+                sign = fixed(table.column("signature"), 4 * s.trees * s.depth).view(np.uint32) if signed else None
+                prints = table.column("print")
+                for step in range(1, min(near, len(tree) - 1) + 1):
+                    i = np.arange(max(old - step, 0), len(tree) - step)
+                    j = i + step
+                    for same in (
+                        lambda i, j: (tree[i] == tree[j]) & (prefix[i] == prefix[j]).all(axis=1),
+                        lambda i, j: (group[i] != group[j]).any(axis=1),
+                        lambda i, j: 100 * np.minimum(size[i], size[j]) >= s.percent * np.maximum(size[i], size[j]),
+                        lambda i, j: (sign[i] == sign[j]).sum(axis=1) >= agree if signed else np.ones(len(i), bool),
+                    ):
+                        ok = same(i, j)
+                        i, j = i[ok], j[ok]
+                    if len(i):
+                        none = [pa.nulls(len(i), table.schema.field(c).type) for c in names[2:]]
+                        yield pa.RecordBatch.from_arrays([prints.take(pa.array(i)), prints.take(pa.array(j)), *none], names)
+                tail = table.slice(max(table.num_rows - near, 0))
         if edges and tail is not None:
             yield rows_of(tail)
 
     return run
 
 
-def _candidates(orders: DataFrame, settings: Settings) -> DataFrame:
+def _candidates(orders: _Orders, settings: Settings) -> DataFrame:
     """Distinct pairs ``a < b`` of prints that stand near each other in some order, and in how many they do."""
-    kind = "a binary, b binary, tree int, prefix binary, print binary, n long, class binary"
+    kind = "a binary, b binary, tree int, prefix binary, print binary, n long, class binary, signature binary"
     key = ["tree", "prefix", "print"]
     # equal keys differ in the print, so any region can be cut into as many parts as its size needs
-    ordered = orders.select("tree", "prefix", "print", "n", "class").repartitionByRange(*key).sortWithinPartitions(*key)
-    found = materialize(ordered.mapInArrow(_walk(settings, True), kind), "forest-pairs")
-    border = found.where("a IS NULL").select("tree", "prefix", "print", "n", "class").distinct()
+    ordered = orders.rows.repartitionByRange(*key).sortWithinPartitions(*key)
+    found = materialize(ordered.mapInArrow(_walk(orders, settings, True), kind), "forest-pairs")
+    border = found.where("a IS NULL").drop("a", "b").dropDuplicates(["tree", "print"])
     border = border.repartition("tree").sortWithinPartitions(*key)  # 2 * near rows for each part
     pairs = found.where("a IS NOT NULL").select("a", "b")
-    pairs = pairs.union(border.mapInArrow(_walk(settings, False), kind).select("a", "b"))
+    pairs = pairs.union(border.mapInArrow(_walk(orders, settings, False), kind).select("a", "b"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
 
@@ -211,11 +239,7 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
         rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("row", "id")).alias("one")),
         "near-sets",
     )
-    width = 4 * s.depth
-    orders = reps.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1)))).select(
-        "tree", F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("prefix"), "print", "n"
-    )
-    pairs = materialize(_candidates(orders.withColumn("class", F.col("print")), s), "near-candidates")
+    pairs = materialize(_candidates(_first_orders(reps, s), s), "near-candidates")
     nodes = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
     wanted = materialize(reps.join(nodes, "print").select("print", "one.row", "one.id"), "near-wanted")
     hashed = frame.withColumn("row", F.xxhash64("text"))
@@ -231,6 +255,7 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
     )
     tested = _confirmed(best, texts, s)
     classes = _merged(nodes.limit(0).withColumn("class", F.col("print")), tested.where("linked"))
+    walk = 0
     while True:
         a, b = (classes.select(F.col("print").alias(n), F.col("class").alias(f"{n}_class")) for n in ("a", "b"))
         apart = ~F.coalesce("a_class", "a").eqNullSafe(F.coalesce("b_class", "b"))
@@ -238,12 +263,13 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
         rest = materialize(rest.join(a, "a", "left").join(b, "b", "left").where(apart).select("a", "b"), "near-rest")
         more = _confirmed(rest, texts, s)
         tested = tested.union(more)
-        if more.where("linked").isEmpty():
+        if not more.where("linked").isEmpty():
+            classes = _merged(classes, more.where("linked"))
+        elif walk:
             break
-        classes = _merged(classes, more.where("linked"))
-        # walk the orders again, each class as one, over the sets that have neighbours
-        again = orders.join(nodes, "print").join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
-        pairs = materialize(_candidates(again, s), "near-candidates")
+        walk += 1
+        near = reps.join(nodes, "print").join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
+        pairs = materialize(_candidates(_further_orders(near, s, walk), s), "near-candidates")
     known = rows.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
     return known.select("id", "row", "n", "class")
 
@@ -267,7 +293,8 @@ def near_duplicates(
     region of equal prefixes, and rows at the borders are compared in a second, small
     pass. Of the candidates, each set's most promising one is confirmed first; what then
     lies in one class needs no further test, so a large group of near copies costs about
-    a test per member and not one per pair. Only texts of candidates are shuffled.
+    a test per member and not one per pair; the further walks pass over it without a
+    test. Only texts of candidates are shuffled.
     """
     known = _classes(docs, settings, id_col, text_col)
     lowest = known.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("component_id"))

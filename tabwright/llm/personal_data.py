@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.rows import id_and_text, slices
+from tabwright.llm.rows import id_and_text, join_same, slices
 from tabwright.session import materialize
 
 #: Kinds in the order in which spans are listed.
@@ -158,7 +158,7 @@ class Settings:
     patterns and candidates count; ``rounds``: times that both sides score each other."""
 
     support: int = 3
-    confidence: float = 0.9
+    confidence: float = 0.75
     rounds: int = 3
 
 
@@ -263,8 +263,7 @@ def personal_data(
     merged = F.array_sort(F.concat(F.col("base"), F.coalesce("more", none)))
     names = F.array(*map(F.lit, KINDS))
     rows = found.select("id", "row", base.alias("base"))
-    # a null id has nothing to join by, so nothing can be added to it
-    return rows.join(added, ["id", "row"], "left").select(
+    return join_same(rows, added, ["id", "row"], "left").select(
         "id",
         F.transform(
             merged,

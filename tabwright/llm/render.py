@@ -134,9 +134,8 @@ class _Flow:
                         if out:
                             out += _GAP
                         out = out.ljust(min(starts[column], ALIGNED)) + lines[k]
-                if out:
-                    self.words = [out]
-                    self.end_line()
+                self.words = [out]
+                self.end_line(True)
 
 
 class _Page:

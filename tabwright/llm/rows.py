@@ -60,6 +60,13 @@ def with_mark(df: DataFrame, hashed: str, table: DataFrame, bits: int = MARK_BIT
     )
 
 
+def join_same(left: DataFrame, right: DataFrame, columns: list[str], how: str = "inner") -> DataFrame:
+    """A join on equal columns in which null equals null; the columns come from ``left``."""
+    other = right.withColumnsRenamed({c: f"{c}_of_right" for c in columns})
+    same = [F.col(c).eqNullSafe(F.col(f"{c}_of_right")) for c in columns]
+    return left.join(other, same, how).drop(*[f"{c}_of_right" for c in columns])
+
+
 def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``decided(id, row, stays)`` sends away; ``row`` is the hash of a text.
 

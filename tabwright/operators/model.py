@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from typing import Any
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,25 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     return [*encoder_stages(categorical), VectorAssembler(inputCols=inputs, outputCol=FEATURES)]
 
 
+def filled_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """As :func:`feature_stages`, for numbers that may be missing: the fitted mean and a 0/1 mark in their place."""
+    if not numeric:
+        return feature_stages(numeric, categorical)
+    doubles = [f"_{c}_double" for c in numeric]
+    filled, missing = [f"_{c}_filled" for c in numeric], [f"_{c}_missing" for c in numeric]
+    marks = [
+        f"CAST(`{c}` AS DOUBLE) AS `{d}`, CAST(`{c}` IS NULL OR isnan(CAST(`{c}` AS DOUBLE)) AS DOUBLE) AS `{m}`"
+        for c, d, m in zip(numeric, doubles, missing, strict=True)
+    ]
+    inputs = [f"_{c}_hot" for c in categorical] + filled + missing
+    return [
+        SQLTransformer(statement=f"SELECT *, {', '.join(marks)} FROM __THIS__"),
+        Imputer(strategy="mean", inputCols=doubles, outputCols=filled),
+        *encoder_stages(categorical),
+        VectorAssembler(inputCols=inputs, outputCol=FEATURES),
+    ]
+
+
 def assemble(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     """Add the feature vector of a frame, with the encoder fitted on it."""
     coded = Pipeline(stages=feature_stages(numeric, categorical)).fit(df).transform(df)
@@ -85,12 +105,12 @@ def train(
     parameters: Mapping[str, Any],
     seed: int = 42,
 ) -> PipelineModel:
-    """Gradient-boosted trees on one-hot and numeric features."""
+    """Gradient-boosted trees on one-hot and numeric features; numbers may be missing, in training and in scoring."""
     shared_dir(df.sparkSession)  # lineage of many rounds is cut there
     booster = GBTClassifier(
         featuresCol=FEATURES, labelCol=label, seed=seed, checkpointInterval=10, **tree_settings(parameters)
     )
-    stages = [*feature_stages(numeric, categorical), booster]
+    stages = [*filled_stages(numeric, categorical), booster]
     return Pipeline(stages=stages).fit(df.select(label, *numeric, *categorical))
 
 
@@ -104,7 +124,7 @@ def score(model: PipelineModel, df: DataFrame, probability: str | None = None) -
 def score_with_lookup(
     model: PipelineModel, df: DataFrame, label: str, lookups: Sequence[Lookup], functions: Mapping | None = None
 ) -> DataFrame:
-    """Score rows that carry only keys and request columns; lookups add the rest."""
+    """Score rows that carry only keys and request columns; lookups add the rest, nulls where a key is unknown."""
     return score(model, training_set(df, label, lookups, functions))
 
 
@@ -118,21 +138,19 @@ def wrap_model(
 ) -> DataFrame:
     """Add predictions of any Python model, batch by batch on the executors.
 
-    ``predict(model, frame)`` defaults to ``model.predict(frame)``. The model is
-    sent to each executor once.
+    ``predict(model, frame)`` defaults to ``model.predict(frame)``. Only the inputs go to
+    Python; all other columns stay as they are. The model travels inside the function, so
+    a class from the main script works, too.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
     call = predict or (lambda m, frame: m.predict(frame))
     inputs = list(inputs)
 
-    def run(batches):
-        loaded = shared.value
-        for batch in batches:
-            batch[output] = call(loaded, batch[inputs])
-            yield batch
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        for frame in frames:
+            yield pd.Series(call(model, frame[inputs])).reset_index(drop=True)
 
-    schema = T.StructType([*df.schema.fields, T.StructField(output, output_type)])
-    return df.mapInPandas(run, schema)
+    predicted = F.pandas_udf(run, output_type)
+    return df.withColumn(output, predicted(F.struct(*[F.col(f"`{c}`").alias(c) for c in inputs])))
 
 
 def score_to_table(

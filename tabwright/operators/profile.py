@@ -127,20 +127,25 @@ def column_profile(
     The plain statistics of all columns come from one aggregate of the
     unexpanded rows. With ``approx`` the same pass also gives distinct counts
     and medians from sketches; otherwise both are exact and cost a pass each
-    over the numeric columns alone.
+    over the numeric columns alone. Values are told apart in their own type; the other
+    statistics are doubles, as one result holds columns of several types.
     """
     by = list(by)
+    own = [f"_own_{c}" for c in columns]
     rows = df.select(
-        _window(ts, granularity).alias("window"), *by, *[F.col(c).cast("double").alias(c) for c in columns]
+        _window(ts, granularity).alias("window"),
+        *by,
+        *[F.col(c).cast("double").alias(c) for c in columns],
+        *[F.col(c).alias(o) for c, o in zip(columns, own, strict=True)],
     )
     groups = ["window", *by]
-    wide = dict(_BASIC)
+    wide = {name: lambda c, agg=agg: agg(F.col(c)) for name, agg in _BASIC.items()}
     if approx:
-        wide["distinct"] = F.approx_count_distinct
+        wide["distinct"] = lambda c: F.approx_count_distinct(f"_own_{c}")
         wide["median"] = lambda c: F.percentile_approx(c, 0.5, 10_000)
-    wide["nulls"] = lambda c: F.count_if(c.isNull())
+    wide["nulls"] = lambda c: F.count_if(F.col(c).isNull())
     totals = rows.groupBy(*groups).agg(
-        *[agg(F.col(c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, agg in wide.items()]
+        *[agg(c).alias(f"{name}{i}") for i, c in enumerate(columns) for name, agg in wide.items()]
     )
     names = [n for n in ("n", "nulls", "min", "max", "mean", "std", "distinct", "median") if n in wide]
     entries = [
@@ -149,9 +154,12 @@ def column_profile(
     basic = totals.select(*groups, F.inline(F.array(*entries)))
     if approx:
         return basic
-    long = rows.unpivot(groups, list(columns), "column", "value")
+    long = rows.select(*groups, *columns).unpivot(groups, list(columns), "column", "value")
     keys = [*groups, "column"]
-    distinct = long.groupBy(*keys).agg(F.count_distinct("value").alias("distinct"))
+    # as text, in which numbers of one type differ when they differ; both zeros of a double are one
+    texts = [(F.col(o) + F.lit(0).cast(rows.schema[o].dataType)).cast("string").alias(c) for c, o in zip(columns, own, strict=True)]
+    exact = rows.select(*groups, *texts).unpivot(groups, list(columns), "column", "value")
+    distinct = exact.groupBy(*keys).agg(F.count_distinct("value").alias("distinct"))
     median = exact_quantiles(long, keys, "value", [0.5]).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
     return _same_groups(_same_groups(basic, distinct, keys), median, keys)
 

@@ -57,7 +57,7 @@ def cast(df: DataFrame, contract: Contract) -> DataFrame:
 def correct_values(df: DataFrame, corrections: Mapping[str, Mapping[Any, Any]], strict: bool = False) -> DataFrame:
     """Replace values per column, as if the corrections were applied one after another."""
     return df.withColumns(
-        {c: corrected(F.col(f"`{c}`"), changes, strict, c) for c, changes in corrections.items()}
+        {c: corrected(F.col(f"`{c}`"), changes, strict, c, df.schema[c].dataType) for c, changes in corrections.items()}
     )
 
 

@@ -16,7 +16,8 @@ CORRUPT = "_corrupt_record"
 def read_csv(spark: SparkSession, path: str, contract: Contract | None = None, typed: bool = True) -> DataFrame:
     """Read CSV files with a header, without an inference pass over the data.
 
-    Names and their order come from the header, types from the contract.
+    Names and their order come from the header, types from the contract. A file whose
+    header names other columns, or the same in another order, fails the job.
     Records that do not fit are kept, with their text in ``_corrupt_record``.
     With ``typed=False`` all columns are text, ready for ``cast`` to count what
     a conversion loses. A missing path and a file without rows are errors.
@@ -31,6 +32,7 @@ def read_csv(spark: SparkSession, path: str, contract: Contract | None = None, t
     frame = (
         spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)

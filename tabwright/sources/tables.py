@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BATCH = "batch_id"
 STAMP = "update_timestamp_utc"
@@ -83,12 +84,12 @@ def create_table(
     the table properties; ``insert_select`` refuses nulls in it and
     ``check_key`` tells whether it is unique.
     """
-    fields = [f.strip() for f in columns.split(",")]
-    ddl = ", ".join(
-        f"{f} NOT NULL" if f.split()[0].strip("`") in key and "NOT NULL" not in f.upper() else f for f in fields
-    )
+    fields = [T.StructField(f.name, f.dataType, f.nullable and f.name not in key) for f in T.StructType.fromDDL(columns).fields]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in fields)
     if replace:
         drop_table(spark, table)
+        if path:  # dropping a table at a path of its own leaves its files
+            spark.createDataFrame([], T.StructType(fields)).write.mode("overwrite").parquet(path)
     location = f" LOCATION '{path}'" if path else ""
     spark.sql(
         f"CREATE TABLE {table} ({ddl}) USING parquet{location} TBLPROPERTIES ('primary_key' = '{','.join(key)}')"

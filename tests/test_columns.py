@@ -1,5 +1,7 @@
 """Dates, corrections and conversions against plain Python."""
 
+import bisect
+import calendar
 import datetime as dt
 import itertools
 
@@ -14,17 +16,12 @@ from tabwright.functions.values import converted, resolve_chain
 from tabwright.operators.transform import correct_values, recode_target
 
 
-def by_counting(year, month, day):
-    """The rule by counting on: days up to 31, then the next month's first, after month 12 the next year's."""
-    while year <= 9999:
-        try:
-            return dt.date(year, month, day)
-        except ValueError:
-            if day < 31:
-                day += 1
-            else:
-                year, month, day = (year, month + 1, 1) if month < 12 else (year + 1, 1, 1)
-    return None
+def first_valid(year, month, day):
+    """The first date of the calendar whose parts, compared one after another, are not below the given ones."""
+    near = [y for y in {1, year, year + 1} if 1 <= y <= 9999]
+    valid = sorted((y, m, d) for y in near for m in range(1, 13) for d in range(1, calendar.monthrange(y, m)[1] + 1))
+    at = bisect.bisect_left(valid, (year, month, day))
+    return dt.date(*valid[at]) if at < len(valid) else None
 
 
 LITERAL = [
@@ -38,10 +35,10 @@ def test_literal_dates(spark):
     assert df.where(normalize_date(F.col("y"), F.col("m"), F.col("d")).cast("string") != F.col("want")).isEmpty()
 
 
-def test_dates_equal_counting(spark):
+def test_dates_are_the_first_valid_ones(spark):
     years = [-3, 0, 1, 1900, 2000, 2018, 2020, 9998, 9999]
     cases = list(itertools.product(years, range(-2, 16), range(-2, 36)))
-    rows = [(y, m, d, by_counting(y, m, d)) for y, m, d in cases]
+    rows = [(y, m, d, first_valid(y, m, d)) for y, m, d in cases]
     df = spark.createDataFrame(rows, "y int, m int, d int, want date")
     found = df.where(~normalize_date(F.col("y"), F.col("m"), F.col("d")).eqNullSafe(F.col("want")))
     assert found.collect() == []
@@ -78,6 +75,19 @@ def test_many_corrections_use_a_table(spark):
     assert sorted(r[0] for r in fixed.collect()) == list(range(40, 50)) + list(range(100, 140))
 
 
+@pytest.mark.parametrize("extra", [0, 14, 15, 38])
+def test_corrections_do_not_depend_on_their_number(spark, extra):
+    """Null targets, nulls and values without a correction, for integers and for text with integer keys."""
+    changes = {0: None, 1: 5, **{100 + i: 200 + i for i in range(extra)}}
+    df = spark.createDataFrame([(0, "0"), (1, "1"), (2, "2"), (None, None), (100, "100")], "n bigint, s string")
+    fixed = correct_values(df, {"n": changes, "s": changes})
+    last = 200 if extra else 100
+    assert [tuple(r) for r in fixed.collect()] == [(None, None), (5, "5"), (2, "2"), (None, None), (last, str(last))]
+    assert fixed.schema["s"].dataType == T.StringType()
+    strict = correct_values(df.where("n < 2"), {"n": changes}, strict=True)
+    assert sorted(r.n for r in strict.where("n is not null").collect()) == [5]
+
+
 def test_unknown_target(spark):
     df = spark.createDataFrame([("Canceled",), ("Lost",), (None,)], "s string")
     lenient = recode_target(df, "s", strict=False)

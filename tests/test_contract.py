@@ -25,9 +25,9 @@ SMALL = textwrap.dedent(
     parameters: {learning_rate: 0.01, n_estimators: 1000}
     num_features:
       - {name: ID, dtype: int64, alias: Id}
-      - {name: LIMIT_BAL, dtype: float64, alias: Limit_bal}
-    target: {name: default.payment.next.month, dtype: int64, alias: Default}
-    features: {numerical: [Id, Limit_bal], categorical: []}
+      - {name: CREDIT_MAX, dtype: float64, alias: Credit_max}
+    target: {name: next.bill.unpaid, dtype: int64, alias: Unpaid}
+    features: {numerical: [Id, Credit_max], categorical: []}
     something_else: 1
     """
 )
@@ -71,23 +71,23 @@ def test_shipped_contract():
 
 def test_names_with_dots(spark, small):
     contract = load_contract(small)
-    df = spark.createDataFrame([(1, 2.5, 1)], "ID long, LIMIT_BAL double, `default.payment.next.month` long")
+    df = spark.createDataFrame([(1, 2.5, 1)], "ID long, CREDIT_MAX double, `next.bill.unpaid` long")
     renamed = rename(check_required(df, contract), contract)
-    assert renamed.columns == ["Id", "Limit_bal", "Default"]
+    assert renamed.columns == ["Id", "Credit_max", "Unpaid"]
     assert reorder(rename_back(renamed, contract), df.columns).collect() == df.collect()
-    assert check_types(cast(renamed, contract), contract).first()["Default"] == 1
-    x, y = split_xy(renamed, "Default")
-    assert x.columns == ["Id", "Limit_bal"] and y.columns == ["Default"]
+    assert check_types(cast(renamed, contract), contract).first()["Unpaid"] == 1
+    x, y = split_xy(renamed, "Unpaid")
+    assert x.columns == ["Id", "Credit_max"] and y.columns == ["Unpaid"]
 
 
 def test_violations_name_the_columns(spark, small):
     contract = load_contract(small)
-    with pytest.raises(ContractViolation, match="LIMIT_BAL"):
-        check_required(spark.createDataFrame([(1, 1)], "ID long, `default.payment.next.month` long"), contract)
-    with pytest.raises(ContractViolation, match="target.*Default"):
-        check_present_after(spark.createDataFrame([(1, 2.0)], "Id long, Limit_bal double"), contract)
-    with pytest.raises(ContractViolation, match="Limit_bal should be of type float64"):
-        check_types(spark.createDataFrame([(1, "a", 1)], "Id long, Limit_bal string, Default long"), contract)
+    with pytest.raises(ContractViolation, match="CREDIT_MAX"):
+        check_required(spark.createDataFrame([(1, 1)], "ID long, `next.bill.unpaid` long"), contract)
+    with pytest.raises(ContractViolation, match="target.*Unpaid"):
+        check_present_after(spark.createDataFrame([(1, 2.0)], "Id long, Credit_max double"), contract)
+    with pytest.raises(ContractViolation, match="Credit_max: declared float64"):
+        check_types(spark.createDataFrame([(1, "a", 1)], "Id long, Credit_max string, Unpaid long"), contract)
 
 
 def test_signature(spark):

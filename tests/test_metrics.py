@@ -149,3 +149,11 @@ def test_stability_index_equals_brute_force(spark):
     found = {r["column"]: r["psi"] for r in dr.stability_index(frame(p), frame(q), ["x", "y"]).collect()}
     assert set(found) == {"x"} and abs(found["x"] - ((b - a) * np.log(b / a)).sum()) < 1e-9
     assert dr.stability_index(frame(p), frame(q), ["y"]).isEmpty()
+
+
+def test_profile_tells_large_integers_apart(spark):
+    df = spark.range(1000).selectExpr("timestamp'2024-01-01 00:00:00' AS ts", "9007199254740992 + id AS big", "CASE WHEN id % 2 = 0 THEN 0.0D ELSE -0.0D END AS zero")
+    found = {r["column"]: r for r in pr.column_profile(df, "ts", ["big", "zero"]).collect()}
+    assert found["big"]["distinct"] == 1000 and found["zero"]["distinct"] == 1
+    rough = {r["column"]: r for r in pr.column_profile(df, "ts", ["big", "zero"], approx=True).collect()}
+    assert abs(rough["big"]["distinct"] - 1000) < 100

@@ -77,3 +77,17 @@ def test_training_replaces_a_worse_model(spark, rows):
     )
     assert result.comparison.challenger_wins
     assert result.accuracy.first()["n"] == test.count()
+
+
+def test_model_class_from_the_main_script(rows):
+    """A class that workers cannot import travels with the function."""
+    scope = {"__name__": "__main__"}
+    exec("class Above:\n    def predict(self, frame):\n        return (frame['o_totalprice'] > 9).astype('int64')", scope)
+    assert md.wrap_model(rows, scope["Above"](), ["o_totalprice"]).where("prediction <> CAST(o_totalprice > 9 AS INT)").isEmpty()
+
+
+def test_scoring_with_missing_numbers(spark, rows):
+    gaps = rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_totalprice")))
+    fitted = md.train(gaps, "label", ["o_totalprice"], ["o_orderpriority"], PARAMETERS)
+    assert md.score(fitted, gaps).where("prediction IS NULL").isEmpty()
+    assert md.score(fitted, rows.withColumn("o_totalprice", F.lit(None).cast("double"))).count() == rows.count()

@@ -34,6 +34,13 @@ def test_bad_csv_records_are_kept_apart(spark, tmp_path):
     assert sorted(r[CORRUPT] for r in rows.where(F.col(CORRUPT).isNotNull()).collect()) == ["B,many,y", "C,4"]
 
 
+def test_csv_files_must_agree_on_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n20,10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_csv_errors(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_csv(spark, str(tmp_path / "nowhere"))
@@ -88,6 +95,15 @@ def test_create_table_declares_its_key(spark):
         tb.insert_select(spark.createDataFrame([(None, 1, 2)], "id string, n int, m int"), name, ["id", "n", "m"])
 
 
+def test_a_table_made_again_is_empty(spark):
+    name, path = fresh_name("again"), work_dir(spark, "again")
+    for _ in range(2):
+        tb.create_table(spark, name, "id STRING, price DECIMAL(10,2), pair STRUCT<a: INT, b: INT>", ["id"], path)
+        assert spark.table(name).isEmpty()
+        tb.insert_select(spark.sql("SELECT 'k' AS id, CAST(1.5 AS DECIMAL(10,2)) AS price, named_struct('a', 1, 'b', 2) AS pair"), name, ["id", "price", "pair"])
+        assert spark.table(name).count() == 1
+
+
 def test_stamp_is_the_same_instant_in_any_zone(spark):
     aware = dt.datetime(2024, 5, 1, 12, tzinfo=dt.timezone(dt.timedelta(hours=2)))
     naive = dt.datetime(2024, 5, 1, 10)
