@@ -4,11 +4,16 @@ Every string of the threshold length holds a guaranteed fingerprint (the smalles
 among its short substrings), so only strings around fingerprints that several
 documents have can repeat. These are gathered by fingerprint, suffix-sorted in small
 groups, and equal neighbours in the order tell the first document of each string.
+
+Documents are worked on in parts of some megabytes. A part sends each different thing
+once, to the bucket of its hash, and gets an answer for itself; it alone knows how often
+and where it holds it. So what a frequent string costs grows with the parts, not with
+the documents, and no group of documents meets in one task.
 """
 
 from __future__ import annotations
 
-import struct
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import id_and_text, marks, slices, text_buffer, with_mark
+from tabwright.llm.rows import id_and_text, join_same, marks, slices, text_buffer, with_mark
 from tabwright.llm.suffix_groups import suffix_arrays
 from tabwright.llm.words import _BYTE_CODES, _powers, mix
 from tabwright.session import materialize
@@ -25,17 +30,22 @@ from tabwright.session import materialize
 
 @dataclass(frozen=True)
 class Settings:
-    """``length`` of the strings in bytes; ``gram`` bytes under a fingerprint; different strings of a
-    group that are sorted together; bytes and rows of a part whose fingerprints travel as one."""
+    """``length`` of the strings in bytes; ``gram`` bytes under a fingerprint; bytes and rows of a part
+    of the input that travels as one. A fingerprint that more than ``parts`` parts have, or ``crowd``
+    documents of one part, is frequent: its strings travel by their content, each by itself. At
+    most ``together`` different pieces are sorted as one text."""
 
     length: int = 50
     gram: int = 18
-    together: int = 64
     part_bytes: int = 32 << 20
     part_rows: int = 60_000
+    parts: int = 64
+    crowd: int = 256
+    together: int = 48
 
 
-_KNOWN = 0xFFFF  # in place of a row number: the part itself has seen that the fingerprint is shared
+_KNOWN, _CROWDED = 0xFFFF, 0xFFFE  # in place of a row number: the part itself has it in several, or in very many documents
+_FREQUENT = np.uint64(1 << 63)
 
 
 def _slide(h: np.ndarray, width: int, pick) -> np.ndarray:
@@ -86,19 +96,50 @@ def _split_print(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(buckets)).astype(np.int64), (h >> np.uint64(32)).astype(np.uint32)
 
 
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - total + counts, counts)
+
+
+def _cuts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal values."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return at, np.append(at[1:], len(values))
+
+
+def _name(ids: list, rows: list) -> int:
+    """A number for a part, from what it holds."""
+    both = np.array([*rows, *ids], np.int64).view(np.uint64) + np.arange(2 * len(rows), dtype=np.uint64)
+    return int(np.bitwise_xor.reduce(mix(both)) >> np.uint64(2))
+
+
+def _packed(frame: DataFrame, keep: str) -> DataFrame:
+    """``frame`` (id, row, text, ``keep``) with the text compressed for a shuffle, as ``packed``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch):
+                data, offsets = text_buffer(piece.column("text"))
+                packed = [zlib.compress(data[a:b].tobytes(), 1) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("id"), piece.column("row"), piece.column(keep), pa.array(packed, pa.binary())], ["id", "row", keep, "packed"]
+                )
+
+    return frame.select("id", "row", "text", keep).mapInArrow(run, f"id long, row long, {keep} {frame.schema[keep].dataType.simpleString()}, packed binary")
+
+
 def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
-    """``id, row, shared`` of documents with fingerprints that others have, packed as sorted 64-bit numbers.
+    """``id, row, shared`` of documents with fingerprints that others have: sorted 64-bit numbers of bucket and
+    short hash, the top bit set for frequent ones.
 
-    Fingerprints travel in parts: a part holds those of some megabytes of text, sorted, and
-    sends each once to the bucket of its value. What a part itself has in several
-    documents it need not be told, so a frequent fingerprint is one entry per part and
-    never one per document. Each bucket answers which of a part's others came from
-    elsewhere too, and every part deals the answers out to its documents.
+    What a part has in several documents it need not be told to be shared, so it sends
+    such a fingerprint without a document. Each bucket answers which of a part's others
+    came from elsewhere too, and which are frequent.
     """
-    kind = frame.schema["id"].dataType.simpleString()
-    id_kind = pa.int64()
     columns = ["part", "bucket", "prints", "owners", "ids", "rows"]
-    sent = f"part long, bucket long, prints binary, owners binary, ids array<{kind}>, rows array<long>"
+    lists = [pa.list_(pa.int64())] * 2
 
     def part_rows(h: np.ndarray, own: np.ndarray, ids: list, rows: list) -> Iterator[pa.RecordBatch]:
         bucket, short = _split_print(h, buckets)
@@ -107,19 +148,19 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
         first = np.ones(len(o), bool)
         first[1:] = (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])
         no = np.cumsum(first) - 1
-        many = (np.bincount(no) > 1)[no] if len(no) else first
+        times = np.bincount(no)[no] if len(no) else no
+        many = times > 1
         known = np.stack([bucket[many].astype(np.uint32), short[many], own[many].astype(np.uint32)], axis=1)
-        bucket, short, own = bucket[first], short[first], np.where(many, _KNOWN, own).astype(np.uint16)[first]
-        name = int(np.bitwise_xor.reduce(mix(np.array([*rows, *ids], np.int64).view(np.uint64) + np.arange(2 * len(rows), dtype=np.uint64))).view(np.int64))
-        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-        pairs = list(zip(cuts, np.append(cuts[1:], len(bucket)), strict=True)) if len(cuts) else []
-        n = len(pairs)
+        to = np.where(many, np.where(times > s.crowd, _CROWDED, _KNOWN), own).astype(np.uint16)[first]
+        bucket, short = bucket[first], short[first]
+        name, (at, end) = _name(ids, rows), _cuts(bucket)
+        n = len(at)
         yield pa.RecordBatch.from_arrays(
             [pa.array([name] * (n + 1), pa.int64()),
-             pa.array([*bucket[cuts].tolist(), -1 - (name & (2**62 - 1))], pa.int64()),
-             pa.array([*[short[a:b].tobytes() for a, b in pairs], known.tobytes()], pa.binary()),
-             pa.array([*[own[a:b].tobytes() for a, b in pairs], None], pa.binary()),
-             pa.array([*[None] * n, ids], pa.list_(id_kind)), pa.array([*[None] * n, rows], pa.list_(pa.int64()))],
+             pa.array([*bucket[at].tolist(), -1 - name], pa.int64()),
+             pa.array([*[short[a:b].tobytes() for a, b in zip(at, end, strict=True)], known.tobytes()], pa.binary()),
+             pa.array([*[to[a:b].tobytes() for a, b in zip(at, end, strict=True)], None], pa.binary()),
+             pa.array([*[None] * n, ids], lists[0]), pa.array([*[None] * n, rows], lists[1])],
             columns,
         )
 
@@ -145,85 +186,285 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
             yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
 
     def compare(table: pa.Table) -> pa.Table:
-        if table.column("bucket")[0].as_py() < 0:  # a part's own row
+        bucket = table.column("bucket")[0].as_py()
+        if bucket < 0:  # a part's own row
             return table.select(["part", "prints", "ids", "rows"]).rename_columns(["part", "found", "ids", "rows"])
         prints = [np.frombuffer(x, np.uint32) for x in table.column("prints").to_pylist()]
         owners = [np.frombuffer(x, np.uint16) for x in table.column("owners").to_pylist()]
-        every = np.concatenate(prints)
-        o = np.argsort(every, kind="stable")
-        again = np.zeros(len(o), bool)
-        again[1:] = every[o][1:] == every[o][:-1]
-        again[:-1] |= again[1:]
-        hit = np.empty(len(o), bool)
-        hit[o] = again
-        out, at, bucket = [], 0, table.column("bucket")[0].as_py()
+        values, no, times = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+        crowded = np.zeros(len(values), bool)
+        crowded[no[np.concatenate(owners) == _CROWDED]] = True
+        frequent = (crowded | (times > s.parts))[no]
+        shared = (times > 1)[no]
+        out, at = [], 0
         for p, w in zip(prints, owners, strict=True):
-            use = hit[at : at + len(p)] & (w != _KNOWN)
-            out.append(np.stack([np.full(int(use.sum()), bucket, np.uint32), p[use], w[use].astype(np.uint32)], axis=1).tobytes())
+            here = slice(at, at + len(p))
+            use = np.where(w >= _CROWDED, frequent[here], shared[here])
+            owner = np.minimum(w[use], _KNOWN).astype(np.uint32) | (frequent[here][use].astype(np.uint32) << np.uint32(31))
+            out.append(np.stack([np.full(len(owner), bucket, np.uint32), p[use], owner], axis=1).tobytes())
             at += len(p)
         return pa.table(
-            {"part": table.column("part"), "found": pa.array(out, pa.binary()),
-             "ids": pa.nulls(len(out), pa.list_(id_kind)), "rows": pa.nulls(len(out), pa.list_(pa.int64()))}
-        )
+            {"part": table.column("part"), "found": pa.array(out, pa.binary()), "ids": pa.nulls(len(out), lists[0]), "rows": pa.nulls(len(out), lists[1])}
+        )
 
     def deal(table: pa.Table) -> pa.Table:
-        pieces = [np.frombuffer(x, "<u4").reshape(-1, 3) for x in table.column("found").to_pylist()]
-        found = np.unique(np.concatenate(pieces), axis=0) if len(pieces) > 1 else pieces[0]
-        key = (found[:, 0].astype(np.uint64) << np.uint64(32)) | found[:, 1]
-        o = np.lexsort((key, found[:, 2]))
-        key, own = key[o], found[:, 2][o]
-        at = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
-        ids, rows = (next(c for c in table.column(n).to_pylist() if c is not None) for n in ("ids", "rows"))
+        every = list(zip(table.column("found").to_pylist(), table.column("ids").to_pylist(), table.column("rows").to_pylist(), strict=True))
+        known, ids, rows = next(x for x in every if x[1] is not None)
+        known = np.frombuffer(known, "<u4").reshape(-1, 3)
+        told = np.concatenate([np.zeros((0, 3), np.uint32), *[np.frombuffer(x, "<u4").reshape(-1, 3) for x, i, _ in every if i is None]])
+
+        def keys(found: np.ndarray) -> np.ndarray:
+            return (found[:, 0].astype(np.uint64) << np.uint64(32)) | found[:, 1]
+
+        frequent, owner = (told[:, 2] >> np.uint32(31)) == 1, told[:, 2] & np.uint32(_KNOWN)
+        general = owner >= _CROWDED
+        mine = np.isin(keys(known), keys(told[general & frequent]))
+        key = np.concatenate([keys(known) | np.where(mine, _FREQUENT, np.uint64(0)),
+                              keys(told[~general]) | np.where(frequent[~general], _FREQUENT, np.uint64(0))])
+        own = np.concatenate([known[:, 2], owner[~general]])
+        o = np.lexsort((key, own))
+        key, own = key[o], own[o]
+        at, end = _cuts(own)
         return pa.table(
-            {"id": pa.array([ids[k] for k in own[at]], id_kind), "row": pa.array([rows[k] for k in own[at]], pa.int64()),
-             "shared": pa.array([key[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(own)), strict=True)] if len(at) else [], pa.binary())}
+            {"id": pa.array([ids[k] for k in own[at]], pa.int64()), "row": pa.array([rows[k] for k in own[at]], pa.int64()),
+             "shared": pa.array([key[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())}
         )
 
-    parts = frame.mapInArrow(send, sent)
-    replies = parts.groupBy("bucket").applyInArrow(compare, f"part long, found binary, ids array<{kind}>, rows array<long>")
-    return replies.groupBy("part").applyInArrow(deal, f"id {kind}, row long, shared binary")
+    parts = frame.mapInArrow(send, "part long, bucket long, prints binary, owners binary, ids array<long>, rows array<long>")
+    replies = parts.groupBy("bucket").applyInArrow(compare, "part long, found binary, ids array<long>, rows array<long>")
+    return replies.groupBy("part").applyInArrow(deal, "id long, row long, shared binary")
 
 
-def _places(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
-    """Rows (id, row, print, place, left, string, name) around each shared fingerprint of ``texts(id, row, text, shared)``:
-    the bytes of all strings that select it, and how many of them lie left of it."""
-    kind = texts.schema["id"].dataType.simpleString()
+def _strings(text: np.ndarray, shared: np.ndarray, s: Settings, buckets: int) -> tuple[np.ndarray, ...]:
+    """Group, name, start, end and offset of the fingerprint of the strings around the shared ones of one text.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    A group holds what can be equal somewhere: the strings that select one fingerprint
+    lie in one piece of text; of a frequent one each string is a piece and a group.
+    """
+    h, at, first, last = anchors(text, s)
+    bucket, short = _split_print(h, buckets)
+    key = (bucket.astype(np.uint64) << np.uint64(32)) | short
+    plain, often = np.isin(key, shared), np.isin(key | _FREQUENT, shared)
+    sums, inverse = _prefix_sums(text)
+    count = (last - first + 1)[often]
+    start = np.concatenate([first[plain], _spread(first[often], count)])
+    end = np.concatenate([last[plain], _spread(first[often], count)]) + s.length
+    content = mix((sums[end] - sums[start]) * inverse[start])
+    name = mix(content + (end - start).astype(np.uint64))
+    own = int(plain.sum())
+    group = np.concatenate([h[plain], mix(name[own:] + np.uint64(1))])
+    name[:own] = mix(name[:own] + group[:own])
+    left = np.concatenate([(at - first)[plain], np.zeros(len(start) - own, np.int64)])
+    return group, name, start, end, left
+
+
+def _repeats(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
+    """``id, row, ranges`` of ``texts(id, row, packed, shared)``: maximal byte ranges whose strings an earlier document
+    has, packed as pairs of 64-bit numbers."""
+    columns = ["part", "bucket", "block", "ids", "rows"]
+    lists = [pa.list_(pa.int64())] * 2
+
+    def part_rows(held: list, raws: list, ids: list, rows: list) -> Iterator[pa.RecordBatch]:
+        doc = np.repeat(np.arange(len(ids)), [len(x[0]) for x in held])
+        group, name, start, end, left = (np.concatenate([x[k] for x in held]) for k in range(5))
+        order_of = np.array(ids, np.int64)
+        bucket = (mix(group) % np.uint64(buckets)).astype(np.int64)
+        o = np.lexsort((order_of[doc], name, group, bucket))
+        doc, group, name, start, end, left, bucket = (x[o] for x in (doc, group, name, start, end, left, bucket))
+        first = np.ones(len(o), bool)
+        first[1:] = (name[1:] != name[:-1]) | (group[1:] != group[:-1])
+        entry = np.cumsum(first) - 1
+        lead = np.flatnonzero(first)
+        size, lefts = (end - start)[lead].astype(np.uint16), left[lead].astype(np.uint16)
+        lowest = order_of[doc[lead]]
+        pieces = [raws[d][a:b] for d, a, b in zip(doc[lead].tolist(), start[lead].tolist(), end[lead].tolist(), strict=True)]
+        short = (group[lead] >> np.uint64(32)).astype(np.uint32)
+        part, (at, stop) = _name(ids, rows), _cuts(bucket[lead])
+        blocks = [
+            zlib.compress(np.int64(b - a).tobytes() + short[a:b].tobytes() + size[a:b].tobytes() + lefts[a:b].tobytes() + lowest[a:b].tobytes() + b"".join(pieces[a:b]), 1)
+            for a, b in zip(at.tolist(), stop.tolist(), strict=True)
+        ]
+        own = [np.int64(len(doc)).tobytes(), entry.astype(np.uint32).tobytes(), doc.astype(np.uint16).tobytes(), start.astype(np.int64).tobytes(), (end - start).astype(np.uint16).tobytes()]
+        n = len(at)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part] * (n + 1), pa.int64()), pa.array([*bucket[lead][at].tolist(), -1 - part], pa.int64()),
+             pa.array([*blocks, zlib.compress(b"".join(own), 1)], pa.binary()),
+             pa.array([*[None] * n, ids], lists[0]), pa.array([*[None] * n, rows], lists[1])],
+            columns,
+        )
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, raws, ids, rows, volume = [], [], [], [], 0
         for batch in batches:
-            for piece in slices(batch):
-                data, offsets = text_buffer(piece.column("text"))
-                owner, prints, place, left, strings, names = [], [], [], [], [], []
-                for k, shared in enumerate(piece.column("shared").to_pylist()):
-                    text = data[offsets[k] : offsets[k + 1]]
-                    h, at, first, last = anchors(text, s)
-                    bucket, short = _split_print(h, buckets)
-                    key = (bucket.astype(np.uint64) << np.uint64(32)) | short
-                    use = np.flatnonzero(np.isin(key, np.frombuffer(shared, np.uint64)))
-                    if not len(use):
-                        continue
-                    raw = text.tobytes()
-                    first, end = first[use], last[use] + s.length
-                    strings += [raw[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
-                    sums, inverse = _prefix_sums(text)
-                    content = mix((sums[end] - sums[first]) * inverse[first])
-                    names.append(mix(content + mix(h[use] + (at[use] - first).astype(np.uint64)) + (end - first).astype(np.uint64)))
-                    owner.append(np.full(len(use), k))
-                    prints.append(h[use])
-                    place.append(at[use])
-                    left.append(at[use] - first)
-                if not owner:
-                    continue
-                rows = pa.array(np.concatenate(owner))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("id").take(rows), piece.column("row").take(rows),
-                     pa.array(np.concatenate(prints).view(np.int64)), pa.array(np.concatenate(place).astype(np.int64)),
-                     pa.array(np.concatenate(left).astype(np.int32)), pa.array(strings, pa.binary()),
-                     pa.array(np.concatenate(names).view(np.int64))],
-                    ["id", "row", "print", "place", "left", "string", "name"],
-                )
+            for k in range(batch.num_rows):
+                raw = zlib.decompress(batch.column("packed")[k].as_py())
+                shared = np.frombuffer(batch.column("shared")[k].as_py(), np.uint64)
+                held.append(_strings(np.frombuffer(raw, np.uint8), shared, s, buckets))
+                raws.append(raw)
+                ids.append(batch.column("id")[k].as_py())
+                rows.append(batch.column("row")[k].as_py())
+                volume += len(raw)
+                if volume >= s.part_bytes // 2 or len(ids) >= s.part_rows:
+                    yield from part_rows(held, raws, ids, rows)
+                    held, raws, ids, rows, volume = [], [], [], [], 0
+        if ids:
+            yield from part_rows(held, raws, ids, rows)
+
+    def opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+        raw = zlib.decompress(block)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        short = np.frombuffer(raw, np.uint32, n, 8)
+        size, left = np.frombuffer(raw, np.uint16, n, 8 + 4 * n), np.frombuffer(raw, np.uint16, n, 8 + 6 * n)
+        lowest = np.frombuffer(raw, np.uint8, 8 * n, 8 + 8 * n).copy().view(np.int64)
+        at = 8 + 16 * n
+        ends = (np.cumsum(size, dtype=np.int64) + at).tolist()
+        return short, left, lowest, [raw[a:b] for a, b in zip([at, *ends[:-1]], ends, strict=True)]
+
+    def solve(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            return table
+        blocks = [opened(x) for x in table.column("block").to_pylist()]
+        number: dict[tuple[int, int, bytes], int] = {}
+        places = []
+        for short, left, _, pieces in blocks:
+            every = zip(short.tolist(), left.tolist(), pieces, strict=True)
+            places.append(np.array([number.setdefault(k, len(number)) for k in every], np.int64))
+        least = np.full(len(number), np.iinfo(np.int64).max)
+        for at, (_, _, lowest, _) in zip(places, blocks, strict=True):
+            np.minimum.at(least, at, lowest)
+        runs = _earlier(list(number), least, s)
+        out = []
+        for at, (_, _, lowest, _) in zip(places, blocks, strict=True):
+            flags = (lowest > least[at]).astype(np.uint8)
+            inside = []
+            for k in np.flatnonzero(flags == 0).tolist():
+                run = runs.get(int(at[k]))
+                if run:
+                    flags[k] = 2
+                    inside += [len(run) // 2, *run]
+            out.append(zlib.compress(np.int64(len(flags)).tobytes() + flags.tobytes() + np.array(inside, np.uint16).tobytes(), 1))
+        return table.set_column(2, "block", pa.array(out, pa.binary()))
+
+    def apply(table: pa.Table) -> pa.Table:
+        rows_of = sorted(zip(*[table.column(c).to_pylist() for c in ("bucket", "block", "ids", "rows")], strict=True), key=lambda r: r[0])
+        raw = zlib.decompress(rows_of[0][1])
+        ids, rows = rows_of[0][2:]
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        entry = np.frombuffer(raw, np.uint32, n, 8)
+        doc = np.frombuffer(raw, np.uint16, n, 8 + 4 * n)
+        start = np.frombuffer(raw, np.uint8, 8 * n, 8 + 6 * n).copy().view(np.int64)
+        size = np.frombuffer(raw, np.uint16, n, 8 + 14 * n).astype(np.int64)
+        flags, inside = [], []
+        for _, block, _, _ in (r for r in rows_of if r[0] >= 0):
+            answer = zlib.decompress(block)
+            k = int(np.frombuffer(answer, np.int64, 1)[0])
+            flags.append(np.frombuffer(answer, np.uint8, k, 8))
+            inside.append(np.frombuffer(answer[8 + k :], np.uint16).astype(np.int64))
+        flag, inside = np.concatenate(flags), np.concatenate(inside)
+        order_of = np.array(ids, np.int64)
+        lead = np.flatnonzero(np.append(True, entry[1:] != entry[:-1]))
+        later = order_of[doc] > order_of[doc[lead]][entry]
+        whole = later | (flag[entry] == 1)
+        d, a, b = [doc[whole].astype(np.int64)], [start[whole]], [(start + size)[whole]]
+        at, begin, stop = 0, np.append(lead, n), {}
+        for e in np.flatnonzero(flag == 2).tolist():
+            k = int(inside[at])
+            stop[e] = inside[at + 1 : at + 1 + 2 * k].reshape(-1, 2)
+            at += 1 + 2 * k
+            for x in range(begin[e], begin[e + 1]):
+                if not later[x]:
+                    d.append(np.full(k, doc[x], np.int64))
+                    a.append(start[x] + stop[e][:, 0])
+                    b.append(start[x] + stop[e][:, 1] + s.length)
+        d, a, b = np.concatenate(d), np.concatenate(a), np.concatenate(b)
+        o = np.lexsort((a, d))
+        d, a, b = d[o], a[o], b[o]
+        far = np.int64(1) << np.int64(40)  # longer than any text
+        reach = np.maximum.accumulate(b + d * far) if len(d) else b
+        new = np.ones(len(d), bool)
+        new[1:] = a[1:] + d[1:] * far > reach[:-1]
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(d)) - 1 if len(head) else head
+        pairs = np.stack([a[head], reach[last] - d[head] * far], axis=1) if len(head) else np.zeros((0, 2), np.int64)
+        cut, end = _cuts(d[head])
+        return pa.table(
+            {"id": pa.array([ids[k] for k in d[head][cut]], pa.int64()), "row": pa.array([rows[k] for k in d[head][cut]], pa.int64()),
+             "ranges": pa.array([pairs[x:y].tobytes() for x, y in zip(cut, end, strict=True)], pa.binary())}
+        )
+
+    kind = "part long, bucket long, block binary, ids array<long>, rows array<long>"
+    answers = texts.mapInArrow(send, kind).groupBy("bucket").applyInArrow(solve, kind)
+    return answers.groupBy("part").applyInArrow(apply, "id long, row long, ranges binary")
 
-    return texts.mapInArrow(run, f"id {kind}, row long, print long, place long, left int, string binary, name long")
+
+def _small_groups(members: list[int], pieces: list[tuple[int, int, bytes]], s: Settings) -> Iterator[list[tuple[int, int, bytes]]]:
+    """The pieces (number, shift, bytes) of one group in groups of at most ``s.together`` different ones.
+
+    A crowded group is cut in two by the distance from a string's start to the
+    fingerprint, and each half by the bytes that all its strings share; what is equal so
+    stays together. A half of a single distance holds a single string.
+    """
+    work = [(0, s.length - s.gram, [(k, 0, pieces[k][1], pieces[k][2]) for k in members])]
+    while work:
+        low, high, held = work.pop()
+        if len(held) <= s.together or low == high or len({x[3] for x in held}) <= s.together:
+            yield [(k, shift, text) for k, shift, _, text in held]
+            continue
+        middle = (low + high) // 2
+        for a, b in ((low, middle), (middle + 1, high)):
+            parts: dict[bytes, list] = {}
+            for k, shift, left, text in held:
+                near, far = max(a, left - len(text) + s.length), min(b, left)
+                if near <= far:
+                    part = (k, shift + left - far, far, text[left - far : left - near + s.length])
+                    parts.setdefault(text[left - a : left - b + s.length], []).append(part)
+            work += [(a, b, part) for part in parts.values() if len(part) > 1]
+
+
+def _earlier(pieces: list[tuple[int, int, bytes]], least: np.ndarray, s: Settings) -> dict[int, list[int]]:
+    """First and last start of the runs of strings that an earlier document than a piece's own has, by piece.
+
+    ``pieces`` are (group, distance to the fingerprint, bytes), ``least`` their first documents.
+    """
+    before: dict[int, np.ndarray] = {}
+
+    def sort(step: list[list[tuple[int, int, bytes]]]) -> None:
+        numbers, texts, owners, groups = [], [], [], []
+        for g, group in enumerate(step):
+            same: dict[bytes, list] = {}
+            for k, shift, text in group:
+                same.setdefault(text, []).append((k, shift))
+            for text, held in same.items():
+                numbers.append(held)
+                texts.append(text)
+                owners.append(min(int(least[k]) for k, _ in held))
+                groups.append(g)
+        found = first_owners(texts, np.array(owners, np.int64), np.array(groups, np.int64), s.length)
+        for held, first in zip(numbers, found, strict=True):
+            for k, shift in held:
+                gone = first < least[k]
+                if gone.any():
+                    mine = before.setdefault(k, np.zeros(len(pieces[k][2]) - s.length + 1, bool))
+                    mine[shift : shift + len(gone)] |= gone
+
+    order = sorted(range(len(pieces)), key=lambda k: pieces[k][0])
+    groups = np.array([pieces[k][0] for k in order], np.int64)
+    step, volume = [], 0
+    for at, end in zip(*_cuts(groups), strict=True):
+        if end - at > 1:
+            for group in _small_groups(order[at:end], pieces, s):
+                step.append(group)
+                volume += sum(len(x[2]) for x in group)
+            if volume >= 1 << 20:
+                sort(step)
+                step, volume = [], 0
+    if step:
+        sort(step)
+    out = {}
+    for k, gone in before.items():
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+        out[k] = np.stack([edge[::2], edge[1::2] - 1], axis=1).ravel().tolist()
+    return out
 
 
 def first_owners(strings: list[bytes], lowest: np.ndarray, groups: np.ndarray, length: int) -> list[np.ndarray]:
@@ -277,130 +518,6 @@ def first_owners(strings: list[bytes], lowest: np.ndarray, groups: np.ndarray, l
     return out
 
 
-_PIECE = "print long, name long, key long, piece long, shift int, low int, high int, left int, string binary, lowest long"
-
-
-def _halves(s: Settings):
-    """Cuts the strings of crowded groups into those whose starts lie in either half of the group's range.
-
-    ``low`` to ``high`` is the range of distances from a string's start to the fingerprint.
-    All strings with a distance in a half share the bytes between; these become part of
-    the key, so a half holds what can still be equal.
-    """
-
-    def named(*parts) -> int:
-        h = np.frombuffer(b"".join(p if isinstance(p, bytes) else struct.pack("<q", p) for p in parts), np.uint8)
-        sums, _ = _prefix_sums(h)
-        return int(mix(sums[-1:] + np.uint64(len(h))).view(np.int64)[0])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                middle = (r["low"] + r["high"]) // 2
-                text, left = r["string"], r["left"]
-                for low, high in ((r["low"], middle), (middle + 1, r["high"])):
-                    near, far = max(low, left - len(text) + s.length), min(high, left)
-                    if low > high or near > far:
-                        continue
-                    part = text[left - far : left - near + s.length]
-                    between = text[left - low : left - high + s.length]
-                    out.append(
-                        r | {"key": named(r["print"], low, high, between), "piece": named(far, part), "low": low, "high": high,
-                             "shift": r["shift"] + left - far, "left": far, "string": part}
-                    )
-            yield pa.RecordBatch.from_pylist(out, batch.schema) if out else batch.slice(0, 0)
-
-    return run
-
-
-def _solve(groups: DataFrame, s: Settings) -> DataFrame:
-    """``key, piece, lowest, starts, runs`` of strings (key, piece, string, lowest): the number of string starts, and
-    the ranges of those that an earlier document than ``lowest`` has too."""
-    kind = "key long, piece long, lowest long, starts int, runs array<struct<first:int,last:int>>"
-    names = ["key", "piece", "lowest", "starts", "runs"]
-
-    def solved(keys, pieces, strings, lowest) -> pa.RecordBatch:
-        low = np.array(lowest, np.int64)
-        runs = []
-        owners = first_owners(strings, low, np.array(keys, np.int64), s.length)
-        for own, first in zip(low, owners, strict=True):
-            before = np.concatenate([[False], first < own, [False]])
-            edge = np.flatnonzero(before[1:] != before[:-1])
-            runs.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)])
-        run_kind = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-        starts = [len(x) for x in owners]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(pieces, pa.int64()), pa.array(low), pa.array(starts, pa.int32()), pa.array(runs, run_kind)],
-            names,
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = [[], [], [], []]
-        volume = 0
-        for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("key", "piece", "string", "lowest")], strict=True):
-                if volume >= 1 << 19 and row[0] != held[0][-1]:
-                    yield solved(*held)
-                    held, volume = [[], [], [], []], 0
-                for h, v in zip(held, row, strict=True):
-                    h.append(v)
-                volume += len(row[2])
-        if held[0]:
-            yield solved(*held)
-
-    ordered = groups.select("key", "piece", "string", "lowest").repartition("key").sortWithinPartitions("key")
-    return ordered.mapInArrow(run, kind)
-
-
-def _repeats(places: DataFrame, s: Settings) -> DataFrame:
-    """``id, row, start, end`` of byte ranges whose strings an earlier document has."""
-    pieces = (
-        places.groupBy("print", "name")
-        .agg(F.min("id").alias("lowest"), F.first("left").alias("left"), F.first("string").alias("string"))
-        .select(
-            "print", "name", F.col("print").alias("key"), F.col("name").alias("piece"), F.lit(0).alias("shift"), F.lit(0).alias("low"),
-            F.lit(s.length - s.gram).alias("high"), "left", "string", "lowest",
-        )
-    )
-    pieces = materialize(pieces, "repeat-strings")
-    answers = None
-    while True:
-        distinct = pieces
-        if answers is not None:
-            firsts = [F.first(c).alias(c) for c in ("string", "low", "high")]
-            distinct = materialize(pieces.groupBy("key", "piece").agg(F.min("lowest").alias("lowest"), *firsts), "repeat-groups")
-        # a range of one distance has one string
-        sizes = distinct.where("low < high").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        crowded = materialize(sizes.where(F.col("n") > s.together).select("key"), "repeat-crowded")
-        table = marks(crowded, "key")
-        at_hand = with_mark(distinct, "key", table).where((F.col("low") == F.col("high")) | ~F.col("marked"))
-        solved = _solve(at_hand, s)
-        if answers is not None:
-            back = pieces.select("print", "name", "shift", "key", "piece")
-            solved = back.join(solved, ["key", "piece"]).select("print", "name", "shift", "lowest", "starts", "runs")
-        else:
-            solved = solved.select(
-                F.col("key").alias("print"), F.col("piece").alias("name"), F.lit(0).alias("shift"), "lowest", "starts", "runs"
-            )
-        solved = materialize(solved, "repeat-answers")
-        answers = solved if answers is None else answers.union(solved)
-        if crowded.isEmpty():
-            break
-        rest = with_mark(pieces, "key", table).where("marked AND low < high").drop("marked")
-        pieces = materialize(rest.mapInArrow(_halves(s), _PIECE), "repeat-strings")
-    # of a string's documents the first has no earlier one but for the runs; for all others the string itself is earlier
-    whole = F.array(F.struct(F.lit(0).alias("first"), (F.col("starts") - 1).alias("last")))
-    begin = F.col("place") - F.col("left") + F.col("shift")
-    return (
-        places.select("id", "row", "place", "left", "print", "name")
-        .join(answers, ["print", "name"])
-        .where("id > lowest OR size(runs) > 0")
-        .withColumn("run", F.explode(F.when(F.col("id") > F.col("lowest"), whole).otherwise(F.col("runs"))))
-        .select("id", "row", (begin + F.col("run.first")).alias("start"), (begin + F.col("run.last") + s.length).alias("end"))
-    )
-
-
 _LAST = (1 << 63) - 1
 
 
@@ -418,10 +535,10 @@ def drop_repeated_strings(
 
     Equal texts are found by two 64-bit hashes first: all but the one with the smallest
     id are covered in full. Documents are compared by fingerprints, about one per 17
-    bytes of text at 4 to 6 bytes each, a part of the input at a time. Only strings
-    around shared fingerprints are gathered, equal ones as one; groups with more different
-    strings than ``settings.together`` are cut by further bytes until they are small, so
-    neither a frequent passage nor its many different surroundings meet in one task.
+    bytes of text at 6 bytes each, a part of the input at a time. Only strings around
+    shared fingerprints are gathered, once per part. Groups that are suffix-sorted have
+    at most ``settings.parts * settings.crowd`` different pieces; the strings of more
+    frequent fingerprints are compared by content, each in a group of its own.
     """
     s = settings or Settings()
     if not 8 <= s.gram <= s.length:
@@ -440,37 +557,46 @@ def drop_repeated_strings(
     first = seen.where("NOT marked").select("id", "text", "row").union(
         again.where("keep IS NULL OR id = keep").select("id", "text", "row")
     )
-    shared = materialize(_shared(first, s, buckets), "repeat-shared")
-    places = materialize(_places(frame.join(shared, ["id", "row"]).select("id", "row", "text", "shared"), s, buckets), "repeat-places")
-    found = _repeats(places, s).groupBy("id", "row").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
-    found = materialize(found, "repeat-ranges")
+    shared = materialize(_shared(first, s, buckets).dropDuplicates(["id", "row"]), "repeat-shared")
+    seen = with_mark(frame, "row", marks(shared, "row")).where("marked").withColumn("none", F.lit(None).cast("int"))
+    texts = _packed(seen, "none").drop("none").join(shared, ["id", "row"])
+    found = materialize(_repeats(texts, s, buckets).dropDuplicates(["id", "row"]), "repeat-ranges")
 
     touched = copies.select("row").union(found.select("row"))
     seen = with_mark(frame, "row", marks(touched, "row"))
-    plain = seen.where("NOT marked").select("id", "text", F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias("ranges"))
-    rest = seen.where("marked").withColumn("check", check).join(copies, ["row", "check"], "left").join(found, ["id", "row"], "left")
+    plain = seen.where("NOT marked")
     size = F.octet_length("text").cast("long")
-    all_of_it = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))
-    covered = F.when((F.col("id") > F.col("keep")) & (size >= s.length), all_of_it).otherwise(F.col("ranges"))
-    rest = rest.select("id", "text", covered.alias("ranges"))
+    # what was found for a text hash: copies by the second hash, ranges by document
+    told = copies.select("row", F.struct("check", "keep").alias("copy"), F.lit(None).cast("struct<id:bigint,ranges:binary>").alias("cut"))
+    told = told.union(found.select("row", F.lit(None).cast(told.schema["copy"].dataType), F.struct("id", "ranges")))
+    told = told.groupBy("row").agg(F.collect_list("copy").alias("same"), F.collect_list("cut").alias("cuts"))
+    rest = _packed(seen.where("marked").withColumn("about", F.struct(check.alias("check"), size.alias("size"))), "about").join(told, "row", "left")
+    keep = F.expr("get(filter(same, c -> c.check = about.check), 0).keep")
+    whole = F.coalesce((F.col("id") > keep) & (F.col("about.size") >= s.length), F.lit(False))
+    rest = rest.select(
+        "id", F.col("about.size").alias("size"), whole.alias("whole"), F.expr("get(filter(cuts, c -> c.id = id), 0).ranges").alias("ranges"),
+        F.when(~whole, F.col("packed")).alias("packed"),
+    )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
-                data, offsets = text_buffer(piece.column("text"))
+            for at in range(0, batch.num_rows, 256):
+                piece = batch.slice(at, 256)
                 removed, spans, kept = [], [], []
-                for k, ranges in enumerate(piece.column("ranges").to_pylist()):
-                    text = data[offsets[k] : offsets[k + 1]]
-                    edge = np.zeros(len(text) + 1, np.int64)
-                    for r in ranges or ():
-                        edge[r["start"]] += 1
-                        edge[r["end"]] -= 1
-                    gone = np.cumsum(edge[:-1]) > 0
-                    removed.append(int(gone.sum()))
-                    spans.append(int((gone & ~np.concatenate([[False], gone[:-1]])).sum()))
-                    kept.append(text[~gone].tobytes())
+                for size, packed, ranges in zip(*[piece.column(c).to_pylist() for c in ("size", "packed", "ranges")], strict=True):
+                    if packed is None:  # a copy
+                        removed.append(size)
+                        spans.append(1)
+                        kept.append(b"")
+                        continue
+                    text = zlib.decompress(packed)
+                    pairs = np.frombuffer(ranges or b"", np.int64).reshape(-1, 2)
+                    edge = [0, *pairs.ravel().tolist(), len(text)]
+                    kept.append(b"".join([text[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True)]))
+                    removed.append(len(text) - len(kept[-1]))
+                    spans.append(len(pairs))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                    [piece.column("id"), piece.column("size"), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
                     ["id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 

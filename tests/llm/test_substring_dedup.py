@@ -71,9 +71,9 @@ def test_messy_rows(spark):
     assert drop_repeated_strings(empty(spark)).collect() == []
 
 
-@pytest.mark.parametrize("together", [1, 64])
-def test_frequent_passages_in_changing_surroundings(spark, together):
-    """Small parts and groups, so that passages cross parts and crowded groups are cut."""
+@pytest.mark.parametrize("parts, crowd, together", [(64, 256, 48), (64, 256, 1), (3, 256, 2), (64, 2, 48), (0, 0, 48)])
+def test_frequent_passages_in_changing_surroundings(spark, parts, crowd, together):
+    """Small parts, so that passages cross them, and low bounds, so that some fingerprints are frequent."""
     rng = random.Random(5)
     words = [f"w{k}" for k in range(300)]
     rows = []
@@ -81,7 +81,7 @@ def test_frequent_passages_in_changing_surroundings(spark, together):
         own = " ".join(rng.choices(words, k=rng.randint(5, 40)))
         cut = rng.randint(0, 30)
         rows.append((i, f"{own} {PASSAGE[cut:]} {own[::-1]}" if i % 3 else f"{PASSAGE}{i % 7}{PASSAGE[: 60 + cut]}"))
-    s = Settings(together=together, part_bytes=2000, part_rows=7)
+    s = Settings(part_bytes=2000, part_rows=7, parts=parts, crowd=crowd, together=together)
     assert rows_of(drop_repeated_strings(messy(spark, rows), s)) == brute(rows)
 
 
