@@ -119,35 +119,30 @@ class _Table(dict):
         return value
 
 
+def _special(spec: dict) -> dict[str, int]:
+    return {t["content"]: t["id"] for t in spec["added_tokens"]}
+
+
 class ByteCoder:
-    """A byte-level tokenizer file: text to packed ids and back."""
+    """Encodes texts by a byte-level tokenizer file."""
 
     def __init__(self, spec: bytes):
-        spec_json = json.loads(spec)
-        vocabulary = spec_json["model"]["vocab"]
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec_json["model"]["merges"]]
-        self.coder = PrefixCoder(vocabulary, merges)
-        letters = byte_letters()
-        self.letters = dict(enumerate(letters))
-        back = {c: b for b, c in enumerate(letters)}
-        special = {t["content"]: t["id"] for t in spec_json["added_tokens"]}
+        parsed = json.loads(spec)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["model"]["merges"]]
+        self.coder = PrefixCoder(parsed["model"]["vocab"], merges)
+        self.letters = dict(enumerate(byte_letters()))
+        special = _special(parsed)
         self.special = {text: struct.pack("<I", i) for text, i in special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
-        size = max([*vocabulary.values(), *special.values()]) + 1
-        self.bytes_of = [b""] * size
-        for word, i in vocabulary.items():
-            self.bytes_of[i] = bytes(back[c] for c in word)
-        for text, i in special.items():
-            self.bytes_of[i] = text.encode()
-        self.pieces = _Table(self._piece)
         self.table = _Table(self._stretch)
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.coder.encode(piece.encode().decode("latin-1").translate(self.letters))
-        return struct.pack(f"<{len(ids)}I", *ids)
-
     def _stretch(self, stretch: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(stretch)))
+        """Ids of a stretch; its pieces are stretches themselves, kept in the same table."""
+        pieces = _PIECE.findall(stretch)
+        if len(pieces) > 1:
+            return b"".join(map(self.table.__getitem__, pieces))
+        ids = self.coder.encode(stretch.encode().decode("latin-1").translate(self.letters))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -161,6 +156,20 @@ class ByteCoder:
             )
         )
 
+
+class ByteDecoder:
+    """The bytes behind the ids of a byte-level tokenizer file."""
+
+    def __init__(self, spec: bytes):
+        parsed = json.loads(spec)
+        vocabulary, special = parsed["model"]["vocab"], _special(parsed)
+        back = {c: b for b, c in enumerate(byte_letters())}
+        self.bytes_of = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+        for word, i in vocabulary.items():
+            self.bytes_of[i] = bytes(back[c] for c in word)
+        for text, i in special.items():
+            self.bytes_of[i] = text.encode()
+
     def decode(self, ids: bytes) -> str:
         found = map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())
         return b"".join(found).decode("utf-8", "replace")
@@ -171,6 +180,11 @@ def _byte_coder(spec: bytes) -> ByteCoder:
     return ByteCoder(spec)
 
 
+@lru_cache(2)
+def _byte_decoder(spec: bytes) -> ByteDecoder:
+    return ByteDecoder(spec)
+
+
 def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids`` of every row: the ids of its text, packed as little-endian unsigned 32-bit integers.
 
@@ -201,7 +215,7 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "id", ids_col:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _byte_coder(spec)
+        coder = _byte_decoder(spec)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)

@@ -7,7 +7,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Bytes hashed in one go; a longer word is a step of its own.
-_STEP = 1 << 20
+_STEP = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from tabwright.llm.bpe import ByteCoder, _Table, bpe_decode, bpe_encode
+from tabwright.llm.bpe import ByteCoder, ByteDecoder, _Table, bpe_decode, bpe_encode
 from tabwright.llm.token_counts import WordCounter, count_tokens, words_of
 from tests.llm.cases import TEXTS, documents, empty, messy, rows_of
 
@@ -17,10 +17,17 @@ BYTES, WORDS = path("byte_bpe_50k.json"), path("word_bpe_49k.json")
 ALPHABET = [*"aaabbeeth  '’sStT\n\t\r\x1c\x85\xa0 　éÉßΣσςİi̇日🙂1234²Ⅷ._,-+<|>", "<|endoftext|>", "<|startoftext|>", "'s", " ing", "tion"]
 
 
+class Both(ByteCoder, ByteDecoder):
+    def __init__(self, spec):
+        ByteCoder.__init__(self, spec)
+        ByteDecoder.__init__(self, spec)
+
+
 @pytest.fixture(scope="module")
 def coders():
     with open(BYTES, "rb") as a, open(WORDS, "rb") as b:
-        return ByteCoder(a.read()), WordCounter(b.read()), Tokenizer.from_file(BYTES), Tokenizer.from_file(WORDS)
+        spec = a.read()
+        return Both(spec), WordCounter(b.read()), Tokenizer.from_file(BYTES), Tokenizer.from_file(WORDS)
 
 
 def ids(packed):
