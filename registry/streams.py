@@ -19,6 +19,7 @@ from registry.tables import (
     quality_sql,
     table,
 )
+from tabwright.plans.monitoring import label_pending
 from tabwright.session import work_dir
 from tabwright.streaming.monitoring import stream_inference_log, stream_quality, sync_features, write_available
 
@@ -55,22 +56,43 @@ def t2_sync_features(spark, sf_dir):
     return spark.table(name)
 
 
-@query("t3_stream_inference_log", f"SELECT {', '.join(MONITORED)} FROM ({MONITORING_SQL})")
+def _labelled(spark, records, name, sources, known):
+    label_pending(spark, records, name, sources, booking_features(known), "booking_id", "booking_status", order=["version"])
+    return spark.table(name).withColumn("second", F.unix_seconds("timestamp")).select(*MONITORED)
+
+
+MONITORED_SQL = f"SELECT {', '.join(MONITORED)} FROM ({MONITORING_SQL})"
+
+
+@query("t3_stream_inference_log", MONITORED_SQL)
 def t3_stream_inference_log(spark, sf_dir):
-    known = table(spark, sf_dir, "events")
+    """Every payload comes twice."""
+    known, records = table(spark, sf_dir, "events"), fresh_name("records")
     log = inference_log(stream(spark, sf_dir, "events"))
     repeated = log.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    rows = stream_inference_log(
-        repeated,
-        RECORD,
-        "rule",
-        label_sources(known),
-        booking_features(known),
-        "booking_id",
-        "booking_status",
-        order=["version"],
+    stream_inference_log(repeated, RECORD, "rule", records, work_dir(spark, "checkpoint"), path=work_dir(spark, records))
+    return _labelled(spark, records, fresh_name("monitored"), label_sources(known), known)
+
+
+@query("t3_late_labels", MONITORED_SQL)
+def t3_late_labels(spark, sf_dir):
+    """No record has a label at first; all labels come before a second run."""
+    known, records, name = table(spark, sf_dir, "events"), fresh_name("records"), fresh_name("monitored")
+    stream_inference_log(
+        inference_log(stream(spark, sf_dir, "events")), RECORD, "rule", records, work_dir(spark, "checkpoint"), path=work_dir(spark, records)
     )
-    path = work_dir(spark, "stream-monitoring")
-    write_available(rows, path, work_dir(spark, "checkpoint"))
-    stored = spark.read.schema(rows.schema).parquet(path)
-    return stored.withColumn("second", F.unix_seconds("timestamp")).select(*MONITORED)
+    _labelled(spark, records, name, [s.where("false") for s in label_sources(known)], known)
+    return _labelled(spark, records, name, label_sources(known), known)
+
+
+@query("t3_out_of_order", MONITORED_SQL)
+def t3_out_of_order(spark, sf_dir):
+    """Payload files come newest first, each in a run of its own."""
+    known, records, checkpoint = table(spark, sf_dir, "events"), fresh_name("records"), work_dir(spark, "checkpoint")
+    files, where = work_dir(spark, "payloads"), work_dir(spark, records)
+    schema = known.schema
+    for low, high in ((20, 31), (10, 19), (1, 9)):
+        known.where(F.dayofmonth("ts").between(low, high)).write.mode("append").parquet(files)
+        source = spark.readStream.schema(schema).parquet(files)
+        stream_inference_log(inference_log(source), RECORD, "rule", records, checkpoint, path=where)
+    return _labelled(spark, records, fresh_name("monitored"), label_sources(known), known)

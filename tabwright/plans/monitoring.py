@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.operators.inference_log import PayloadFormat, build_monitoring
+from tabwright.functions.dates import event_time
+from tabwright.operators.inference_log import PayloadFormat, monitoring_rows, parse_inference_log
 from tabwright.operators.profile import alert, column_profile, quality_profile
 from tabwright.operators.transform import drop_columns, segment_filter
-from tabwright.sources.tables import BATCH, STAMP, overwrite, stamp
+from tabwright.session import materialize
+from tabwright.sources.tables import BATCH, STAMP, mark_for_change_capture, overwrite, stamp
 
 
 def build_inference_set(
@@ -25,28 +27,118 @@ def build_inference_set(
     overwrite(stamp(rows, ts), table, path)
 
 
+def append_new(rows: DataFrame, table: str, key: Sequence[str], path: str | None = None) -> int:
+    """Append rows whose key the table does not hold yet, partitioned by the ``day`` of the rows.
+
+    Only the days that the new rows touch are read. A row that comes twice is stored once,
+    also when a step is run again; rows of one key on different days are different rows.
+    """
+    spark = rows.sparkSession
+    new = materialize(rows.dropDuplicates([*key, "day"]), "new-rows")
+    if spark.catalog.tableExists(table):
+        days = [r["day"] for r in new.select("day").distinct().collect()]  # one value per day
+        held = spark.table(table).where(F.col("day").isin(days)).select("day", *key)
+        new = materialize(new.join(held, ["day", *key], "left_anti"), "new-rows")
+    writer = new.write.format("parquet").mode("append").partitionBy("day")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return new.count()
+
+
+def store_records(
+    log: DataFrame,
+    record: T.StructType,
+    model_name: str,
+    table: str,
+    fmt: PayloadFormat = PayloadFormat(),
+    path: str | None = None,
+) -> int:
+    """Parse payloads that were not parsed before and append their records to ``table``; how many are new.
+
+    A table of requests beside it (``<table>_requests``) remembers every payload, the
+    unreadable ones as well, so none is parsed twice.
+    """
+    spark = log.sparkSession
+    requests = f"{table}_requests"
+    dated = log.withColumn("day", F.to_date(event_time(F.col(fmt.time_ms))))
+    if spark.catalog.tableExists(requests):
+        days = [r["day"] for r in dated.select("day").distinct().collect()]
+        held = spark.table(requests).where(F.col("day").isin(days)).select("day", fmt.request_id)
+        dated = dated.join(held, ["day", fmt.request_id], "left_anti")
+    dated = materialize(dated, "payloads")
+    if dated.isEmpty() and spark.catalog.tableExists(table):
+        return 0
+    parsed = parse_inference_log(dated.drop("day"), record, model_name, fmt)
+    added = append_new(parsed.withColumn("day", F.to_date("timestamp")), table, [fmt.request_id, "position"], path)
+    append_new(dated.select("day", fmt.request_id), requests, [fmt.request_id], path and f"{path}_requests")
+    return added
+
+
+def label_pending(
+    spark: SparkSession,
+    records: str,
+    table: str,
+    label_sources: Sequence[DataFrame],
+    features: DataFrame,
+    key: str,
+    label: str,
+    fmt: PayloadFormat = PayloadFormat(),
+    order: Sequence[str] = (),
+    unique: bool = False,
+    since: date | None = None,
+    path: str | None = None,
+) -> None:
+    """Move records to the monitoring table as soon as they have a label, whenever it comes.
+
+    Records that are there already are left out, day by day; ``since`` leaves out the days
+    before it, once no labels are expected for them any more.
+    """
+    pending = spark.table(records)
+    if since is not None:
+        pending = pending.where(F.col("day") >= F.lit(since))
+    if spark.catalog.tableExists(table):
+        done = spark.table(table)
+        if since is not None:
+            done = done.where(F.col("day") >= F.lit(since))
+        pending = pending.join(done.select("day", fmt.request_id, "position"), ["day", fmt.request_id, "position"], "left_anti")
+    rows = monitoring_rows(pending, label_sources, features, key, label, order, unique)
+    append_new(rows, table, [fmt.request_id, "position"], path)
+
+
 @dataclass(frozen=True)
 class Monitoring:
-    """A monitoring table and its profiles; a profile costs nothing until it is asked for."""
+    """A monitoring table and its profiles; a profile costs nothing until it is asked for.
+
+    With ``since`` a profile reads the days from then on only; alerts read the newest days.
+    """
 
-    rows: DataFrame
+    table: str
     label: str
     numeric: tuple[str, ...]
     granularity: str
     threshold: float
     approx: bool
 
-    def quality(self) -> DataFrame:
+    def rows(self, since: date | None = None) -> DataFrame:
+        found = SparkSession.active().table(self.table)
+        return found if since is None else found.where(F.col("day") >= F.lit(since))
+
+    def quality(self, since: date | None = None) -> DataFrame:
         """Quality per window and model."""
-        return quality_profile(self.rows, "timestamp", self.label, "prediction", ["model_name"], self.granularity)
+        return quality_profile(self.rows(since), "timestamp", self.label, "prediction", ["model_name"], self.granularity)
 
-    def columns(self) -> DataFrame:
+    def columns(self, since: date | None = None) -> DataFrame:
         """Column statistics per window and model."""
-        return column_profile(self.rows, "timestamp", self.numeric, ["model_name"], self.granularity, self.approx)
+        return column_profile(self.rows(since), "timestamp", self.numeric, ["model_name"], self.granularity, self.approx)
 
     def alerts(self) -> DataFrame:
-        """Models whose latest window breaches the threshold."""
-        return alert(self.quality(), threshold=self.threshold)
+        """Models whose latest window breaches the threshold; the newest day comes from the table's list of partitions."""
+        days = [r[0].partition("=")[2] for r in SparkSession.active().sql(f"SHOW PARTITIONS {self.table}").collect()]
+        newest = [date.fromisoformat(d) for d in days if d[:1].isdigit()]
+        # a window may begin on the day before
+        since = max(newest) - timedelta(days=1) if newest else None
+        return alert(self.quality(since), threshold=self.threshold)
 
 
 def refresh_monitoring(
@@ -66,19 +158,17 @@ def refresh_monitoring(
     order: Sequence[str] = (),
     unique: bool = False,
     approx: bool = False,
+    since: date | None = None,
     path: str | None = None,
 ) -> Monitoring:
-    """Append new monitoring rows and offer the profiles and alerts of the table.
+    """Parse new payloads, label what has got a label, and offer the profiles and alerts of the table.
 
-    Records already in the table are skipped, so a refresh can be repeated. The
-    table is partitioned by day; profiles of a period read only its days.
+    Records are kept in ``<table>_records`` by day until their label comes, so payloads
+    are parsed once and a refresh can be repeated; see :func:`store_records` and
+    :func:`label_pending`.
     """
-    existing = spark.table(table) if spark.catalog.tableExists(table) else None
-    new = build_monitoring(
-        log, record, model_name, label_sources, features, key, label, fmt, order=order, unique=unique, existing=existing
-    ).withColumn("day", F.to_date("timestamp"))
-    writer = new.write.format("parquet").mode("append").partitionBy("day")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return Monitoring(spark.table(table), label, tuple(numeric), granularity, threshold, approx)
+    records = f"{table}_records"
+    store_records(log, record, model_name, records, fmt, path and f"{path}_records")
+    label_pending(spark, records, table, label_sources, features, key, label, fmt, order, unique, since, path)
+    mark_for_change_capture(spark, [table])
+    return Monitoring(table, label, tuple(numeric), granularity, threshold, approx)

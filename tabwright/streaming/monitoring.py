@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.operators.features import upsert_features
-from tabwright.operators.inference_log import PayloadFormat, monitoring_rows, parse_inference_log
+from tabwright.operators.inference_log import PayloadFormat
 from tabwright.operators.profile import quality_profile
+from tabwright.plans.monitoring import store_records
 
 
 def stream_quality(
@@ -35,23 +36,23 @@ def stream_inference_log(
     log: DataFrame,
     record: T.StructType,
     model_name: str,
-    label_sources: Sequence[DataFrame],
-    features: DataFrame,
-    key: str,
-    label: str,
+    table: str,
+    checkpoint: str,
     fmt: PayloadFormat = PayloadFormat(),
-    lateness: str = "1 hour",
-    order: Sequence[str] = (),
-    unique: bool = False,
-) -> DataFrame:
-    """Monitoring rows of new payloads, without records that came before.
+    path: str | None = None,
+) -> None:
+    """Store the records of all available payloads in ``table``, by day, then stop.
 
-    A repeat is recognised by request and position as long as it comes within
-    the watermark. Labels and features are read anew for every micro-batch.
+    Payloads may come in any order and more than once; a micro-batch that is run again
+    adds nothing. Labels and features are joined afterwards, by
+    :func:`tabwright.plans.monitoring.label_pending`, so a record waits for a late label.
     """
-    parsed = parse_inference_log(log, record, model_name, fmt).withWatermark("timestamp", lateness)
-    fresh = parsed.dropDuplicatesWithinWatermark([fmt.request_id, "position"])
-    return monitoring_rows(fresh, label_sources, features, key, label, order, unique)
+
+    def apply(batch: DataFrame, _: int) -> None:
+        store_records(batch, record, model_name, table, fmt, path)
+
+    query = log.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
 def write_available(stream: DataFrame, path: str, checkpoint: str) -> None:

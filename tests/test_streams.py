@@ -7,7 +7,7 @@ from registry.tables import RECORD, booking_features, fresh_name, inference_log,
 from tabwright.operators.inference_log import build_monitoring, dropped_payloads, parse_inference_log
 from tabwright.operators.keys import latest_per_key
 from tabwright.operators.profile import quality_profile
-from tabwright.plans.monitoring import refresh_monitoring
+from tabwright.plans.monitoring import label_pending, refresh_monitoring, store_records
 from tabwright.session import work_dir
 from tabwright.streaming.monitoring import stream_inference_log, stream_quality, sync_features, write_available
 
@@ -43,20 +43,24 @@ def test_closed_windows_equal_batch(spark, files):
 
 
 def test_monitoring_rows_equal_batch_without_repeats(spark, files):
+    """Five files, one micro-batch each, run twice; labels come after the first labelling."""
     events = spark.read.parquet(files)
-    out, checkpoint = work_dir(spark, "out"), work_dir(spark, "checkpoint")
+    records, name = fresh_name("records"), fresh_name("monitored")
     log = inference_log(stream(spark, files))
     twice = log.withColumn("_copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("_copy")
-    rows = stream_inference_log(
-        twice, RECORD, "m", label_sources(events), booking_features(events), "booking_id", "booking_status", order=["version"]
-    )
+    checkpoint, path = work_dir(spark, "checkpoint"), work_dir(spark, records)
     for _ in range(2):
-        write_available(rows, out, checkpoint)
+        stream_inference_log(twice, RECORD, "m", records, checkpoint, path=path)
+    where = work_dir(spark, name)
+    for sources in ([s.where("booking_id % 2 = 0") for s in label_sources(events)], label_sources(events)):
+        label_pending(
+            spark, records, name, sources, booking_features(events), "booking_id", "booking_status", order=["version"], path=where
+        )
     want = build_monitoring(
         inference_log(events), RECORD, "m", label_sources(events), booking_features(events), "booking_id", "booking_status",
         order=["version"],
     )
-    got = spark.read.parquet(out).select(*want.columns)
+    got = spark.table(name).select(*want.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
@@ -117,4 +121,10 @@ def test_refresh_twice_adds_nothing(spark, files):
         )
         counts.append(spark.table(name).count())
     assert counts[0] == counts[1] > 0
+    # nothing new: no payload is parsed; alerts and profiles of a period read their days only
+    assert store_records(inference_log(events), RECORD, "m", f"{name}_records") == 0
+    assert "PartitionFilters: [isnotnull(day" in found.alerts()._jdf.queryExecution().toString().replace("#", " #").replace(" #", "#")
+    newest = spark.table(name).agg(F.max("day")).first()[0]
+    assert "PartitionFilters: [isnotnull(day" in found.quality(newest)._jdf.queryExecution().toString()
+    assert found.quality(newest).exceptAll(found.quality()).isEmpty()
     assert found.columns().where("n + nulls = 0").isEmpty()
