@@ -35,7 +35,7 @@ from tabwright.plans.monitoring import build_inference_set, refresh_monitoring
 from tabwright.plans.training import build_features, refresh_features, train_and_compare
 from tabwright.session import work_dir
 from tabwright.sources.files import write_csv
-from tabwright.sources.tables import append_stamped
+from tabwright.sources.tables import append_stamped, newest_batch
 
 DATES = ("date_of_arrival", "date_of_booking")
 PREPARED = [*(c.alias for c in BOOKINGS.columns), *DATES]
@@ -112,6 +112,20 @@ def c4_refresh_upsert(spark, sf_dir):
     return spark.table(name).withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "c2_scheduled_ingest",
+    f"""SELECT booking_id, lead_time, booking_status, CASE WHEN {hash_sql('booking_id')} < {int(0.2 * (1 << 60))} THEN 'test' ELSE 'train' END AS part
+        FROM ({PREPARED_SQL})""",
+)
+def c2_scheduled_ingest(spark, sf_dir):
+    """All rows written as CSV, read back, prepared and split without a segment."""
+    path, names = work_dir(spark, "scheduled"), {part: fresh_name(part) for part in ("train", "test")}
+    write_csv(bookings(spark, sf_dir), path)
+    saved = ingest(spark, path, BOOKINGS, names, "booking_id", locations={part: work_dir(spark, part) for part in names})
+    parts = [newest_batch(spark, name).select("booking_id", "lead_time", "booking_status", F.lit(part).alias("part")) for part, name in saved.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query(
     "c5_build_inference_set",
     "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = 'MACHINERY'",

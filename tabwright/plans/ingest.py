@@ -17,7 +17,7 @@ from tabwright.operators.split import exact_split, hash_split
 from tabwright.operators.transform import TARGET_CODES, cast, partition_by_predicate, recode_target, rename
 from tabwright.session import materialize
 from tabwright.sources.files import CORRUPT, read_csv
-from tabwright.sources.tables import append_stamped
+from tabwright.sources.tables import append_stamped, mark_for_change_capture
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,7 @@ def ingest(
     contract: Contract,
     tables: Mapping[str, str],
     key: str,
-    segment: tuple[str, str],
+    segment: tuple[str, str] | None = None,
     dates: DateParts | None = DateParts(),
     codes: Mapping[str, int] | None = TARGET_CODES,
     test: float = 0.2,
@@ -104,9 +104,10 @@ def ingest(
     ts: datetime | None = None,
     locations: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """CSV to ``train``, ``test`` and ``extra`` tables.
+    """CSV to ``train``, ``test`` and ``extra`` tables, marked for change capture.
 
-    ``extra`` holds the rows outside the segment. The text is parsed and
+    ``extra`` holds the rows outside the segment; without a segment all rows are split
+    and there is no such table. The text is parsed and
     prepared once; checks and the three writes work on that result, and one
     timestamp stands for the whole run. A record that does not fit the header,
     a null in any column or an empty file stops the run before anything is
@@ -116,9 +117,12 @@ def ingest(
     stored = materialize(state.df, "prepared")
     clean = stored.drop(CORRUPT)
     enforce(report(stored, empty_count() + malformed_count(CORRUPT) + null_counts(clean)))
-    wanted, extra = partition_by_predicate(clean, F.col(segment[0]) == segment[1])
+    wanted, extra = partition_by_predicate(clean, F.col(segment[0]) == segment[1]) if segment else (clean, None)
     train, held_out = split(Prepared(wanted, contract), key, test, seed)
     ts = ts or datetime.now(timezone.utc)
-    for name, part in (("train", train), ("test", held_out), ("extra", extra)):
+    parts = {"train": train, "test": held_out} | ({"extra": extra} if segment else {})
+    for name, part in parts.items():
         append_stamped(part, tables[name], ts, (locations or {}).get(name))
-    return dict(tables)
+    saved = {name: tables[name] for name in parts}
+    mark_for_change_capture(spark, saved.values())
+    return saved

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tabwright.operators.features import Lookup, training_set, upsert_features
 from tabwright.operators.metrics import Comparison, accuracy, auc_hard, champion_challenger, classification_report
 from tabwright.operators.model import score, train
-from tabwright.operators.split import evaluation_sample
 from tabwright.operators.transform import latest_batch
 from tabwright.session import materialize
 from tabwright.sources.tables import STAMP, create_table, insert_select
@@ -80,15 +79,13 @@ def train_and_compare(
     functions: Mapping[str, Any],
     parameters: Mapping[str, Any],
     latest: Callable[[DataFrame], DataFrame] | None = None,
-    sample: int | None = None,
     exclude: Sequence[str] = (),
     seed: int = 42,
 ) -> TrainingResult:
     """Look up features, train, evaluate, and compare with the latest registered model.
 
     ``latest`` adds its ``prediction``. Both predictions are held in one row
-    per test record, so they are compared pair by pair; ``sample`` limits the
-    comparison to a repeatable sample of that size.
+    per test record, so they are compared pair by pair, over all test rows.
     """
     wanted = [key, label, *numeric, *categorical]
     fitted_on = training_set(train_rows, label, lookups, functions, exclude).select(*wanted)
@@ -100,8 +97,7 @@ def train_and_compare(
     scored = materialize(scored, "scored")  # read by every metric below
     comparison = None
     if latest is not None:
-        compared = evaluation_sample(scored, [key], sample, seed) if sample else scored
-        comparison = champion_challenger(compared, label, "current", "latest")
+        comparison = champion_challenger(scored, label, "current", "latest")
     return TrainingResult(
         model,
         accuracy(scored, label, "current"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,18 +36,18 @@ def get_session(app: str = "tabwright", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    Only a session of one process without that setting, as in tests, gets a folder of its
+    own; on a cluster a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="tabwright-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    spark.sparkContext.setCheckpointDir(own)
-    return own
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tabwright-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

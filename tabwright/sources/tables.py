@@ -29,8 +29,8 @@ def append_stamped(
 ) -> int:
     """Append a batch with its timestamp; returns the version it created.
 
-    Tables are partitioned by batch, so reading the latest batch or the
-    version lists folders instead of scanning rows. Single writer per table.
+    Tables are partitioned by batch: the version comes from the list of partitions, and
+    :func:`newest_batch` reads one of them. Single writer per table.
     """
     spark = df.sparkSession
     version = (data_version(spark, table) or 0) + 1
@@ -43,16 +43,24 @@ def append_stamped(
 
 
 def data_version(spark: SparkSession, table: str) -> int | None:
-    """The newest batch number, or None when the table is missing or has no batches."""
+    """The newest batch number, or None when the table is missing or has no batches; reads the list of partitions."""
     try:
-        return spark.table(table).agg(F.max(BATCH)).first()[0]
+        listed = spark.sql(f"SHOW PARTITIONS {table}").collect()  # one row per batch
     except AnalysisException:
         return None
+    batches = [int(value) for r in listed for name, _, value in [r[0].partition("=")] if name == BATCH and value.isdigit()]
+    return max(batches, default=None)
 
 
 def latest_version(spark: SparkSession, table: str) -> DataFrame:
-    """:func:`data_version` as a one-row frame ``(version)``; reads partition values only."""
-    return spark.table(table).agg(F.max(BATCH).alias("version"))
+    """:func:`data_version` as a one-row frame ``(version)``; no file is scanned."""
+    return spark.createDataFrame([(data_version(spark, table),)], "version int")
+
+
+def newest_batch(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of the newest batch; only its partition is read."""
+    version = data_version(spark, table)
+    return spark.table(table).where(F.lit(False) if version is None else F.col(BATCH) == version)
 
 
 def overwrite(df: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:

@@ -73,7 +73,7 @@ def test_training_replaces_a_worse_model(spark, rows):
     result = train_and_compare(
         train.drop("o_totalprice"), test.drop("o_totalprice"), "label", ["o_totalprice"], ["o_orderpriority"], "o_orderkey",
         [Lookup(prices, ("o_orderkey",), ("o_totalprice",), unique=True)], {}, PARAMETERS,
-        latest=lambda df: df.withColumn("prediction", F.lit(0)), sample=100,
+        latest=lambda df: df.withColumn("prediction", F.lit(0)),
     )
     assert result.comparison.challenger_wins
     assert result.accuracy.first()["n"] == test.count()

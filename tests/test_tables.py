@@ -95,6 +95,18 @@ def test_create_table_declares_its_key(spark):
         tb.insert_select(spark.createDataFrame([(None, 1, 2)], "id string, n int, m int"), name, ["id", "n", "m"])
 
 
+def test_versions_come_from_the_list_of_partitions(spark):
+    name = fresh_name("batches")
+    assert tb.data_version(spark, name) is None
+    for i in range(12):
+        tb.append_stamped(spark.range(i, i + 2), name)
+    assert tb.data_version(spark, name) == 12
+    newest = tb.newest_batch(spark, name)
+    assert sorted(r.id for r in newest.collect()) == [11, 12]
+    plan = newest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan and "FileScan" not in tb.latest_version(spark, name)._jdf.queryExecution().toString()
+
+
 def test_a_table_made_again_is_empty(spark):
     name, path = fresh_name("again"), work_dir(spark, "again")
     for _ in range(2):
