@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import id_and_text, join_same, marks, slices, text_buffer, with_mark
+from tabwright.llm.rows import STEP_BYTES, id_and_text, marks, slices, text_buffer, with_mark
 from tabwright.llm.suffix_groups import suffix_arrays
 from tabwright.llm.words import _BYTE_CODES, _powers, mix
 from tabwright.session import materialize
@@ -65,50 +65,57 @@ def _prefix_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, inverse
 
 
-def anchors(data: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Fingerprints of one text: hash, place, and the first and last string start that selects it.
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - total + counts, counts)
+
+
+def _cuts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal values."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+    return at, np.append(at[1:], len(values))
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints of texts that lie one after another: hash, place, the first and last string start that selects
+    it, and the text's number. Places and starts count from the first text's start.
 
     The string that starts at ``i`` selects the smallest hash of its grams, the first of
     equals. Equal strings so select equal hashes at equal offsets.
     """
-    if len(data) < s.length:
-        none = np.zeros(0, np.int64)
-        return none.astype(np.uint64), none, none, none
+    none = np.zeros(0, np.int64)
+    size = np.diff(offsets)
+    starts = np.maximum(size - s.length + 1, 0)  # strings per text
+    if not starts.sum():
+        return none.astype(np.uint64), none, none, none, none
     sums, inverse = _prefix_sums(data)
     grams = mix((sums[s.gram :] - sums[: -s.gram]) * inverse[: len(data) - s.gram + 1])
+    grams[grams == 0] = 1
     width = s.length - s.gram + 1
     low = _slide(grams, width, np.minimum)
-    # the first place of the minimum in each window: walk the places that equal their windows' minimum
-    value = np.concatenate([np.zeros(width - 1, np.uint64), low, np.zeros(width - 1, np.uint64)])
+    start = _spread(offsets[:-1], starts)  # of the strings that end inside their text
+    low_of = np.zeros(len(low), np.uint64)
+    low_of[start] = low[start]
+    value = np.concatenate([np.zeros(width - 1, np.uint64), low_of, np.zeros(width - 1, np.uint64)])
     place = np.flatnonzero(_slide(value, width, np.maximum) == grams)
-    start = np.arange(len(low))
+    # the first place of the minimum: walk on where a place is selected by other strings only
     at = place[np.searchsorted(place, start)]
-    wrong = np.flatnonzero(grams[at] != low)
-    while len(wrong):  # a place selected by other windows only
+    wrong = np.flatnonzero(grams[at] != low[start])
+    while len(wrong):
         at[wrong] = place[np.searchsorted(place, at[wrong] + 1)]
-        wrong = wrong[grams[at[wrong]] != low[wrong]]
-    new = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
+        wrong = wrong[grams[at[wrong]] != low[start[wrong]]]
+    text = np.repeat(np.arange(len(size)), starts)
+    new = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (text[1:] != text[:-1])))
     last = np.append(new[1:], len(at)) - 1
-    return grams[at[new]], at[new], new, last
+    return grams[at[new]], at[new], start[new], start[last], text[new]
 
 
 def _split_print(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(buckets)).astype(np.int64), (h >> np.uint64(32)).astype(np.uint32)
 
 
-def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    total = np.cumsum(counts)
-    return np.arange(total[-1] if len(total) else 0) + np.repeat(starts - total + counts, counts)
-
-
-def _cuts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of equal values."""
-    if not len(values):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
-    return at, np.append(at[1:], len(values))
-
-
 def _name(ids: list, rows: list) -> int:
     """A number for a part, from what it holds."""
     both = np.array([*rows, *ids], np.int64).view(np.uint64) + np.arange(2 * len(rows), dtype=np.uint64)
@@ -145,7 +152,10 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
         bucket, short = _split_print(h, buckets)
         o = np.lexsort((own, short, bucket))
         bucket, short, own = bucket[o], short[o], own[o]
-        first = np.ones(len(o), bool)
+        # several times in one document counts once
+        once = np.append(True, (own[1:] != own[:-1]) | (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])) if len(o) else np.zeros(0, bool)
+        bucket, short, own = bucket[once], short[once], own[once]
+        first = np.ones(len(own), bool)
         first[1:] = (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])
         no = np.cumsum(first) - 1
         times = np.bincount(no)[no] if len(no) else no
@@ -169,19 +179,15 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
         for batch in batches:
             for piece in slices(batch):
                 data, offsets = text_buffer(piece.column("text"))
-                for k, (i, r) in enumerate(zip(piece.column("id").to_pylist(), piece.column("row").to_pylist(), strict=True)):
-                    text = data[offsets[k] : offsets[k + 1]]
-                    if len(text) < s.length:
-                        continue
-                    h = np.unique(anchors(text, s)[0])
-                    held.append(h)
-                    owners.append(np.full(len(h), len(ids), np.uint16))
-                    ids.append(i)
-                    rows.append(r)
-                    volume += len(text)
-                    if volume >= s.part_bytes or len(ids) >= s.part_rows:
-                        yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
-                        held, owners, ids, rows, volume = [], [], [], [], 0
+                if ids and (volume >= s.part_bytes or len(ids) + piece.num_rows > s.part_rows):
+                    yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
+                    held, owners, ids, rows, volume = [], [], [], [], 0
+                h, _, _, _, text = anchors(data, offsets, s)
+                held.append(h)
+                owners.append((text + len(ids)).astype(np.uint16))
+                ids += piece.column("id").to_pylist()
+                rows += piece.column("row").to_pylist()
+                volume += len(data)
         if ids:
             yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
 
@@ -235,17 +241,17 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
     return replies.groupBy("part").applyInArrow(deal, "id long, row long, shared binary")
 
 
-def _strings(text: np.ndarray, shared: np.ndarray, s: Settings, buckets: int) -> tuple[np.ndarray, ...]:
-    """Group, name, start, end and offset of the fingerprint of the strings around the shared ones of one text.
+def _strings(data: np.ndarray, offsets: np.ndarray, shared: np.ndarray, s: Settings, buckets: int) -> tuple[np.ndarray, ...]:
+    """Group, name, text number, start, end and distance to the fingerprint of the strings around shared ones.
 
     A group holds what can be equal somewhere: the strings that select one fingerprint
     lie in one piece of text; of a frequent one each string is a piece and a group.
     """
-    h, at, first, last = anchors(text, s)
+    h, at, first, last, text = anchors(data, offsets, s)
     bucket, short = _split_print(h, buckets)
     key = (bucket.astype(np.uint64) << np.uint64(32)) | short
     plain, often = np.isin(key, shared), np.isin(key | _FREQUENT, shared)
-    sums, inverse = _prefix_sums(text)
+    sums, inverse = _prefix_sums(data)
     count = (last - first + 1)[often]
     start = np.concatenate([first[plain], _spread(first[often], count)])
     end = np.concatenate([last[plain], _spread(first[often], count)]) + s.length
@@ -255,7 +261,7 @@ def _strings(text: np.ndarray, shared: np.ndarray, s: Settings, buckets: int) ->
     group = np.concatenate([h[plain], mix(name[own:] + np.uint64(1))])
     name[:own] = mix(name[:own] + group[:own])
     left = np.concatenate([(at - first)[plain], np.zeros(len(start) - own, np.int64)])
-    return group, name, start, end, left
+    return group, name, np.concatenate([text[plain], np.repeat(text[often], count)]), start, end, left
 
 
 def _repeats(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
@@ -265,26 +271,25 @@ def _repeats(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
     lists = [pa.list_(pa.int64())] * 2
 
     def part_rows(held: list, raws: list, ids: list, rows: list) -> Iterator[pa.RecordBatch]:
-        doc = np.repeat(np.arange(len(ids)), [len(x[0]) for x in held])
-        group, name, start, end, left = (np.concatenate([x[k] for x in held]) for k in range(5))
+        group, name, doc, start, end, left, blob, begin = (np.concatenate([x[k] for x in held]) for k in range(8))
         order_of = np.array(ids, np.int64)
         bucket = (mix(group) % np.uint64(buckets)).astype(np.int64)
         o = np.lexsort((order_of[doc], name, group, bucket))
-        doc, group, name, start, end, left, bucket = (x[o] for x in (doc, group, name, start, end, left, bucket))
+        doc, group, name, start, end, left, blob, begin, bucket = (x[o] for x in (doc, group, name, start, end, left, blob, begin, bucket))
         first = np.ones(len(o), bool)
         first[1:] = (name[1:] != name[:-1]) | (group[1:] != group[:-1])
         entry = np.cumsum(first) - 1
         lead = np.flatnonzero(first)
         size, lefts = (end - start)[lead].astype(np.uint16), left[lead].astype(np.uint16)
         lowest = order_of[doc[lead]]
-        pieces = [raws[d][a:b] for d, a, b in zip(doc[lead].tolist(), start[lead].tolist(), end[lead].tolist(), strict=True)]
+        pieces = [raws[d][a:b] for d, a, b in zip(blob[lead].tolist(), start[lead].tolist(), end[lead].tolist(), strict=True)]
         short = (group[lead] >> np.uint64(32)).astype(np.uint32)
         part, (at, stop) = _name(ids, rows), _cuts(bucket[lead])
         blocks = [
             zlib.compress(np.int64(b - a).tobytes() + short[a:b].tobytes() + size[a:b].tobytes() + lefts[a:b].tobytes() + lowest[a:b].tobytes() + b"".join(pieces[a:b]), 1)
             for a, b in zip(at.tolist(), stop.tolist(), strict=True)
         ]
-        own = [np.int64(len(doc)).tobytes(), entry.astype(np.uint32).tobytes(), doc.astype(np.uint16).tobytes(), start.astype(np.int64).tobytes(), (end - start).astype(np.uint16).tobytes()]
+        own = [np.int64(len(doc)).tobytes(), entry.astype(np.uint32).tobytes(), doc.astype(np.uint16).tobytes(), (start - begin).astype(np.int64).tobytes(), (end - start).astype(np.uint16).tobytes()]
         n = len(at)
         yield pa.RecordBatch.from_arrays(
             [pa.array([part] * (n + 1), pa.int64()), pa.array([*bucket[lead][at].tolist(), -1 - part], pa.int64()),
@@ -296,17 +301,27 @@ def _repeats(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, raws, ids, rows, volume = [], [], [], [], 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                raw = zlib.decompress(batch.column("packed")[k].as_py())
-                shared = np.frombuffer(batch.column("shared")[k].as_py(), np.uint64)
-                held.append(_strings(np.frombuffer(raw, np.uint8), shared, s, buckets))
-                raws.append(raw)
-                ids.append(batch.column("id")[k].as_py())
-                rows.append(batch.column("row")[k].as_py())
-                volume += len(raw)
-                if volume >= s.part_bytes // 2 or len(ids) >= s.part_rows:
+            at = 0
+            while at < batch.num_rows:
+                texts, size = [], 0
+                while at + len(texts) < batch.num_rows and size < STEP_BYTES:
+                    texts.append(zlib.decompress(batch.column("packed")[at + len(texts)].as_py()))
+                    size += len(texts[-1])
+                piece = batch.slice(at, len(texts))
+                at += len(texts)
+                if ids and (volume >= s.part_bytes // 2 or len(ids) + len(texts) > s.part_rows):
                     yield from part_rows(held, raws, ids, rows)
                     held, raws, ids, rows, volume = [], [], [], [], 0
+                raw = b"".join(texts)
+                offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+                # a fingerprint that one of these texts shares is shared by all of them that have it
+                shared = np.unique(np.frombuffer(b"".join(piece.column("shared").to_pylist()), np.uint64))
+                group, name, text, start, end, left = _strings(np.frombuffer(raw, np.uint8), offsets, shared, s, buckets)
+                held.append((group, name, text + len(ids), start, end, left, np.full(len(text), len(raws)), offsets[text]))
+                raws.append(raw)
+                ids += piece.column("id").to_pylist()
+                rows += piece.column("row").to_pylist()
+                volume += len(raw)
         if ids:
             yield from part_rows(held, raws, ids, rows)
 
@@ -429,35 +444,27 @@ def _earlier(pieces: list[tuple[int, int, bytes]], least: np.ndarray, s: Setting
     before: dict[int, np.ndarray] = {}
 
     def sort(step: list[list[tuple[int, int, bytes]]]) -> None:
-        numbers, texts, owners, groups = [], [], [], []
-        for g, group in enumerate(step):
-            same: dict[bytes, list] = {}
-            for k, shift, text in group:
-                same.setdefault(text, []).append((k, shift))
-            for text, held in same.items():
-                numbers.append(held)
-                texts.append(text)
-                owners.append(min(int(least[k]) for k, _ in held))
-                groups.append(g)
-        found = first_owners(texts, np.array(owners, np.int64), np.array(groups, np.int64), s.length)
-        for held, first in zip(numbers, found, strict=True):
-            for k, shift in held:
-                gone = first < least[k]
-                if gone.any():
-                    mine = before.setdefault(k, np.zeros(len(pieces[k][2]) - s.length + 1, bool))
-                    mine[shift : shift + len(gone)] |= gone
+        flat = [x for group in step for x in group]
+        groups = np.repeat(np.arange(len(step)), [len(group) for group in step])
+        own = least[[k for k, _, _ in flat]]
+        found = first_owners([text for _, _, text in flat], own, groups, s.length)
+        for (k, shift, _), mine, first in zip(flat, own.tolist(), found, strict=True):
+            gone = first < mine
+            if gone.any():
+                all_of_it = before.setdefault(k, np.zeros(len(pieces[k][2]) - s.length + 1, bool))
+                all_of_it[shift : shift + len(gone)] |= gone
 
     order = sorted(range(len(pieces)), key=lambda k: pieces[k][0])
     groups = np.array([pieces[k][0] for k in order], np.int64)
+    small = [group for at, end in zip(*_cuts(groups), strict=True) if end - at > 1 for group in _small_groups(order[at:end], pieces, s)]
+    # texts of like length are sorted side by side
     step, volume = [], 0
-    for at, end in zip(*_cuts(groups), strict=True):
-        if end - at > 1:
-            for group in _small_groups(order[at:end], pieces, s):
-                step.append(group)
-                volume += sum(len(x[2]) for x in group)
-            if volume >= 1 << 20:
-                sort(step)
-                step, volume = [], 0
+    for group in sorted(small, key=len):
+        step.append(group)
+        volume += sum(len(x[2]) for x in group)
+        if volume >= 1 << 20:
+            sort(step)
+            step, volume = [], 0
     if step:
         sort(step)
     out = {}

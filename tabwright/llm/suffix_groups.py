@@ -63,24 +63,24 @@ def suffix_arrays(text: np.ndarray, bounds: np.ndarray) -> np.ndarray:
             climbing = climbing[j[climbing] >= 0]
         # a pointer to the same group is followed on, twice as far each time
         previous[i] = j
-        pending = np.flatnonzero(j >= 0)
-        pending = pending[group[j[pending]] == own[pending]]
+        pending = np.flatnonzero((j >= 0) & (group[j] == own))
         while len(pending):
             j[pending] = previous[j[pending]]
             previous[i[pending]] = j[pending]
             pending = pending[j[pending] >= 0]
             pending = pending[group[j[pending]] == own[pending]]
         # those pointed at rise in their groups, by the number of pointers
-        target, pointers = np.unique(j[j >= 0], return_counts=True)
+        target = np.sort(j[j >= 0])
         if len(target):
+            each = np.flatnonzero(np.append(True, target[1:] != target[:-1]))
+            pointers = np.diff(np.append(each, len(target)))
+            target = target[each]
             g = group[target]
-            o = np.lexsort((pointers, g))
-            target, pointers, g = target[o], pointers[o], g[o]
-            piece = np.ones(len(g), bool)
-            piece[1:] = (g[1:] != g[:-1]) | (pointers[1:] != pointers[:-1])
-            whole = np.ones(len(g), bool)
-            whole[1:] = g[1:] != g[:-1]
-            at = np.flatnonzero(whole)
+            both = g * (1 + pointers.max()) + pointers
+            o = np.argsort(both)
+            target, both, g = target[o], both[o], g[o]
+            piece = np.append(True, both[1:] != both[:-1])
+            at = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
             leaving = np.diff(np.append(at, len(g)))
             low = g[at] + members[g[at]] - leaving  # slots from here on are for those that rise
             place = _spread(low, leaving)

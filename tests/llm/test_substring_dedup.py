@@ -30,19 +30,18 @@ def brute(rows, length=50):
 
 def test_anchors_are_the_same_for_equal_strings():
     rng = random.Random(2)
-    for _ in range(200):
+    for _ in range(100):
         s = Settings(length=rng.choice([20, 50]), gram=rng.choice([8, 12]))
-        text = bytes(rng.choices(rng.choice([b"a", b"ab", b"abcdefgh"]), k=rng.randint(0, 300)))
-        h, at, first, last = anchors(np.frombuffer(text, np.uint8), s)
-        if len(text) < s.length:
-            assert not len(h)
-            continue
-        assert first[0] == 0 and last[-1] == len(text) - s.length and (first[1:] == last[:-1] + 1).all()
-        seen = {}
-        for a, b, place, x in zip(first, last, at, h):
+        texts = [bytes(rng.choices(rng.choice([b"a", b"ab", b"abcdefgh"]), k=rng.randint(0, 200))) for _ in range(4)]
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        whole = b"".join(texts)
+        seen, covered = {}, {k: [] for k in range(4)}
+        for x, place, a, b, k in zip(*anchors(np.frombuffer(whole, np.uint8), offsets, s)):
+            covered[k] += range(a - offsets[k], b - offsets[k] + 1)
             for i in range(a, b + 1):
                 assert i <= place <= i + s.length - s.gram
-                assert seen.setdefault(text[i : i + s.length], (place - i, x)) == (place - i, x)
+                assert seen.setdefault(whole[i : i + s.length], (place - i, x)) == (place - i, x)
+        assert all(covered[k] == list(range(len(t) - s.length + 1)) for k, t in enumerate(texts))
 
 
 def test_first_owners_of_groups():
