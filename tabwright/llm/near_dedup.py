@@ -21,12 +21,12 @@ class Settings:
     """``words`` of a shingle and least similarity in percent; ``trees`` signature orders of ``depth`` values.
 
     Two sets are candidates where they share the first ``least_depth`` values of an
-    order and stand within ``near`` places of each other there: in a crowded region only
-    those with the longest common prefix do, in a thin one all. At similarity 0.8 a
-    pair shares three values in one of 16 orders but for 1 of 100,000. Sets with a
-    neighbour are then walked in other, deeper orders of the same values, ``far`` places
-    wide, until a walk finds no link; there, pairs count whose whole signatures agree in
-    at least ``percent`` less ``margin`` hundredths (17: four standard deviations).
+    order and stand within ``near`` places of each other there: in a thin region all do,
+    in a crowded one those with the longest common prefix. At similarity 0.8 a pair shares
+    three values in one of 16 orders but for 1 of 100,000. Sets of crowded regions are then
+    walked in other, deeper orders of the same values, ``far`` places wide, until a walk
+    finds no link; there, pairs count whose whole signatures agree in at least
+    ``percent`` less ``margin`` hundredths (13: three standard deviations).
     """
 
     words: int = 2
@@ -34,9 +34,9 @@ class Settings:
     trees: int = 16
     depth: int = 6
     least_depth: int = 3
-    near: int = 8
-    far: int = 96
-    margin: int = 17
+    near: int = 4
+    far: int = 24
+    margin: int = 13
 
 
 _MAX = np.uint32(0xFFFFFFFF)
@@ -161,9 +161,13 @@ def _walk(orders: _Orders, s: Settings, edges: bool):
                 prints = table.column("print")
                 for step in range(1, min(near, len(tree) - 1) + 1):
                     i = np.arange(max(old - step, 0), len(tree) - step)
+                    i = i[(tree[i] == tree[i + step]) & (prefix[i] == prefix[i + step]).all(axis=1)]
                     j = i + step
+                    if step == near and len(i) and not signed:  # the region goes on beyond what is looked at
+                        crowded = prints.take(pa.array(np.union1d(i, j)))
+                        none = [pa.nulls(len(crowded), table.schema.field(c).type) for c in names[2:]]
+                        yield pa.RecordBatch.from_arrays([crowded, pa.nulls(len(crowded), pa.binary()), *none], names)
                     for same in (
-                        lambda i, j: (tree[i] == tree[j]) & (prefix[i] == prefix[j]).all(axis=1),
                         lambda i, j: (group[i] != group[j]).any(axis=1),
                         lambda i, j: 100 * np.minimum(size[i], size[j]) >= s.percent * np.maximum(size[i], size[j]),
                         lambda i, j: (sign[i] == sign[j]).sum(axis=1) >= agree if signed else np.ones(len(i), bool),
@@ -180,19 +184,21 @@ def _walk(orders: _Orders, s: Settings, edges: bool):
     return run
 
 
-def _candidates(orders: _Orders, settings: Settings) -> DataFrame:
-    """Distinct pairs ``a < b`` of prints that stand near each other in some order, and in how many they do."""
+def _candidates(orders: _Orders, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` of prints that stand near each other in some order and in how many they do; the
+    prints of regions that are wider than what was looked at."""
     kind = "a binary, b binary, tree int, prefix binary, print binary, n long, class binary, signature binary"
     key = ["tree", "prefix", "print"]
     # equal keys differ in the print, so any region can be cut into as many parts as its size needs
     ordered = orders.rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    found = materialize(ordered.mapInArrow(_walk(orders, settings, True), kind), "forest-pairs")
+    found = materialize(ordered.mapInArrow(_walk(orders, settings, True), kind), "forest-found")
     border = found.where("a IS NULL").drop("a", "b").dropDuplicates(["tree", "print"])
     border = border.repartition("tree").sortWithinPartitions(*key)  # 2 * near rows for each part
-    pairs = found.where("a IS NOT NULL").select("a", "b")
-    pairs = pairs.union(border.mapInArrow(_walk(orders, settings, False), kind).select("a", "b"))
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders"))
+    found = found.where("a IS NOT NULL").select("a", "b")
+    found = found.union(materialize(border.mapInArrow(_walk(orders, settings, False), kind).select("a", "b"), "forest-border"))
+    pairs = found.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crowded = found.where("b IS NULL").select(F.col("a").alias("print")).distinct()
+    return materialize(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders")), "near-candidates"), crowded
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -239,7 +245,8 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
         rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("row", "id")).alias("one")),
         "near-sets",
     )
-    pairs = materialize(_candidates(_first_orders(reps, s), s), "near-candidates")
+    pairs, crowded = _candidates(_first_orders(reps, s), s)
+    crowded = materialize(reps.join(crowded, "print").select("print", "n", "signature"), "near-crowded")
     nodes = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
     wanted = materialize(reps.join(nodes, "print").select("print", "one.row", "one.id"), "near-wanted")
     hashed = frame.withColumn("row", F.xxhash64("text"))
@@ -267,9 +274,11 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
             classes = _merged(classes, more.where("linked"))
         elif walk:
             break
+        if not walk and crowded.isEmpty():
+            break
         walk += 1
-        near = reps.join(nodes, "print").join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
-        pairs = materialize(_candidates(_further_orders(near, s, walk), s), "near-candidates")
+        near = crowded.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
+        pairs, _ = _candidates(_further_orders(near, s, walk), s)
     known = rows.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
     return known.select("id", "row", "n", "class")
 
