@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.bpe import SPACES, PrefixCoder, _Table, byte_letters
 from tabwright.llm.rows import id_and_text, slices
 
-#: Texts looked at for the frequent words, words taken from each of them, and words in the table sent out.
+#: Texts looked at for the frequent words, about, words taken from each of them, and words in the table sent out.
 SAMPLE_TEXTS, SAMPLE_WORDS, FREQUENT = 2_000, 2_000, 20_000
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _GAP = re.compile(rf"[{SPACES}]+")
@@ -89,16 +89,22 @@ def frequent_counts(docs: DataFrame, spec: bytes) -> dict[str, int]:
 
     The table decides only how fast a count is found, never its value; it has at most
     ``FREQUENT`` words of at most 32 letters, so at most about 2 MB whatever the input.
+    The sample is told by a hash of the text, and each task of it sends its most frequent
+    words only.
     """
+
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 counts.update(w for w in words_of(text)[:SAMPLE_WORDS] if len(w) <= 32)
         found = counts.most_common(FREQUENT)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())], ["word", "n"])
+        words, numbers = pa.array([w for w, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())
+        yield pa.RecordBatch.from_arrays([words, numbers], ["word", "n"])
 
-    sample = docs.select("text").limit(SAMPLE_TEXTS).mapInArrow(tally, "word string, n long")
+    share = min(1.0, SAMPLE_TEXTS / max(docs.count(), 1))
+    picked = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
+    sample = docs.select("text").where(picked).mapInArrow(tally, "word string, n long")
     top = sample.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(FREQUENT)
     count = WordCounter(spec).count
     return {r.word: count(r.word) for r in top.select("word").collect()}
