@@ -10,7 +10,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm.bpe import bpe_decode, bpe_encode
+from tabwright.llm.bpe import bpe_round_trip
 from tabwright.llm.decontaminate import drop_contaminated
 from tabwright.llm.exact_dedup import drop_exact_duplicates
 from tabwright.llm.near_dedup import Settings, drop_near_duplicates
@@ -49,7 +49,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     keyed = docs.select(F.struct("doc_id", digest.alias("before")).alias("key"), "text")
-    both = bpe_decode(bpe_encode(keyed, path, "key"), path)
+    both = bpe_round_trip(keyed, path, "key")
     return both.select(
         F.col("id.doc_id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.rows import id_and_text, slices
 
-#: Entries of a worker's table of pieces already encoded; a full table starts anew.
-CACHE = 400_000
+#: Entries of a worker's table of pieces already encoded.
+CACHE = 300_000
 #: White space of the tokenizers' patterns, without the separators 1C-1F that Python adds.
 SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -104,15 +104,22 @@ class PrefixCoder:
 
 
 class _Table(dict):
-    """Stretch to result; unknown ones are computed once and kept while there is room."""
+    """Stretch to result; unknown ones are computed and kept while there is room.
+
+    A full table becomes the old one and a new one is begun; what is asked for again
+    moves over, so frequent stretches stay. Both together hold ``limit`` entries.
+    """
 
     def __init__(self, compute, limit: int = CACHE):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.old = compute, limit, {}
 
     def __missing__(self, key: str):
-        value = self.compute(key)
-        if len(self) >= self.limit:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.limit // 2:
+            self.old = dict(self)
             self.clear()
         if len(key) <= 256:
             self[key] = value
@@ -207,6 +214,26 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary")
 
 
+def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, ids, text`` of every row: its text encoded as by :func:`bpe_encode`, and the ids decoded again.
+
+    Both happen in one worker, so texts travel once.
+    """
+    spec = Path(tokenizer).read_bytes()
+    frame = id_and_text(docs, id_col, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder, decoder = _byte_coder(spec), _byte_decoder(spec)
+        for batch in batches:
+            for part in slices(batch):
+                ids = [coder.encode(t) for t in part.column("text").to_pylist()]
+                texts = [decoder.decode(i) for i in ids]
+                columns = [part.column("id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "text"])
+
+    return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary, text string")
+
+
 def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
     """``id, ids, text`` of every row: the text that its packed ids stand for; null ids give the empty text."""
     spec = Path(tokenizer).read_bytes()

@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm.bpe import bpe_decode, bpe_encode
+from tabwright.llm.bpe import bpe_round_trip
 from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
 from tabwright.llm.line_dedup import drop_repeated_lines
@@ -117,7 +117,7 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op7_bpe_round_trip")
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
-    both = bpe_decode(bpe_encode(read_table(spark, sf_dir, "documents"), path), path)
+    both = bpe_round_trip(read_table(spark, sf_dir, "documents"), path)
     return both.select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -152,6 +152,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return ids.join(found, "id", "left").select(
         F.col("id").alias("doc_id"),
         F.col("n_items").isNotNull().alias("contaminated"),
+        F.col("n_items").isNull().alias("kept"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.col("item").alias("item_id"),
         F.coalesce("covered_share", F.lit(0.0)).alias("covered_share"),

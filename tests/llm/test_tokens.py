@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from public_tokenizers import path
 from tokenizers import Tokenizer
 
-from tabwright.llm.bpe import ByteCoder, ByteDecoder, _Table, bpe_decode, bpe_encode
+from tabwright.llm.bpe import ByteCoder, ByteDecoder, _Table, bpe_decode, bpe_encode, bpe_round_trip
 from tabwright.llm.token_counts import WordCounter, count_tokens, words_of
 from tests.llm.cases import TEXTS, documents, empty, messy, rows_of
 
@@ -71,10 +71,14 @@ def test_decode_of_broken_bytes(coders):
         assert code.decode(struct.pack("<2I", i, 65)) == library.decode([i, 65], skip_special_tokens=False)
 
 
-def test_full_table_starts_anew():
-    table = _Table(len, limit=3)
-    assert [table[x] for x in ("a", "bb", "ccc", "dddd", "a", "e" * 300)] == [1, 2, 3, 4, 1, 300]
-    assert len(table) <= 3 and "e" * 300 not in table
+def test_tables_are_bounded():
+    asked = []
+    table = _Table(lambda x: asked.append(x) or len(x), limit=4)
+    for k in range(50):
+        assert table["often"] == 5 and table["x" * (k + 6)] == k + 6
+        assert len(table) + len(table.old) <= 4
+    assert asked.count("often") == 1
+    assert table["e" * 300] == 300 and "e" * 300 not in table
 
 
 def test_round_trip_of_rows(spark, coders):
@@ -85,6 +89,8 @@ def test_round_trip_of_rows(spark, coders):
     )
     assert [(i, bytes(p), t) for i, p, t in found] == sorted(want, key=lambda r: repr((r[0], bytearray(r[1]), r[2])))
     assert bpe_decode(bpe_encode(empty(spark), BYTES), BYTES).collect() == []
+    assert rows_of(bpe_round_trip(messy(spark), BYTES)) == found
+    assert bpe_round_trip(empty(spark), BYTES).collect() == []
 
 
 def test_counts_of_rows(spark, coders):
