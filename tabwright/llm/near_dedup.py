@@ -1,4 +1,4 @@
-"""Near-duplicates by an LSH forest: sorted signature orders, with neighbours of long common prefix as candidates."""
+"""Near-duplicates by an LSH forest: sorted signature orders, neighbours as candidates, whole crowded regions in tiles."""
 
 from __future__ import annotations
 
@@ -21,12 +21,10 @@ class Settings:
     """``words`` of a shingle and least similarity in percent; ``trees`` signature orders of ``depth`` values.
 
     Two sets are candidates where they share the first ``least_depth`` values of an
-    order and stand within ``near`` places of each other there: in a thin region all do,
-    in a crowded one those with the longest common prefix. At similarity 0.8 a pair shares
-    three values in one of 16 orders but for 1 of 100,000. Sets of crowded regions are then
-    walked in other, deeper orders of the same values, ``far`` places wide, until a walk
-    finds no link; there, pairs count whose whole signatures agree in at least
-    ``percent`` less ``margin`` hundredths (13: three standard deviations).
+    order. At similarity 0.8 a pair shares three values in one of 16 orders but for 1 of
+    100,000. Those within ``near`` places of each other are found by a pass over the
+    sorted order; in wider regions all others are compared in tiles of about ``tile``
+    sets. Both numbers decide how the work is cut, not what is compared.
     """
 
     words: int = 2
@@ -35,8 +33,7 @@ class Settings:
     depth: int = 6
     least_depth: int = 3
     near: int = 4
-    far: int = 24
-    margin: int = 13
+    tile: int = 512
 
 
 _MAX = np.uint32(0xFFFFFFFF)
@@ -96,48 +93,22 @@ def set_prints(docs: DataFrame, settings: Settings) -> DataFrame:
     return frame.mapInArrow(run, f"id {kind}, row long, n long, print binary, signature binary")
 
 
-@dataclass(frozen=True)
-class _Orders:
-    """Orders of one walk: rows (tree, prefix, print, n, class, signature) by their first three columns."""
-
-    rows: DataFrame
-    depth: int
-    least: int
-    near: int
-    signed: bool  # whether rows carry signatures, which then must agree well enough
-
-
-def _first_orders(sets: DataFrame, s: Settings) -> _Orders:
+def _orders(sets: DataFrame, s: Settings) -> DataFrame:
+    """``tree, prefix, print, n``: each set once in every order."""
     width = 4 * s.depth
     prefix = F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("prefix")
-    rows = sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))))
-    rows = rows.select("tree", prefix, "print", "n", F.col("print").alias("class"), F.lit(None).cast("binary").alias("signature"))
-    return _Orders(rows, s.depth, s.least_depth, s.near, False)
+    return sets.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1)))).select("tree", prefix, "print", "n")
 
 
-def _further_orders(sets: DataFrame, s: Settings, walk: int) -> _Orders:
-    """Half as many orders, twice as deep, of the values in another sequence for each walk."""
-    total, deep = s.trees * s.depth, 2 * s.depth
-    sequence = np.argsort(mix(np.arange(total, dtype=np.uint64) + np.uint64(1000 * walk))).tolist()
-    prefixes = [
-        F.concat(*[F.substring(F.col("signature"), 4 * k + 1, 4) for k in sequence[at : at + deep]]) for at in range(0, total - deep + 1, deep)
-    ]
-    rows = sets.select("print", "n", "class", "signature", F.posexplode(F.array(*prefixes)).alias("tree", "prefix"))
-    return _Orders(rows.select("tree", "prefix", "print", "n", "class", "signature"), deep, 1, s.far, True)
-
-
-def _walk(orders: _Orders, s: Settings, edges: bool):
-    """A pass over sorted rows that yields neighbour pairs of different classes.
+def _walk(s: Settings, edges: bool):
+    """A pass over sorted rows that yields neighbour pairs, and alone (without ``b``) the rows of regions that go on
+    beyond what is looked at: of two rows of a region that are further apart, both.
 
     With ``edges`` the first and last rows of the part come out as well, so that pairs
     across the borders of parts are found among them.
     """
-    near, least, width, signed = orders.near, orders.least, orders.depth, orders.signed
-    agree = s.trees * s.depth * (s.percent - s.margin) / 100
-    names = ["a", "b", "tree", "prefix", "print", "n", "class", "signature"]
-
-    def fixed(column: pa.Array, size: int) -> np.ndarray:
-        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), size)
+    near, least, width = s.near, s.least_depth, s.depth
+    names = ["a", "b", "tree", "prefix", "print", "n"]
 
     def rows_of(batch: pa.RecordBatch) -> pa.RecordBatch:
         none = pa.nulls(batch.num_rows, pa.binary())
@@ -154,26 +125,20 @@ def _walk(orders: _Orders, s: Settings, edges: bool):
                 table = batch if tail is None else pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
                 old = 0 if tail is None else tail.num_rows
                 tree = table.column("tree").to_numpy(zero_copy_only=False)
-                prefix = fixed(table.column("prefix"), 4 * width)[:, : 4 * least]
+                prefix = np.frombuffer(b"".join(table.column("prefix").to_pylist()), np.uint8).reshape(len(tree), 4 * width)[:, : 4 * least]
                 size = table.column("n").to_numpy(zero_copy_only=False)
-                group = fixed(table.column("class"), 16)
-                sign = fixed(table.column("signature"), 4 * s.trees * s.depth).view(np.uint32) if signed else None
                 prints = table.column("print")
                 for step in range(1, min(near, len(tree) - 1) + 1):
                     i = np.arange(max(old - step, 0), len(tree) - step)
                     i = i[(tree[i] == tree[i + step]) & (prefix[i] == prefix[i + step]).all(axis=1)]
                     j = i + step
-                    if step == near and len(i) and not signed:  # the region goes on beyond what is looked at
-                        crowded = prints.take(pa.array(np.union1d(i, j)))
-                        none = [pa.nulls(len(crowded), table.schema.field(c).type) for c in names[2:]]
-                        yield pa.RecordBatch.from_arrays([crowded, pa.nulls(len(crowded), pa.binary()), *none], names)
-                    for same in (
-                        lambda i, j: (group[i] != group[j]).any(axis=1),
-                        lambda i, j: 100 * np.minimum(size[i], size[j]) >= s.percent * np.maximum(size[i], size[j]),
-                        lambda i, j: (sign[i] == sign[j]).sum(axis=1) >= agree if signed else np.ones(len(i), bool),
-                    ):
-                        ok = same(i, j)
-                        i, j = i[ok], j[ok]
+                    if step == near and len(i):
+                        at_both = pa.array(np.union1d(i, j))
+                        none = [pa.nulls(len(at_both), t) for t in (pa.binary(), pa.int64())]
+                        crowded = [table.column(c).take(at_both) for c in ("print", "tree", "prefix")]
+                        yield pa.RecordBatch.from_arrays([crowded[0], none[0], *crowded[1:], *none], names)
+                    ok = 100 * np.minimum(size[i], size[j]) >= s.percent * np.maximum(size[i], size[j])
+                    i, j = i[ok], j[ok]
                     if len(i):
                         none = [pa.nulls(len(i), table.schema.field(c).type) for c in names[2:]]
                         yield pa.RecordBatch.from_arrays([prints.take(pa.array(i)), prints.take(pa.array(j)), *none], names)
@@ -184,21 +149,151 @@ def _walk(orders: _Orders, s: Settings, edges: bool):
     return run
 
 
-def _candidates(orders: _Orders, settings: Settings) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs ``a < b`` of prints that stand near each other in some order and in how many they do; the
-    prints of regions that are wider than what was looked at."""
-    kind = "a binary, b binary, tree int, prefix binary, print binary, n long, class binary, signature binary"
+def _candidates(orders: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs ``a < b`` of prints that stand near each other in some order and in how many they do; rows
+    (tree, region, print) of regions that are wider than what was looked at."""
+    kind = "a binary, b binary, tree int, prefix binary, print binary, n long"
     key = ["tree", "prefix", "print"]
     # equal keys differ in the print, so any region can be cut into as many parts as its size needs
-    ordered = orders.rows.repartitionByRange(*key).sortWithinPartitions(*key)
-    found = materialize(ordered.mapInArrow(_walk(orders, settings, True), kind), "forest-found")
+    ordered = orders.repartitionByRange(*key).sortWithinPartitions(*key)
+    found = materialize(ordered.mapInArrow(_walk(s, True), kind), "forest-found")
     border = found.where("a IS NULL").drop("a", "b").dropDuplicates(["tree", "print"])
     border = border.repartition("tree").sortWithinPartitions(*key)  # 2 * near rows for each part
-    found = found.where("a IS NOT NULL").select("a", "b")
-    found = found.union(materialize(border.mapInArrow(_walk(orders, settings, False), kind).select("a", "b"), "forest-border"))
+    found = found.where("a IS NOT NULL").union(materialize(border.mapInArrow(_walk(s, False), kind), "forest-border"))
     pairs = found.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crowded = found.where("b IS NULL").select(F.col("a").alias("print")).distinct()
-    return materialize(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders")), "near-candidates"), crowded
+    region = F.substring("prefix", 1, 4 * s.least_depth).alias("region")
+    crowded = found.where("b IS NULL").select("tree", region, F.col("a").alias("print")).distinct()
+    return materialize(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders")), "near-candidates"), materialize(crowded, "near-crowded")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of one list with all of another."""
+    out = np.zeros((len(left), len(right)))
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    sides = []
+    for sets in (left, right):
+        owner, values = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.concatenate(sets)
+        column = np.minimum(np.searchsorted(shared, values), max(len(shared) - 1, 0))
+        held = shared[column] == values if len(shared) else np.zeros(len(values), bool)
+        order = np.argsort(column[held], kind="stable")
+        sides.append((owner[held][order], column[held][order]))
+    (one, c), (two, d) = sides
+    first, many = np.searchsorted(d, np.arange(len(shared))), np.bincount(d, minlength=len(shared))
+    # what few sets hold is counted by pairs, the rest as a product of 0/1 tables, some columns at a time
+    rare = np.bincount(c, minlength=len(shared)) * many < 1024
+    few = np.flatnonzero(rare[c])
+    for at in range(0, len(few), 4096):
+        k = few[at : at + 4096]
+        n = many[c[k]]
+        place = np.repeat(first[c[k]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out += np.bincount(np.repeat(one[k], n) * len(right) + two[place], minlength=out.size).reshape(out.shape)
+    number = np.cumsum(~rare) - 1
+    one, c, two, d = one[~rare[c]], number[c[~rare[c]]], two[~rare[d]], number[d[~rare[d]]]
+    for at in range(0, int((~rare).sum()), 2048):
+        tables = []
+        for owner, column, rows in ((one, c, len(left)), (two, d, len(right))):
+            own = slice(*np.searchsorted(column, [at, at + 2048]))
+            table = np.zeros((rows, 2048), np.float32)
+            table[owner[own], column[own] - at] = 1
+            tables.append(table)
+        out += tables[0] @ tables[1].T
+    return out
+
+
+def _tile_links(percent: int):
+    """Links between the sets of two tiles (or of one with itself), as many as join their classes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        second = np.array(table.column("second").to_pylist(), bool)
+        prints, names = table.column("print").to_pylist(), table.column("class").to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        left = np.flatnonzero(~second)
+        right = np.flatnonzero(second) if second.any() else left
+        if not len(left):  # no set of the other tile fell here
+            left = right = left[:0]
+        group = np.unique(np.array([x.hex() for x in names]), return_inverse=True)[1]
+        a = b = np.zeros(0, int)
+        if len(left):
+            both = _common([sets[k] for k in left], [sets[k] for k in right])
+            n = np.array([len(x) for x in sets])
+            linked = 100 * both >= percent * (n[left][:, None] + n[right] - both)
+            a, b = np.nonzero(linked & (group[left][:, None] != group[right]))
+            a, b = left[a], right[b]
+        new = np.unique(np.minimum(group[a], group[b]) * len(group) + np.maximum(group[a], group[b]), return_index=True)[1]
+        parent, out = list(range(len(group))), []
+        for k in new.tolist():
+            roots = []
+            for x in (group[a[k]], group[b[k]]):
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                roots.append(x)
+            if roots[0] != roots[1]:
+                parent[roots[0]] = roots[1]
+                out.append((prints[a[k]], prints[b[k]]))
+        return pa.table([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    return run
+
+
+#: Parts in which the rows of one region are looked up.
+_SALTS = 32
+#: Shingles of a tile.
+_TILE_SHINGLES = 1 << 20
+
+
+def _region_links(crowded: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """Links ``a, b`` between different classes within regions ``crowded(tree, region, print, n)``.
+
+    All pairs of sets of a region are compared by their full sets, but for pairs of one
+    class. The largest class of a region, often nearly all of it, is one side only, so it
+    is not compared with itself; what is left is cut into tiles, and every two tiles meet
+    in a group of bounded size. A group gives no more links than it joins classes.
+    """
+    rows = crowded.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
+    rows = materialize(rows, "region-rows")
+    counts = rows.groupBy("tree", "region", "class").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("n"))
+    heads = counts.groupBy("tree", "region").agg(
+        F.max(F.struct("sets", "n", "class")).alias("most"), F.sum("sets").alias("sets"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")
+    )
+
+    def tiles(sets, n):
+        return F.greatest(F.ceil(sets / s.tile), F.ceil(n / _TILE_SHINGLES)).cast("int")
+
+    heads = materialize(
+        heads.where("kinds > 1").select(
+            "tree", "region", F.col("most.class").alias("most"),
+            tiles(F.col("most.sets"), F.col("most.n")).alias("most_tiles"),
+            tiles(F.col("sets") - F.col("most.sets"), F.col("n") - F.col("most.n")).alias("tiles"),
+        ),
+        "region-heads",
+    )
+    salt = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("print"), F.lit(_SALTS)).cast("int"))
+    rows = rows.join(heads.select("*", salt), ["tree", "region", "salt"])
+    draw = F.xxhash64("print", F.lit(1))
+    is_most = F.col("class") == F.col("most")
+    own = F.when(is_most, F.pmod(draw, F.col("most_tiles"))).otherwise(F.pmod(draw, F.col("tiles"))).cast("int")
+    meets = F.expr(
+        """CASE WHEN class = most
+                THEN transform(sequence(0, tiles - 1), t -> struct(t AS i, own AS j, true AS of_most, true AS second))
+                ELSE concat(
+                  transform(sequence(0, tiles - 1), t -> struct(least(own, t) AS i, greatest(own, t) AS j, false AS of_most, own > t AS second)),
+                  transform(sequence(0, most_tiles - 1), t -> struct(own AS i, t AS j, true AS of_most, false AS second))) END"""
+    )
+    rows = rows.withColumn("own", own).select("tree", "region", "print", "class", F.explode(meets).alias("at"))
+    rows = materialize(rows.select("tree", "region", "print", "class", "at.*"), "region-tiles")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                found = pa.array([x.tobytes() for x in shingle_sets(part, s.words)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("print"), found], ["print", "shingles"])
+
+    asked = texts.join(rows.select("print").distinct(), "print").select("print", "text")
+    asked = materialize(asked.mapInArrow(sets, "print binary, shingles binary"), "region-sets")
+    groups = rows.join(asked, "print").groupBy("tree", "region", "i", "j", "of_most")
+    return materialize(groups.applyInArrow(_tile_links(s.percent), "a binary, b binary"), "region-links")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -245,10 +340,10 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
         rows.where("n > 0").groupBy("print").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.min(F.struct("row", "id")).alias("one")),
         "near-sets",
     )
-    pairs, crowded = _candidates(_first_orders(reps, s), s)
-    crowded = materialize(reps.join(crowded, "print").select("print", "n", "signature"), "near-crowded")
+    pairs, crowded = _candidates(_orders(reps, s), s)
     nodes = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
-    wanted = materialize(reps.join(nodes, "print").select("print", "one.row", "one.id"), "near-wanted")
+    asked = nodes.union(crowded.select("print")).distinct()
+    wanted = materialize(reps.join(asked, "print").select("print", "one.row", "one.id"), "near-wanted")
     hashed = frame.withColumn("row", F.xxhash64("text"))
     texts = with_mark(hashed, "row", marks(wanted, "row")).where("marked").drop("marked")
     same = texts["row"].eqNullSafe(wanted["row"]) & texts["id"].eqNullSafe(wanted["id"])
@@ -262,23 +357,15 @@ def _classes(docs: DataFrame, settings: Settings | None, id_col: str, text_col:
     )
     tested = _confirmed(best, texts, s)
     classes = _merged(nodes.limit(0).withColumn("class", F.col("print")), tested.where("linked"))
-    walk = 0
-    while True:
-        a, b = (classes.select(F.col("print").alias(n), F.col("class").alias(f"{n}_class")) for n in ("a", "b"))
-        apart = ~F.coalesce("a_class", "a").eqNullSafe(F.coalesce("b_class", "b"))
-        rest = pairs.select("a", "b").join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        rest = materialize(rest.join(a, "a", "left").join(b, "b", "left").where(apart).select("a", "b"), "near-rest")
-        more = _confirmed(rest, texts, s)
-        tested = tested.union(more)
-        if not more.where("linked").isEmpty():
-            classes = _merged(classes, more.where("linked"))
-        elif walk:
-            break
-        if not walk and crowded.isEmpty():
-            break
-        walk += 1
-        near = crowded.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
-        pairs, _ = _candidates(_further_orders(near, s, walk), s)
+    a, b = (classes.select(F.col("print").alias(n), F.col("class").alias(f"{n}_class")) for n in ("a", "b"))
+    apart = ~F.coalesce("a_class", "a").eqNullSafe(F.coalesce("b_class", "b"))
+    rest = pairs.select("a", "b").join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    rest = materialize(rest.join(a, "a", "left").join(b, "b", "left").where(apart).select("a", "b"), "near-rest")
+    classes = _merged(classes, _confirmed(rest, texts, s).where("linked"))
+    crowded = crowded.join(reps.select("print", "n"), "print")
+    # a few orders join most of a large group, so that the others have little left to compare
+    for trees in (F.col("tree") < 4, F.col("tree") >= 4):
+        classes = _merged(classes, _region_links(crowded.where(trees), classes, texts, s))
     known = rows.join(classes, "print", "left").withColumn("class", F.coalesce("class", "print"))
     return known.select("id", "row", "n", "class")
 
@@ -302,8 +389,9 @@ def near_duplicates(
     region of equal prefixes, and rows at the borders are compared in a second, small
     pass. Of the candidates, each set's most promising one is confirmed first; what then
     lies in one class needs no further test, so a large group of near copies costs about
-    a test per member and not one per pair; the further walks pass over it without a
-    test. Only texts of candidates are shuffled.
+    a test per member and not one per pair. Regions wider than the neighbourhood that
+    still hold several classes are compared whole, see :func:`_region_links`. Only texts
+    of candidates and of crowded regions are shuffled.
     """
     known = _classes(docs, settings, id_col, text_col)
     lowest = known.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("component_id"))

@@ -6,7 +6,7 @@ import re
 import numpy as np
 
 from tabwright.llm.components import components
-from tabwright.llm.near_dedup import Settings, drop_near_duplicates, near_duplicates
+from tabwright.llm.near_dedup import Settings, _common, drop_near_duplicates, near_duplicates
 from tests.llm.cases import TEXTS, documents, empty, messy
 
 
@@ -82,6 +82,30 @@ def test_large_group_of_near_copies(spark):
     compare(near_duplicates(messy(spark, rows)), rows)
 
 
+def test_star_of_copies(spark):
+    """Copies that are similar to the original only, far more than neighbours are looked at."""
+    rng = random.Random(5)
+    base = [f"word{k}" for k in range(201)]
+    texts = [" ".join(base)]
+    for c in range(4000):
+        copy = list(base)
+        for at in rng.sample(range(0, 200, 2), 9):  # two shingles of 200 for each word
+            copy[at] = f"new{c}x{at}"
+        texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    found = near_duplicates(messy(spark, list(enumerate(texts)))).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 4001
+
+
+def test_sizes_of_intersections():
+    """Frequent and rare members, more columns than one table has, empty overlap."""
+    rng = np.random.default_rng(3)
+    for most, size in ((60, 40), (9000, 3000), (10**9, 50)):
+        left, right = ([np.unique(rng.integers(0, most, size).astype(np.uint64)) for _ in range(k)] for k in (70, 90))
+        want = [[len(np.intersect1d(x, y)) for y in right] for x in left]
+        assert (_common(left, right) == want).all()
+
+
 def test_chains_reach_the_smallest_id(spark):
     """Neighbours are similar, ends are not: links carry the id along."""
     words = [f"w{i}" for i in range(140)]
