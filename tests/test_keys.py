@@ -53,6 +53,19 @@ def test_hot_rows_are_spread(spark, skewed, columns):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+@pytest.mark.parametrize("columns", [["k", "v"], ["k"]])
+@pytest.mark.parametrize("nested", ["array(map('a', {0}))", "named_struct('m', map('a', {0}))", "array(named_struct('v', parse_json(cast({0} as string))))"])
+def test_maps_inside_other_types(spark, skewed, nested, columns):
+    """Left columns that hold a map or variant at any depth, beside columns that tell rows apart and without them."""
+    left = skewed.select(*columns, F.expr(nested.format("v")).alias("deep"))
+    right = spark.range(997).select(F.col("id").alias("k"), (F.col("id") * 10).alias("f"))
+    joined = ks.keyed_join(left, right, ["k"], skew="salt")
+    assert joined.columns == [*columns, "deep", "f"]
+    kept = joined.select("k", "f", F.to_json(F.struct("deep")).alias("deep")).collect()
+    want = left.select("k", F.to_json(F.struct("deep")).alias("deep")).collect()
+    assert sorted((r.k, r.f, r.deep) for r in kept) == sorted((r.k, 10 * r.k, r.deep) for r in want)
+
+
 def test_two_joins_on_one_layout(spark, skewed):
     a = spark.range(997).select(F.col("id").alias("k"), (F.col("id") + 1).alias("a"))
     b = spark.range(0, 997, 5).select(F.col("id").alias("k"), (F.col("id") + 2).alias("b"))
