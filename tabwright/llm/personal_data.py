@@ -28,6 +28,8 @@ _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
+#: Digits in groups, also in parentheses, with single blanks between; a group that ends in a dot ends the run.
+_RUN = re.compile(r"[+(]*+[0-9][0-9().-]*+(?:(?<=[0-9)]) \(*+[0-9][0-9().-]*+)*+")
 _EDGE = ".,;:!?\"'()[]{}<>|="
 #: Longest candidate and how far its neighbours are looked for, in code points.
 _LONGEST, _NEAR = 64, 80
@@ -105,14 +107,34 @@ def _contexts(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def _run(text: str, start: int, limit: int) -> tuple[int, int, int]:
+    """Start and end of the run of digit groups that begins here, empty where there are not two of them or they are
+    too long for a candidate, and the place up to which no other begins."""
+    m = _RUN.match(text, start, limit)
+    if m is None:
+        return start, start, start
+    past = end = m.end()
+    if end - start < 2 * _LONGEST:
+        if end < len(text) and not text[end].isspace() and text[end] not in _EDGE:
+            end = max(text.rfind(" ", start, end), start)  # the last group goes on as something else
+        run = text[start:end].rstrip(_EDGE + "-")
+        end = start + len(run)
+        opened = run.count("(") - run.count(")")
+        while opened > 0 and text[start] == "(":
+            start, opened = start + 1, opened - 1
+        if " " in run and end - start < _LONGEST:
+            return start, end, past
+    return start, start, past
+
+
 def mentions(text: str) -> list[dict]:
-    """Base entities, and tokens with a digit or an at sign outside of them, with their patterns."""
+    """Base entities, and outside of them runs of digit groups and tokens with a digit or an at sign, with their patterns."""
     base = base_spans(text)
     out = [
         {"kind": k, "start": s, "end": e, "value": text[s:e].lower(), "patterns": _contexts(text, s, e)} for k, s, e in base
     ]
     covered = sorted((s, e) for _, s, e in base)
-    next_base, free = 0, 0
+    next_base, free, tried = 0, 0, 0
     for m in _SIGN.finditer(text):
         at = m.start()
         if at < free:
@@ -125,6 +147,14 @@ def mentions(text: str) -> list[dict]:
         start, end = at, at + 1
         while start > max(free, at - _LONGEST) and not text[start - 1].isspace():
             start -= 1
+        if start >= tried and at - start < _LONGEST:
+            head = start + len(text[start:at]) - len(text[start:at].lstrip(_EDGE.replace("(", "")))
+            limit = covered[next_base][0] if next_base < len(covered) else len(text)
+            first, last, tried = _run(text, head, limit)  # the groups of a run that is too long stand alone
+            if last > first:
+                out.append({"kind": None, "start": first, "end": last, "value": text[first:last].lower(), "patterns": _contexts(text, first, last)})
+                free = last
+                continue
         while end < min(len(text), at + _LONGEST) and not text[end].isspace():
             end += 1
         free = end
@@ -224,7 +254,8 @@ def personal_data(
     """``id, spans`` for every row of ``docs``; ``spans`` is an array of (kind, start, end, added).
 
     Spans are in code points, the end exclusive, ordered by kind and start. Base entities
-    always stay (``added`` false). A candidate is a token with a digit or an at sign, up
+    always stay (``added`` false). A candidate is a token with a digit or an at sign, or
+    a run of digit groups with single blanks, dashes, dots or parentheses between, up
     to 63 code points, that no base entity touches; it is added under the kind of the
     pattern it stands in when pattern and candidate both reach the confidence (the
     first kind in order when several do). Null and empty texts have no spans, repeated

@@ -69,6 +69,25 @@ def test_contexts_find_unseen_identifiers(spark):
         assert added == ([("phone", re.search(r"555-77\d\d", text).group())] if 20 <= i < 30 else []), text
 
 
+def test_spaced_identifiers_are_one_candidate(spark):
+    rows = [r for r in planted() if not 20 <= r[0] < 30]
+    numbers = {60: "(017) 555-7713", 61: "017 555 7714", 62: "01.7 (555) 7715", 63: "37 828 224 631"}
+    rows += [(i, f"wxa wxb call me on {number} after work wxc") for i, number in numbers.items()]
+    found = {r.id: r.spans for r in personal_data(messy(spark, rows)).collect()}
+    for i, text in rows:
+        if i in numbers:
+            assert [(s.kind, text[s.start : s.end]) for s in found[i]] == [("phone", numbers[i])], text
+
+
+def test_runs():
+    def values(text):
+        return [m["value"] for m in mentions(text) if m["kind"] is None]
+
+    assert values("on (555 7713), or 555 77a 12. 13 (14") == ["555 7713", "555", "77a", "12", "13 (14"]
+    assert values("(1) 2 a@b 3 4 1.2.3.4 5 6") == ["(1) 2", "a@b", "3 4", "5 6"]
+    assert values("12 " * 40) == ["12"] * 40  # too long for one identifier: each group by itself
+
+
 def test_few_seeds_prove_nothing(spark):
     found = personal_data(messy(spark, planted()), Settings(support=13)).collect()
     assert not any(s.added for r in found for s in r.spans)
