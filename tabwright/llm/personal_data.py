@@ -96,7 +96,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def _contexts(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: two words before; one word before and one after."""
+    """Lexical patterns of a place: two words before; one before and one after; the one before and the one after alone."""
     before = [w.strip(_EDGE).lower() for w in text[max(0, start - _NEAR) : start].split()][-2:]
     after = [w.strip(_EDGE).lower() for w in text[end : end + _NEAR].split()][:1]
     out = []
@@ -104,6 +104,10 @@ def _contexts(text: str, start: int, end: int) -> list[str]:
         out.append(f"{before[0]} {before[1]} _")
     if before and after and before[-1] and after[0]:
         out.append(f"{before[-1]} _ {after[0]}")
+    if before and before[-1]:
+        out.append(f"{before[-1]} _")
+    if after and after[0]:
+        out.append(f"_ {after[0]}")
     return out
 
 

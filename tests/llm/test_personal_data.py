@@ -79,6 +79,25 @@ def test_spaced_identifiers_are_one_candidate(spark):
             assert [(s.kind, text[s.start : s.end]) for s in found[i]] == [("phone", numbers[i])], text
 
 
+def test_one_word_labels(spark):
+    """Only the word before, or only the word after, repeats; some identifiers begin or end their text."""
+    rng = random.Random(9)
+
+    def other():
+        return "w" + "".join(rng.choices("abcdefghijklmnop", k=9))
+
+    rows = [(k, f"{other()} {other()} phone: +1 555 010 {1000 + k} {other()} {other()}") for k in range(12)]
+    rows += [(20 + k, f"{other()} {other()} {other()}{k}@mail.org writes {other()}") for k in range(12)]
+    unseen = {40: ("phone", "555-7710"), 41: ("phone", "(017) 555-7711"), 42: ("phone", "555-7712"), 43: ("email", "jo.at@intern")}
+    rows += [(40, f"{other()} phone: 555-7710 {other()}"), (41, f"{other()} {other()} Phone: (017) 555-7711 {other()}")]
+    rows += [(42, "phone: 555-7712"), (43, f"jo.at@intern writes {other()}")]
+    rows += [(50 + k, f"{other()} {other()} {100 + k} {other()}") for k in range(8)]
+    found = {r.id: r.spans for r in personal_data(messy(spark, rows)).collect()}
+    for i, text in rows:
+        added = [(s.kind, text[s.start : s.end]) for s in found[i] if s.added]
+        assert added == ([unseen[i]] if i in unseen else []), text
+
+
 def test_runs():
     def values(text):
         return [m["value"] for m in mentions(text) if m["kind"] is None]
