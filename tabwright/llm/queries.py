@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from tabwright.llm.bpe import bpe_round_trip
 from tabwright.llm.decontaminate import contaminated
 from tabwright.llm.exact_dedup import exact_duplicates
+from tabwright.llm.fill_middle import fill_in_middle, restore
+from tabwright.llm.importance import importance_resample
 from tabwright.llm.line_dedup import drop_repeated_lines
 from tabwright.llm.near_dedup import near_duplicates
+from tabwright.llm.packing import pack
 from tabwright.llm.pages import extract_text
 from tabwright.llm.personal_data import KINDS, personal_data, spans_text
 from tabwright.llm.quality import fit, score
@@ -157,3 +160,37 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         F.col("item").alias("item_id"),
         F.coalesce("covered_share", F.lit(0.0)).alias("covered_share"),
     )
+
+
+@_query("op11_sequence_packing")
+def op11_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+@_query("op12_importance_resampling")
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance_resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+@_query(
+    "op13_fill_in_middle",
+    """WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || doc_id) AS h FROM documents),
+            d AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS r1, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS r2,
+                         CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS p3, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS p4 FROM t),
+            f AS (SELECT doc_id, text, n, least(r1, r2) AS a, greatest(r1, r2) AS b,
+                         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR p3 >= 90 THEN 'plain'
+                              WHEN p4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+            c AS (SELECT *, substring(text, 1, a) AS pre, substring(text, a + 1, b - a) AS mid, substring(text, b + 1) AS suf FROM f)
+       SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+              sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid
+                               ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+              sha256(text) AS restored_sha256 FROM c""",
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = restore(fill_in_middle(read_table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digests)
