@@ -11,12 +11,13 @@ from registry.tables import (
     PARSED_SQL,
     RECORD,
     booking_features,
+    fresh_name,
     inference_log,
     label_sources,
     table,
 )
 from tabwright.functions.dates import lead_time
-from tabwright.operators.features import Lookup, feature_lookup, lookup_keys, training_set
+from tabwright.operators.features import Lookup, feature_lookup, lookup_in_table, lookup_keys, training_set, upsert_features
 from tabwright.operators.inference_log import (
     attach_features,
     attach_labels,
@@ -26,6 +27,7 @@ from tabwright.operators.inference_log import (
     parse_inference_log,
 )
 from tabwright.operators.keys import latest_per_key
+from tabwright.session import work_dir
 
 # A third of all orders belong to one customer, and some customers have no features.
 SKEWED = "CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END"
@@ -198,6 +200,20 @@ def j6_build_monitoring_again(spark, sf_dir):
     return rows.select("request_id", "position", "booking_id", "booking_status")
 
 
+@query(
+    "j7_lookup_in_buckets",
+    """SELECT o_custkey * 2 AS c_custkey, c_name, c_acctbal FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 100 = 0)
+       LEFT JOIN customer ON o_custkey * 2 = c_custkey""",
+)
+def j7_lookup_in_buckets(spark, sf_dir):
+    """Some keys from a table in buckets."""
+    name = fresh_name("customers")
+    features = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    upsert_features(spark, name, features, ["c_custkey"], ["c_acctbal"], work_dir(spark, "customers"), buckets=64)
+    asked = table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0").selectExpr("o_custkey * 2 AS c_custkey").distinct()
+    return lookup_in_table(spark, name, asked)
+
+
 @query(
     "j7_lookup_keys",
     """SELECT DISTINCT o_custkey * 2 AS c_custkey, c_name, c_acctbal FROM orders

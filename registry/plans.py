@@ -26,7 +26,7 @@ from registry.tables import (
     table,
 )
 from tabwright.functions.dates import lead_time
-from tabwright.operators.features import Lookup
+from tabwright.operators.features import Lookup, read_features
 from tabwright.operators.inference_log import parse_inference_log
 from tabwright.operators.profile import quality_profile
 from tabwright.operators.split import hash_split
@@ -109,7 +109,7 @@ def c4_refresh_upsert(spark, sf_dir):
     daily.write.option("path", work_dir(spark, "event-features")).saveAsTable(name)
     changed = daily.withColumn("value", F.col("value") + 1)
     refresh_features(spark, name, [changed], ["event_id", "value"], ["event_id"], "upsert", "day", work_dir(spark, "states"))
-    return spark.table(name).withColumn("day", F.col("day").cast("string"))
+    return read_features(spark, name).withColumn("day", F.col("day").cast("string"))
 
 
 @query(

@@ -19,6 +19,7 @@ from registry.tables import (
     quality_sql,
     table,
 )
+from tabwright.operators.features import read_features
 from tabwright.plans.monitoring import label_pending
 from tabwright.session import work_dir
 from tabwright.streaming.monitoring import stream_inference_log, stream_quality, sync_features, write_available
@@ -53,7 +54,7 @@ def t2_sync_features(spark, sf_dir):
     name, checkpoint, root = fresh_name("synced"), work_dir(spark, "checkpoint"), work_dir(spark, "states")
     for _ in range(2):  # the second run finds nothing new
         sync_features(events, name, ["user_id"], ["ts", "event_id"], checkpoint, root)
-    return spark.table(name)
+    return read_features(spark, name)
 
 
 def _labelled(spark, records, name, sources, known):

@@ -5,13 +5,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators.checks import enforce
-from tabwright.operators.keys import check_key, keyed_join, keyed_joins, latest_per_key
-from tabwright.session import materialize
+from tabwright.operators.keys import check_key, content_hash, keyed_join, keyed_joins, latest_per_key
+from tabwright.session import materialize, planned_bytes, work_dir
+from tabwright.sources.changes import APPLIED, record_changes
+from tabwright.sources.tables import drop_table, overwrite_partitions, set_table_properties, table_properties
 
 
 @dataclass(frozen=True)
@@ -87,22 +91,75 @@ def create_feature_table(df: DataFrame, table: str, key: Sequence[str], path: st
     df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('primary_key' = '{','.join(key)}')")
 
 
-def newest_rows(current: DataFrame, fresh: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """A keyed table after an update: per key the newer row, ties to the update.
+BUCKET = "_bucket"
+# Table properties: how many buckets, and where rows wait that a broken run may not have put in place.
+BUCKETS, PENDING = "key_buckets", "pending_buckets"
+BUCKET_BYTES, LEAST_BUCKETS, MOST_BUCKETS = 64 << 20, 16, 4096
 
-    Both frames have one row per key. A small update is broadcast to the
-    table, which is then neither shuffled nor sorted.
+
+def key_bucket(key: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key: a hash, so that one row per key fills all buckets alike."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(buckets)).cast("int")
+
+
+def read_features(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a feature table without the column of its buckets."""
+    return spark.table(table).drop(BUCKET)
+
+
+def lookup_in_table(spark: SparkSession, table: str, keys: DataFrame) -> DataFrame:
+    """Features of the asked keys (all columns of ``keys``) from a table in buckets; only their buckets are read.
+
+    A key without features gives nulls, a key that is asked twice comes twice.
+    """
+    key, buckets = keys.columns, int(table_properties(spark, table).get(BUCKETS, 0))
+    if not buckets:
+        return lookup_keys(read_features(spark, table), keys, key)
+    keys = keys.select(*[F.col(k).cast(spark.table(table).schema[k].dataType).alias(k) for k in key])
+    asked = [r[0] for r in keys.select(key_bucket(key, buckets)).distinct().collect()]  # one value per bucket
+    rows = spark.table(table).where(F.col(BUCKET).isin(asked)).drop(BUCKET)
+    return lookup_keys(rows, keys, key)
+
+
+def _same_key(left: DataFrame, right: DataFrame, key: Sequence[str]) -> Column:
+    return reduce(and_, [left[f"`{k}`"].eqNullSafe(right[f"`_{k}`"]) for k in key])
+
+
+def newer_rows(current: DataFrame, fresh: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The rows of ``fresh`` that change ``current``: of new keys, newer, or as new and different.
+
+    Both frames have one row per key; null keys are keys like others. Only keys, order and
+    a hash of ``current`` are shuffled.
     """
-    key = list(key)
-    columns = current.columns
-    carried = fresh.select(*key, F.struct(*columns).alias("_new"))
-    not_older = F.struct(*[F.col(f"_new.{c}") for c in order]) >= F.struct(*[F.col(c) for c in order])
-    take_new = F.col("_new").isNotNull() & not_older
-    kept = current.join(carried, key, "left").select(
-        *[F.when(take_new, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in columns]
+    fields = [f for f in current.schema.fields if f.name in fresh.columns]
+    held = current.select(
+        *[F.col(f"`{k}`").alias(f"_{k}") for k in key], F.struct(*order).alias("_held"), content_hash(fields).alias("_was")
     )
-    known = current.select(*key).join(fresh.select(*key), key, "left_semi")
-    return kept.unionByName(fresh.select(*columns).join(known, key, "left_anti"))
+    marked = fresh.withColumn("_is", content_hash(fields))
+    joined = marked.join(held, _same_key(marked, held, key), "left")
+    given = F.struct(*order)
+    wins = F.col("_held").isNull() | (given > F.col("_held")) | ((given == F.col("_held")) & (F.col("_is") != F.col("_was")))
+    return joined.where(wins).select(*fresh.columns)
+
+
+def _without(rows: DataFrame, gone: DataFrame, key: Sequence[str]) -> DataFrame:
+    other = gone.select(*[F.col(f"`{k}`").alias(f"_{k}") for k in key])
+    return rows.join(other, _same_key(rows, other, key), "left_anti")
+
+
+def _in_buckets(df: DataFrame, table: str, key: Sequence[str], buckets: int, root: str | None) -> None:
+    writer = df.withColumn(BUCKET, key_bucket(key, buckets)).hint("rebalance", BUCKET).write.format("parquet").partitionBy(BUCKET)
+    if root:
+        writer = writer.option("path", f"{root}/{table}-{uuid.uuid4().hex}")
+    writer.saveAsTable(table)
+    set_table_properties(df.sparkSession, table, {"primary_key": ",".join(key), BUCKETS: str(buckets), APPLIED: "1"})
+
+
+def _put_in_place(spark: SparkSession, table: str, version: str, path: str) -> None:
+    """Overwrite the buckets for which rows wait; doing so again changes nothing."""
+    rows = spark.read.schema(spark.table(table).schema).parquet(path)
+    overwrite_partitions(rows.hint("rebalance", BUCKET), table, [BUCKET])
+    set_table_properties(spark, table, {PENDING: "", APPLIED: version})
 
 
 def upsert_features(
@@ -112,23 +169,66 @@ def upsert_features(
     key: Sequence[str],
     order: Sequence[str],
     root: str | None = None,
-) -> None:
-    """Apply the newest rows to a keyed table; applying the same rows again changes nothing.
-
-    The new state is written below ``root`` (the warehouse unless given) and
-    the table is then pointed at it, so a failed run leaves the table as it was
-    and readers never see half of a refresh. Earlier states stay until they are
-    deleted. Single writer per table.
+    buckets: int | None = None,
+) -> int:
+    """Apply the newest rows to a keyed table; how many buckets were written.
+
+    A feature table is partitioned by a hash of its key (``_bucket``, see
+    :func:`read_features`). An update writes the buckets of keys it changes and no others;
+    rows that are older than those held, or equal to them, change nothing, so applying the
+    same rows again writes nothing. ``buckets`` counts for a new table; without it there is
+    one per 64 MB of the first rows, 16 at least. A table that has no buckets yet is
+    written anew once. New tables lie below ``root``, or in the warehouse.
+
+    The buckets' new rows are written to the shared folder first and noted in the table's
+    properties; a run that breaks off while they are put in place is completed by the next
+    one. On tables marked for change capture the changed rows are kept, see
+    :func:`tabwright.sources.changes.table_changes`. Single writer per table.
     """
-    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/states"
-    state = f"{root}/{table}/{uuid.uuid4().hex}"
-    if spark.catalog.tableExists(table):
-        current = spark.table(table)
-        # written once: it is read three times, and its size decides how it is joined
-        fresh = materialize(latest_per_key(update.select(*current.columns), key, order), "update")
-        newest_rows(current, fresh, key, order).write.parquet(state)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{state}'")
-        spark.catalog.refreshTable(table)
-        return
-    latest_per_key(update, key, order).write.option("path", state).format("parquet").saveAsTable(table)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('primary_key' = '{','.join(key)}')")
+    key, order = list(key), list(order)
+    if not spark.catalog.tableExists(table):
+        first = latest_per_key(update, key, order)
+        _in_buckets(first, table, key, buckets or _fitting(update), root)
+        return len(spark.sql(f"SHOW PARTITIONS {table}").collect())
+    properties = table_properties(spark, table)
+    if BUCKETS not in properties:
+        _give_buckets(spark, table, key, buckets, root)
+        properties = table_properties(spark, table)
+    if properties.get(PENDING):
+        _put_in_place(spark, table, *properties[PENDING].split(" ", 1))
+        properties = table_properties(spark, table)
+    schema = read_features(spark, table).schema
+    typed = update.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    fresh = latest_per_key(typed, key, order).withColumn(BUCKET, key_bucket(key, int(properties[BUCKETS])))
+    fresh = materialize(fresh, "update")  # read three times
+    winners = materialize(newer_rows(_buckets_of(spark, table, fresh), fresh, key, order), "winners")
+    held = _buckets_of(spark, table, winners)
+    touched = [r[0] for r in winners.select(BUCKET).distinct().collect()]
+    if not touched:
+        return 0
+    version = int(properties[APPLIED]) + 1
+    record_changes(held.drop(BUCKET), winners.drop(BUCKET), table, key, version, root)
+    path = work_dir(spark, "buckets")
+    _without(held, winners, key).unionByName(winners).write.parquet(path)
+    set_table_properties(spark, table, {PENDING: f"{version} {path}"})
+    _put_in_place(spark, table, str(version), path)
+    return len(touched)
+
+
+def _buckets_of(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """The table's rows in the buckets that ``rows`` names: at most as many values as buckets."""
+    return spark.table(table).where(F.col(BUCKET).isin([r[0] for r in rows.select(BUCKET).distinct().collect()]))
+
+
+def _fitting(df: DataFrame) -> int:
+    return min(max(planned_bytes(df) // BUCKET_BYTES, LEAST_BUCKETS), MOST_BUCKETS)
+
+
+def _give_buckets(spark: SparkSession, table: str, key: Sequence[str], buckets: int | None, root: str | None) -> None:
+    """Write a plain keyed table anew with buckets, then let it take the old one's name."""
+    old, beside = spark.table(table), f"{table}_{uuid.uuid4().hex}"
+    kept = {k: v for k, v in table_properties(spark, table).items() if not k.startswith("transient")}
+    _in_buckets(old, beside, key, buckets or _fitting(old), root)
+    set_table_properties(spark, beside, kept | {"primary_key": ",".join(key)})
+    drop_table(spark, table)
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")

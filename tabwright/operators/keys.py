@@ -81,17 +81,22 @@ def _key_hash(key: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in key])
 
 
-def _hashable(kind: T.DataType) -> bool:
+def hashable(kind: T.DataType) -> bool:
     """Whether ``xxhash64`` takes the type: no map and no variant at any depth."""
     if isinstance(kind, T.UserDefinedType):
-        return _hashable(kind.sqlType())
+        return hashable(kind.sqlType())
     if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
+        return hashable(kind.elementType)
     if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
+        return all(hashable(f.dataType) for f in kind.fields)
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
+def content_hash(fields: Sequence[T.StructField]) -> Column:
+    """A hash of a row; values that Spark cannot hash count by their text."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") if hashable(f.dataType) else F.to_json(F.struct(f"`{f.name}`")) for f in fields])
+
+
 def keyed_join(left: DataFrame, right: DataFrame, key: Sequence[str], how: str = "left", **options) -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per key; see :func:`keyed_joins`."""
     return keyed_joins(left, [(right, how)], key, **options)
@@ -129,7 +134,7 @@ def keyed_joins(
             left = left.join(right, key, how)
         return left
     is_hot = _key_hash(key).isin(*hot)
-    content = [f.name for f in left.schema.fields if _hashable(f.dataType)]
+    content = [f.name for f in left.schema.fields if hashable(f.dataType)]
     if hot_keys(left.where(is_hot), content):
         # Many equal rows, which no hash of the row can separate: draw by position.
         # Positions in a written table are the same however often a task runs.

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tabwright.operators.features import Lookup, training_set, upsert_features
 from tabwright.operators.metrics import Comparison, accuracy, auc_hard, champion_challenger, classification_report
 from tabwright.operators.model import score, train
 from tabwright.operators.transform import latest_batch
 from tabwright.session import materialize
+from tabwright.sources.changes import table_version
 from tabwright.sources.tables import STAMP, create_table, insert_select
 
 
@@ -27,7 +29,7 @@ def build_features(
 ) -> None:
     """Create the feature table and append the projection of every source."""
     create_table(spark, table, columns, key, path)
-    names = [c.strip().split()[0] for c in columns.split(",")]
+    names = T.StructType.fromDDL(columns).fieldNames()
     for source in sources:
         insert_select(source, table, names)
 
@@ -59,13 +61,18 @@ def refresh_features(
 
 @dataclass(frozen=True)
 class TrainingResult:
-    """A fitted model, its metrics on the test rows and the comparison with the registered one."""
+    """A fitted model, its metrics on the test rows and the comparison with the registered one.
+
+    ``versions`` holds the version of every named table that the model was trained on, for
+    :func:`tabwright.sources.changes.read_as_of`.
+    """
 
     model: PipelineModel
     accuracy: DataFrame
     auc_hard: DataFrame
     report: DataFrame
     comparison: Comparison | None
+    versions: dict[str, int | None] = field(default_factory=dict)
 
 
 def train_and_compare(
@@ -81,12 +88,16 @@ def train_and_compare(
     latest: Callable[[DataFrame], DataFrame] | None = None,
     exclude: Sequence[str] = (),
     seed: int = 42,
+    tables: Sequence[str] = (),
 ) -> TrainingResult:
     """Look up features, train, evaluate, and compare with the latest registered model.
 
     ``latest`` adds its ``prediction``. Both predictions are held in one row
-    per test record, so they are compared pair by pair, over all test rows.
+    per test record, so they are compared pair by pair, over all test rows. The versions
+    of ``tables``, those the rows and lookups come from, are read before training and
+    kept with the model.
     """
+    versions = {name: table_version(train_rows.sparkSession, name) for name in tables}
     wanted = [key, label, *numeric, *categorical]
     fitted_on = training_set(train_rows, label, lookups, functions, exclude).select(*wanted)
     model = train(fitted_on, label, numeric, categorical, parameters, seed)
@@ -104,4 +115,5 @@ def train_and_compare(
         auc_hard(scored, label, "current"),
         classification_report(scored, label, "current"),
         comparison,
+        versions,
     )

@@ -67,13 +67,7 @@ def overwrite(df: DataFrame, table: str, path: str | None = None, partition_by:
     """Replace a table, or only the partitions the frame has rows for."""
     spark = df.sparkSession
     if partition_by and spark.catalog.tableExists(table):
-        mode = "spark.sql.sources.partitionOverwriteMode"
-        before = spark.conf.get(mode)
-        spark.conf.set(mode, "dynamic")
-        try:
-            df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-        finally:
-            spark.conf.set(mode, before)
+        overwrite_partitions(df, table, partition_by)
         return
     writer = df.write.format("parquet").mode("overwrite")
     if partition_by:
@@ -83,6 +77,26 @@ def overwrite(df: DataFrame, table: str, path: str | None = None, partition_by:
     writer.saveAsTable(table)
 
 
+def overwrite_partitions(df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+    """Replace the partitions that the frame has rows for; others keep their files.
+
+    The mode is an option of this write, so the session's settings stay as they are.
+    """
+    spark = df.sparkSession
+    columns = spark.table(table).schema.fields
+    rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in columns])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+    writer.parquet(location(spark, table))
+    spark.sql(f"MSCK REPAIR TABLE {table}")  # lists folders, for partitions that are new
+    spark.catalog.refreshTable(table)
+
+
+def location(spark: SparkSession, table: str) -> str:
+    """The folder of a table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return described[0]["data_type"]
+
+
 def create_table(
     spark: SparkSession, table: str, columns: str, key: Sequence[str], path: str | None = None, replace: bool = True
 ) -> None:

@@ -74,8 +74,8 @@ def sync_features(
     """Apply new rows of a stream to a keyed table, then stop.
 
     A micro-batch that is run twice leaves the table as running it once does,
-    because the newest row per key wins. Every micro-batch writes the table
-    anew, so leave the source unlimited: one run is then one micro-batch.
+    because the newest row per key wins. Every micro-batch writes the buckets of the keys
+    it changes, see :func:`tabwright.operators.features.upsert_features`.
     """
 
     def apply(batch: DataFrame, _: int) -> None:

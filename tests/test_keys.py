@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tabwright.contract import ContractViolation
 from tabwright.operators import keys as ks
 from tabwright.operators.checks import check_all, enforce
-from tabwright.operators.features import create_feature_table, feature_lookup, upsert_features
+from tabwright.operators.features import create_feature_table, feature_lookup, read_features, upsert_features
 from tabwright.session import work_dir
 
 
@@ -124,7 +124,7 @@ def test_upsert_keeps_newer_rows_and_is_repeatable(spark):
 
     def apply(*rows):
         upsert_features(spark, name, spark.createDataFrame(list(rows), "k int, t int, v string"), ["k"], ["t"])
-        return sorted((r.k, r.t, r.v) for r in spark.table(name).collect())
+        return sorted((r.k, r.t, r.v) for r in read_features(spark, name).collect())
 
     assert apply((1, 1, "a"), (2, 5, "b")) == [(1, 1, "a"), (2, 5, "b")]
     assert apply((2, 3, "late"), (1, 2, "new"), (1, 1, "old"), (3, None, "c")) == [(1, 2, "new"), (2, 5, "b"), (3, None, "c")]
