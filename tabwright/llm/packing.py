@@ -9,7 +9,9 @@ fullest window of one meets the emptiest of the other.
 from __future__ import annotations
 
 import heapq
-import sys
+import json
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count
@@ -22,47 +24,97 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from tabwright.llm.bpe import byte_letters
 from tabwright.llm.rows import id_and_text, slices
+from tabwright.llm.token_counts import _PIECE as PIECE
 from tabwright.llm.token_counts import words_of
 
 CAPACITY, END = 2048, 1
 #: A group is closed at so many windows of tokens or so many documents.
 GROUP_WINDOWS, GROUP_ITEMS = 64, 2048
-#: Bytes of a worker's table of words already encoded.
-TABLE_BYTES = 24 << 20
+#: Bytes of a worker's table of words already encoded, about, and of that of their pieces.
+TABLE_BYTES = 96 << 20
+#: Bytes of an entry beside its key and value.
+ENTRY_BYTES = 200
+
+
+class _Kept(dict):
+    """Results by key; a full table becomes the old one, and what is asked for again moves over.
+
+    ``compute`` gives a result and whether it is worth keeping.
+    """
+
+    def __init__(self, compute, limit: int):
+        super().__init__()
+        self.compute, self.limit, self.size, self.old = compute, limit // 2, 0, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value, worth = self.compute(key)
+            if not worth:
+                return value
+        if self.size < self.limit:  # a full table waits for its turn
+            self[key] = value
+            self.size += len(key) + len(value) + ENTRY_BYTES
+        return value
+
+    def turned(self) -> _Kept:
+        """The table to go on with."""
+        if self.size < self.limit:
+            return self
+        fresh = _Kept(self.compute, 2 * self.limit)
+        fresh.old, self.old = self, {}
+        return fresh
 
 
 class WordIds:
     """Packed ids of texts by a vocabulary that drops white space, word by word.
 
-    Words not met before are encoded by the library, all of a step in one call. A full
-    table becomes the old one and a new one is begun; what is asked for again moves over.
+    Words not met before are cut into pieces, pieces not met before are encoded by the
+    library's model. Tables of both are bounded; a word is kept when its pieces were known,
+    so that words which come once take no place.
     """
 
     def __init__(self, spec: bytes, limit: int = TABLE_BYTES):
+        parsed = json.loads(spec)
         self.library = Tokenizer.from_str(spec.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.limit, self.size = limit // 2, 0
-        self.table: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        if self.size > self.limit:
-            self.old, self.table, self.size = self.table, {}, 0
-        split = [words_of(t) for t in texts]
-        asked = set().union(*split).difference(self.table)
-        known = {w: self.old[w] for w in asked if w in self.old}
-        asked = list(asked.difference(known))
-        if asked:
-            found = self.library.encode(asked, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            at = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(asked) + 1)) * 4
-            known.update(zip(asked, map(ids.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist()))))
-        self.table.update(known)
-        self.size += sum(sys.getsizeof(w) + sys.getsizeof(i) + 104 for w, i in known.items())
-        return [b"".join(map(self.table.__getitem__, words)) for words in split]
+        self.model = self.library.model
+        special = [t["content"] for t in parsed["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, special)) or "$.")
+        top = max([*parsed["model"]["vocab"].values(), *(t["id"] for t in parsed["added_tokens"])])
+        self.packed = [i.to_bytes(4, "little") for i in range(top + 1)]
+        self.letters = dict(enumerate(byte_letters()))
+        self.words, self.pieces = _Kept(self._word, limit), _Kept(self._piece, limit)
+        self.signs = {c: self._piece(c)[0] for c in ".,;:!?"}
+
+    def _piece(self, piece: str) -> tuple[bytes, bool]:
+        if not (piece.isascii() and piece.isprintable()):  # others stand for themselves
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(piece)]), True
+
+    def _word(self, word: str) -> tuple[bytes, bool]:
+        if word.isascii():  # most new words are letters, perhaps with a sign behind them
+            piece, sign = (word, b"") if word.isalpha() else (word[:-1], self.signs.get(word[-1]))
+            if sign is not None and piece.isalpha():
+                piece = piece.lower()
+                ids = self.pieces.get(piece)
+                return (self.pieces[piece] if ids is None else ids) + sign, ids is not None
+        if self.special.search(word):
+            return b"".join([self.packed[i] for i in self.library.encode(word, add_special_tokens=False).ids]), True
+        if not word.isascii():
+            word = unicodedata.normalize("NFC", word)
+        # the form of a capital sigma depends on its neighbours in Python, not in the library
+        word = word.lower() if "\u03a3" not in word else "".join([c.lower() for c in word])
+        return b"".join(map(self.pieces.__getitem__, PIECE.findall(word))), True
+
+    def encode(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        self.words, self.pieces = self.words.turned(), self.pieces.turned()
+        return b"".join(map(self.words.__getitem__, words_of(text)))
 
 
 @lru_cache(1)
@@ -226,8 +278,8 @@ def pack(
         for batch in batches:
             id_type = batch.schema.field("id").type
             for part in slices(batch):
-                for key, ids in zip(part.column("id").to_pylist(), coder.encode(part.column("text").to_pylist())):
-                    ids += last
+                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
+                    ids = coder.encode(text) + last
                     total = len(ids) // 4
                     whole = total - total % capacity
                     for start in range(0, whole, capacity):
