@@ -10,8 +10,10 @@ from __future__ import annotations
 import json
 import re
 import struct
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 from pathlib import Path
 
@@ -21,11 +23,14 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tabwright.llm.rows import id_and_text, slices
 
-#: Entries of a worker's table of pieces already encoded.
-CACHE = 300_000
+#: Bytes of a worker's table of pieces already encoded, about, and of an entry beside its key.
+TABLE_BYTES, ENTRY_BYTES = 64 << 20, 200
+#: Pairs of tokens whose test is remembered.
+PAIRS = 1 << 18
 #: White space of the tokenizers' patterns, without the separators 1C-1F that Python adds.
 SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -33,6 +38,20 @@ _PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p
 _STRETCH = re.compile(rf" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]")
 
 
+@lru_cache(1)
+def unassigned() -> re.Pattern:
+    """Code points that have no meaning in Python's tables; other libraries' newer ones may call them letters."""
+    unknown = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn"]
+    ends = [c for c, after in zip(unknown, [*unknown[1:], -1]) if after != c + 1]
+    starts = [c for c, before in zip(unknown, [-2, *unknown]) if before != c - 1]
+    return re.compile("[" + "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(starts, ends)) + "]")
+
+
+def newer(text: str) -> bool:
+    """Whether a text may hold letters that only the library knows."""
+    return not text.isprintable() and unassigned().search(text) is not None
+
+
 def byte_letters() -> list[str]:
     """The printable letter that byte-level vocabularies write for each byte."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -44,87 +63,112 @@ class PrefixCoder:
     """Encodes pieces, given as strings with one letter per base symbol."""
 
     def __init__(self, vocabulary: dict[str, int], merges: Iterable[tuple[str, str]]):
-        self.ids = vocabulary
-        self.rank: dict[tuple[int, int], int] = {}
-        self.parts: dict[int, tuple[int, int, int]] = {}
+        size = max(vocabulary.values()) + 1
+        self.shift = size.bit_length()
+        self.rank: dict[int, int] = {}  # by both ids in one number
+        # the parts of a token and the rank at which they are merged; base symbols are their own parts
+        self.left, self.right = list(range(size)), list(range(size))
+        self.made = [float("inf")] * size
         for rank, (a, b) in enumerate(merges):
-            pair = vocabulary[a], vocabulary[b]
-            self.rank[pair] = rank
-            self.parts[vocabulary[a + b]] = (*pair, rank)
-        self.matches = ahocorasick.Automaton()
+            x, y, token = vocabulary[a], vocabulary[b], vocabulary[a + b]
+            self.rank[x << self.shift | y] = rank
+            self.left[token], self.right[token], self.made[token] = x, y, rank
+        self.matches = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.length = [0] * size
         for word, i in vocabulary.items():
-            if len(word) == 1 or i in self.parts:
-                self.matches.add_word(word, (len(word), i))
+            if len(word) == 1 or self.left[i] != i:
+                self.matches.add_word(word, i)
+                self.length[i] = len(word)
         self.matches.make_automaton()
-        self.compatible = lru_cache(1 << 17)(self._compatible)
-        self.edge = lru_cache(1 << 16)(self._edge)
-
-    def _edge(self, token: int, right: bool) -> list[tuple[int, float]]:
-        """The symbols that bound a token on one side as it grows, each with the rank at which it is used up."""
-        found, ends = [], float("inf")
-        while True:
-            found.append((token, ends))
-            if token not in self.parts:
-                return found
-            a, b, ends = self.parts[token]
-            token = b if right else a
+        self.tested: dict[int, bool] = {}
 
     def _compatible(self, a: int, b: int) -> bool:
         """Whether ``a`` followed by ``b`` encodes to just these two tokens.
 
         It does unless some merge across the border comes while both its symbols are
         there. Of equal merges the leftmost comes first, so on a tie the right end of
-        ``a`` is used up before the border, the left end of ``b`` after it.
+        ``a`` is used up before the border, the left end of ``b`` after it. The symbols at
+        the border are those that ``a`` ends with and ``b`` begins with as they grow, each
+        used up at the rank at which it becomes part of the next.
         """
-        for x, ends_x in self.edge(a, True):
-            for y, ends_y in self.edge(b, False):
-                rank = self.rank.get((x, y))
-                if rank is not None and rank < ends_x and rank <= ends_y:
+        get, shift, left, right, made = self.rank.get, self.shift, self.left, self.right, self.made
+        used_x = float("inf")
+        while True:
+            y, used_y = b, float("inf")
+            while True:
+                rank = get(a << shift | y)
+                if rank is not None and rank < used_x and rank <= used_y:
                     return False
-        return True
+                if left[y] == y:
+                    break
+                y, used_y = left[y], made[y]
+            if right[a] == a:
+                return True
+            a, used_x = right[a], made[a]
 
     def encode(self, piece: str) -> list[int]:
         if not piece:
             return []
         last = [-1] * (len(piece) + 1)
-        length = [0] * (len(piece) + 1)
-        compatible = self.compatible
-        for end, (size, token) in self.matches.iter(piece):
+        lengths, tested, shift = self.length, self.tested, self.shift
+        if len(tested) > PAIRS:
+            tested.clear()
+        for end, token in self.matches.iter(piece):
             end += 1
             if last[end] >= 0:
                 continue
-            before = last[end - size]
-            if size == end or (before >= 0 and compatible(before, token)):
-                last[end], length[end] = token, size
+            start = end - lengths[token]
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                pair = before << shift | token
+                fits = tested.get(pair)
+                if fits is None:
+                    fits = tested[pair] = self._compatible(before, token)
+                if not fits:
+                    continue
+            last[end] = token
         out, at = [], len(piece)
         while at:
             out.append(last[at])
-            at -= length[at]
+            at -= lengths[last[at]]
         return out[::-1]
 
 
 class _Table(dict):
     """Stretch to result; unknown ones are computed and kept while there is room.
 
-    A full table becomes the old one and a new one is begun; what is asked for again
-    moves over, so frequent stretches stay. Both together hold ``limit`` entries.
+    A full table becomes the old one and a new one is begun (:meth:`turned`, between
+    texts); what is asked for again moves over, so frequent stretches stay. Both together
+    hold about ``limit`` bytes.
     """
 
-    def __init__(self, compute, limit: int = CACHE):
+    def __init__(self, compute, limit: int = TABLE_BYTES):
         super().__init__()
-        self.compute, self.limit, self.old = compute, limit, {}
+        self.compute, self.limit, self.size, self.old = compute, limit // 2, 0, {}
 
     def __missing__(self, key: str):
         value = self.old.get(key)
         if value is None:
             value = self.compute(key)
-        if len(self) >= self.limit // 2:
-            self.old = dict(self)
-            self.clear()
-        if len(key) <= 256:
+        if self.size < self.limit and len(key) <= 256:
             self[key] = value
+            self.size += ENTRY_BYTES + 2 * len(key)  # a value has at most four bytes for each letter, mostly one
         return value
 
+    def turned(self) -> _Table:
+        """The table to go on with; the entries themselves are not copied."""
+        if self.size < self.limit:
+            return self
+        fresh = _Table(self.compute, 2 * self.limit)
+        fresh.old, self.old = self, {}
+        return fresh
+
+    def forget(self) -> None:
+        """Give up the old entries, so that an idle worker holds half as much."""
+        self.old = {}
+
 
 def _special(spec: dict) -> dict[str, int]:
     return {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -135,24 +179,44 @@ class ByteCoder:
 
     def __init__(self, spec: bytes):
         parsed = json.loads(spec)
+        self.spec = spec
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in parsed["model"]["merges"]]
         self.coder = PrefixCoder(parsed["model"]["vocab"], merges)
         self.letters = dict(enumerate(byte_letters()))
         special = _special(parsed)
         self.special = {text: struct.pack("<I", i) for text, i in special.items()}
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
+        self.packed = [i.to_bytes(4, "little") for i in range(max(parsed["model"]["vocab"].values()) + 1)]
         self.table = _Table(self._stretch)
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The library's tokenizer, made when a text asks for it."""
+        return Tokenizer.from_str(self.spec.decode())
+
     def _stretch(self, stretch: str) -> bytes:
         """Ids of a stretch; its pieces are stretches themselves, kept in the same table."""
+        body = stretch[1:] if stretch[0] == " " else stretch
+        if body.isascii():  # most new ones are a word, perhaps with a sign behind it
+            if body.isalpha():
+                return self._ids(body if len(body) == len(stretch) else self.letters[32] + body)
+            if body[:-1].isalpha():
+                return self.table[stretch[:-1]] + self.table[body[-1]]
+        elif newer(stretch):  # cut as the library's own tables say
+            pieces = self.library.pre_tokenizer.pre_tokenize_str(stretch)
+            return b"".join([self._ids(letters) for letters, _ in pieces])
         pieces = _PIECE.findall(stretch)
         if len(pieces) > 1:
             return b"".join(map(self.table.__getitem__, pieces))
-        ids = self.coder.encode(stretch.encode().decode("latin-1").translate(self.letters))
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return self._ids(stretch.encode().decode("latin-1").translate(self.letters))
+
+    def _ids(self, piece: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[i] for i in self.coder.encode(piece)])
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
+        self.table = self.table.turned()
         get = self.table.__getitem__
         if not any(s in text for s in self.special):
             return b"".join(map(get, _STRETCH.findall(text)))
@@ -210,6 +274,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
             for part in slices(batch):
                 ids = [coder.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
+        coder.table.forget()
 
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary")
 
@@ -230,6 +295,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
                 texts = [decoder.decode(i) for i in ids]
                 columns = [part.column("id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "text"])
+        coder.table.forget()
 
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary, text string")
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
-from tabwright.llm.bpe import byte_letters
+from tabwright.llm.bpe import byte_letters, newer
 from tabwright.llm.rows import id_and_text, slices
 from tabwright.llm.token_counts import _PIECE as PIECE
 from tabwright.llm.token_counts import words_of
@@ -103,7 +103,7 @@ class WordIds:
                 piece = piece.lower()
                 ids = self.pieces.get(piece)
                 return (self.pieces[piece] if ids is None else ids) + sign, ids is not None
-        if self.special.search(word):
+        if self.special.search(word) or newer(word):
             return b"".join([self.packed[i] for i in self.library.encode(word, add_special_tokens=False).ids]), True
         if not word.isascii():
             word = unicodedata.normalize("NFC", word)

@@ -1,8 +1,8 @@
 """Token counts by a two-tier lookup on the map side.
 
 Tier one is a compact table of the token counts of frequent words, sent to every
-worker; tier two encodes what is missing there and keeps it in the worker. No
-word is ever shuffled.
+worker; tier two encodes what is missing there and keeps it in the worker. Only the
+counted words of the sample that finds the frequent ones are shuffled.
 """
 
 from __future__ import annotations
@@ -12,15 +12,16 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from pathlib import Path
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from tabwright.llm.bpe import SPACES, PrefixCoder, _Table, byte_letters
+from tabwright.llm.bpe import SPACES, TABLE_BYTES, PrefixCoder, _Table, byte_letters, newer
 from tabwright.llm.rows import id_and_text, slices
 
 #: Texts looked at for the frequent words, about, words taken from each of them, and words in the table sent out.
@@ -41,6 +42,7 @@ class WordCounter:
 
     def __init__(self, spec: bytes):
         spec_json = json.loads(spec)
+        self.spec = spec
         model = spec_json["model"]
         # a letter and its form at a word's end are one symbol each
         single = {w: chr(0xF0000 + ord(w[0])) for w in model["vocab"] if len(w) == 1 + len(_END) and w.endswith(_END)}
@@ -56,13 +58,24 @@ class WordCounter:
             {symbols(w): i for w, i in model["vocab"].items()}, [(symbols(a), symbols(b)) for a, b in merges]
         )
         self.single, self.letters = single, dict(enumerate(byte_letters()))
-        self.pieces = _Table(self._piece)
+        self.pieces, self.words = _Table(self._piece, TABLE_BYTES // 2), _Table(self.count)
         special = [t["content"] for t in spec_json["added_tokens"]]
         self.special = frozenset(special)
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
 
+    @cached_property
+    def library(self) -> Tokenizer:
+        """The library's tokenizer, made when a text asks for it."""
+        return Tokenizer.from_str(self.spec.decode())
+
+    def turn(self) -> None:
+        """Begin new tables where they are full; between texts."""
+        self.pieces, self.words = self.pieces.turned(), self.words.turned()
+
     def _piece(self, piece: str) -> int:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
+        return self._letters(piece.encode().decode("latin-1").translate(self.letters))
+
+    def _letters(self, letters: str) -> int:
         return len(self.coder.encode(letters[:-1] + self.single[letters[-1] + _END]))
 
     def count(self, word: str) -> int:
@@ -72,6 +85,10 @@ class WordCounter:
             if part in self.special:
                 total += 1
                 continue
+            if newer(part):  # as the library's own tables say
+                known = self.library.normalizer.normalize_str(part)
+                total += sum(self._letters(p) for p, _ in self.library.pre_tokenizer.pre_tokenize_str(known))
+                continue
             # letter by letter, as the tokenizer does: no form depends on its neighbours
             text = "".join([c.lower() for c in unicodedata.normalize("NFC", part)])
             for piece in _PIECE.findall(text):
@@ -80,8 +97,8 @@ class WordCounter:
 
 
 @lru_cache(2)
-def _counter(spec: bytes) -> _Table:
-    return _Table(WordCounter(spec).count)
+def _counter(spec: bytes) -> WordCounter:
+    return WordCounter(spec)
 
 
 def frequent_counts(docs: DataFrame, spec: bytes) -> dict[str, int]:
@@ -126,18 +143,25 @@ def count_tokens(
     schema = frame.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, first = _counter(spec), known.value.get
+        counter, first = _counter(spec), known.value.get
 
-        def one(word: str) -> int:
-            n = first(word)
-            return rest[word] if n is None else n
+        def all_of(text: str) -> int:
+            counter.turn()
+            rest = counter.words
+            total = 0
+            for word in words_of(text):
+                n = first(word)
+                total += rest[word] if n is None else n
+            return total
 
         for batch in batches:
             for part in slices(batch):
-                totals = [sum(map(one, words_of(t))) for t in part.column("text").to_pylist()]
+                totals = [all_of(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("n_bytes"), pa.array(totals, pa.int64())], ["id", "n_bytes", "n_tokens"]
                 )
+        counter.words.forget()
+        counter.pieces.forget()
 
     counted = frame.withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(
         run, f"id {schema}, n_bytes long, n_tokens long"

@@ -104,6 +104,7 @@ def test_windows_rise_when_one_is_over():
 def test_ids_are_those_of_the_library(library):
     rng = random.Random(8)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 60))) for _ in range(3000)]
+    texts += [f"\u00d4{chr(c)} a{chr(c)}1" for c in (0x558, 0x10940, 0x10D50, 0x3D000)]
     with open(WORDS, "rb") as f:
         coder = WordIds(f.read(), limit=1 << 16)  # a small table: it turns over again and again
     for text in texts * 2:
