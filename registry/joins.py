@@ -17,7 +17,7 @@ from registry.tables import (
     table,
 )
 from tabwright.functions.dates import lead_time
-from tabwright.operators.features import Lookup, feature_lookup, lookup_in_table, lookup_keys, training_set, upsert_features
+from tabwright.operators.features import Lookup, create_feature_table, feature_lookup, lookup_in_table, lookup_keys, training_set, upsert_features
 from tabwright.operators.inference_log import (
     attach_features,
     attach_labels,
@@ -200,6 +200,21 @@ def j6_build_monitoring_again(spark, sf_dir):
     return rows.select("request_id", "position", "booking_id", "booking_status")
 
 
+@query(
+    "j1_bucketed_lookups",
+    """SELECT o_orderkey, c_mktsegment, c_acctbal, c_nationkey FROM orders LEFT JOIN customer ON o_custkey * 2 = c_custkey""",
+)
+def j1_bucketed_lookups(spark, sf_dir):
+    """Three tables bucketed by their key; only the orders are shuffled, once."""
+    customer, lookups = table(spark, sf_dir, "customer"), []
+    for column in ("c_mktsegment", "c_acctbal", "c_nationkey"):
+        name = fresh_name(column)
+        create_feature_table(customer.select("c_custkey", column), name, ["c_custkey"], work_dir(spark, column), lookup_buckets=8)
+        lookups.append(Lookup(spark.table(name), ("c_custkey",), (column,), unique=True))
+    asking = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey * 2 AS c_custkey")
+    return training_set(asking, "o_orderkey", lookups, skew="off").drop("c_custkey")
+
+
 @query(
     "j7_lookup_in_buckets",
     """SELECT o_custkey * 2 AS c_custkey, c_name, c_acctbal FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 100 = 0)

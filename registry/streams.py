@@ -20,9 +20,11 @@ from registry.tables import (
     table,
 )
 from tabwright.operators.features import read_features
+from tabwright.operators.inference_log import attach_features, parse_inference_log
 from tabwright.plans.monitoring import label_pending
 from tabwright.session import work_dir
 from tabwright.streaming.monitoring import stream_inference_log, stream_quality, sync_features, write_available
+from tabwright.streaming.waiting import label_in_stream
 
 
 def stream(spark, sf_dir, name):
@@ -97,3 +99,32 @@ def t3_out_of_order(spark, sf_dir):
         source = spark.readStream.schema(schema).parquet(files)
         stream_inference_log(inference_log(source), RECORD, "rule", records, checkpoint, path=where)
     return _labelled(spark, records, fresh_name("monitored"), label_sources(known), known)
+
+
+@query("t3_waiting_labels", MONITORED_SQL)
+def t3_waiting_labels(spark, sf_dir):
+    """Every record waits in the stream: the first run has payloads only, the second the labels."""
+    known = table(spark, sf_dir, "events")
+    given, out, checkpoint = work_dir(spark, "labels"), work_dir(spark, "labelled"), work_dir(spark, "checkpoint")
+    dated = [
+        source.join(known.selectExpr("event_id AS booking_id", "CAST(ts AS TIMESTAMP) AS told_at"), "booking_id").unionByName(
+            source.join(known.selectExpr("-event_id - 1 AS booking_id", "CAST(ts AS TIMESTAMP) AS told_at"), "booking_id")
+        ).withColumn("rank", F.lit(i))
+        for i, source in enumerate(label_sources(known))
+    ]
+    labels = dated[0].unionByName(dated[1])
+    labels.limit(0).write.parquet(given)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for _ in range(2):
+            records = parse_inference_log(inference_log(stream(spark, sf_dir, "events")), RECORD, "rule")
+            told = spark.readStream.schema(labels.schema).parquet(given)
+            write_available(label_in_stream(records, told, "booking_id", "booking_status", "told_at", "60 days"), out, checkpoint)
+            labels.write.mode("append").parquet(given)
+    finally:
+        spark.conf.set(provider, before)
+    schema = label_in_stream(records, told, "booking_id", "booking_status", "told_at").schema
+    found = attach_features(spark.read.schema(schema).parquet(out), booking_features(known), "booking_id", ["version"])
+    return found.withColumn("second", F.unix_seconds("timestamp")).select(*MONITORED)

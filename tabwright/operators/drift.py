@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwright.operators.metrics import share
-from tabwright.operators.running import exact_quantiles, join_groups, range_edges, with_range
+from tabwright.session import materialize
 
 # Fixed value: the least share used by the stability index.
 SHARE_FLOOR = 1e-6
@@ -31,83 +31,103 @@ def _sides() -> tuple[Column, Column]:
     return F.count_if(~F.col("is_current")).alias("p"), F.count_if("is_current").alias("q")
 
 
-def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, ks)``: the greatest distance of both distribution functions.
+def histogram(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, p, q, r, upto_p, upto_q)``: how often each value comes on both sides.
 
-    Values are counted first. Each range of values is then ordered by itself,
-    and only its extremes and its step go on to the final pass, which sees at
-    most about a thousand ranges per column.
+    Every side is scanned once. Values are counted first, so a frequent one is one row,
+    then dealt to ranges ``r`` in the order of column and value; ``upto_*`` are running
+    counts within a range. The result is written once, all statistics are read from it.
     """
-    rows = _tagged(baseline, current, columns, "double")
-    counted = rows.groupBy("column", "value").agg(*_sides())
-    np, nq = _sides()
-    sizes = range_edges(rows, ["column"], "value", np.alias("np"), nq.alias("nq"))
-    ranged = with_range(join_groups(counted, sizes, ["column"], "drift-cuts"), "value").drop("edges")
+    counted = _tagged(baseline, current, columns, "double").groupBy("column", "value").agg(*_sides())
+    ranged = counted.repartitionByRange("column", "value").withColumn("r", F.spark_partition_id())
     order = Window.partitionBy("column", "r").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    gap = share(F.sum("p").over(order), F.col("np")) - share(F.sum("q").over(order), F.col("nq"))
-    ranges = (
-        ranged.withColumn("gap", gap)
-        .groupBy("column", "r", "np", "nq")
-        .agg(
-            F.max("gap").alias("top"),
-            F.min("gap").alias("bottom"),
-            F.sum("p").alias("p"),
-            F.sum("q").alias("q"),
-        )
-    )
-    earlier = Window.partitionBy("column").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(
-        share(F.sum("p").over(earlier), F.col("np")) - share(F.sum("q").over(earlier), F.col("nq")), F.lit(0.0)
+    return materialize(
+        ranged.withColumns({f"upto_{side}": F.sum(side).over(order) for side in ("p", "q")}), "histogram"
     )
-    reach = F.greatest(F.abs(F.col("before") + F.col("top")), F.abs(F.col("before") + F.col("bottom")))
-    return ranges.withColumn("before", before).groupBy("column").agg(F.max(reach).alias("ks"))
+
+
+def _placed(hist: DataFrame) -> DataFrame:
+    """``(column, value, p, q, at_p, at_q, np, nq)``: counts up to each value and in all.
+
+    Totals are one row per range and column, so adding up those before a range is small work.
+    """
+    totals = hist.groupBy("column", "r").agg(*[F.max(f"upto_{side}").alias(f"in_{side}") for side in ("p", "q")])
+    whole = Window.partitionBy("column")
+    earlier = whole.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(
+        "column", "r",
+        *[F.coalesce(F.sum(f"in_{side}").over(earlier), F.lit(0)).alias(f"before_{side}") for side in ("p", "q")],
+        *[F.sum(f"in_{side}").over(whole).alias(f"n{side}") for side in ("p", "q")],
+    )
+    at = [(F.col(f"before_{side}") + F.col(f"upto_{side}")).alias(f"at_{side}") for side in ("p", "q")]
+    return hist.join(starts, ["column", "r"]).select("column", "value", "p", "q", *at, "np", "nq")
+
+
+def _greatest_gap() -> Column:
+    gap = share(F.col("at_p"), F.col("np")) - share(F.col("at_q"), F.col("nq"))
+    return F.max(F.abs(gap)).alias("ks")
+
+
+def ks_distance(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, ks)``: the greatest distance of both distribution functions."""
+    return _placed(histogram(baseline, current, columns)).groupBy("column").agg(_greatest_gap())
+
+
+def _edges(placed: DataFrame, bins: int) -> DataFrame:
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("at_p") - F.col("p") <= rank) & (rank < F.col("at_p")), F.col("value")))
+
+    def quantile(share_below: float) -> Column:
+        position = F.lit(share_below) * (F.col("np") - 1)
+        low, high = at(F.floor(position)), at(F.ceil(position))
+        return low + F.max(position - F.floor(position)) * (high - low)
+
+    known = placed.where("np > 0")
+    return known.groupBy("column").agg(F.array(*[quantile(i / bins) for i in range(1, bins)]).alias("edges"))
 
 
 def bin_edges(baseline: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """``(column, edges)``: inner edges at the baseline's exact quantiles."""
-    long = baseline.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column", "value"
-    )
-    found = exact_quantiles(long, ["column"], "value", [i / bins for i in range(1, bins)])
-    return found.select("column", F.col("quantiles").alias("edges"))
+    """``(column, edges)``: inner edges at the baseline's exact, interpolated quantiles."""
+    return _edges(_placed(histogram(baseline, baseline.limit(0), columns)), bins)
 
 
-def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """``(column, psi)`` on bins whose inner edges are the baseline's quantiles; outer bins are open.
+def numeric_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """``(column, ks, psi)`` of the columns with baseline values.
 
-    The edges, a few numbers per named column, become literals, so that bins
-    are found by plain comparisons in the scan and only counts are shuffled.
+    ``psi`` is taken on bins whose inner edges are the baseline's quantiles; outer bins are
+    open. Both come from one histogram. The edges, a few numbers per named column, become
+    literals of the last pass; counts per bin are differences of counts up to the edges.
     """
-    edges = {r["column"]: r["edges"] for r in bin_edges(baseline, columns, bins).collect()}
-    known = [c for c in columns if c in edges]  # a column without baseline values has no bins
-
-    def binned(df: DataFrame, side: bool) -> DataFrame:
-        passed = {c: [(F.col(c).cast("double") > e).cast("int") for e in edges[c]] for c in known}
-        wide = df.select(*[reduce(add, passed[c]).alias(c) for c in known])
-        long = wide.unpivot([], known, "column", "bin").where("bin is not null")
-        return long.withColumn("is_current", F.lit(side))
-
-    if not known:
-        return _nothing(baseline, "column string, psi double")
-    counts = binned(baseline, False).unionByName(binned(current, True)).groupBy("column", "bin").agg(*_sides())
-    names = F.explode(F.array(*[F.lit(c) for c in known])).alias("column")
-    every = baseline.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), names)
-    full = every.join(counts, ["column", "bin"], "left").fillna(0, ["p", "q"])
-    whole = Window.partitionBy("column")  # as many rows as bins
-    p = F.greatest(share(F.col("p"), F.sum("p").over(whole)), F.lit(SHARE_FLOOR))
-    q = F.greatest(share(F.col("q"), F.sum("q").over(whole)), F.lit(SHARE_FLOOR))
-    return full.select("column", p.alias("p"), q.alias("q")).groupBy("column").agg(
-        F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi")
+    placed = _placed(histogram(baseline, current, columns))
+    edges = {r["column"]: r["edges"] for r in _edges(placed, bins).collect()}
+    if not edges:
+        return _nothing(baseline, "column string, ks double, psi double")
+
+    def upto(side: str, i: int) -> Column:
+        edge = reduce(lambda found, c: found.when(F.col("column") == c, edges[c][i]), edges, F)
+        return F.coalesce(F.max(F.when(F.col("value") <= edge, F.col(f"at_{side}"))), F.lit(0)).alias(f"{side}{i}")
+
+    inner = range(bins - 1)
+    counts = placed.where(F.col("column").isin(*edges)).groupBy("column").agg(
+        _greatest_gap(), F.max("np").alias("np"), F.max("nq").alias("nq"), *[upto(side, i) for side in ("p", "q") for i in inner]
     )
 
+    def in_bin(side: str, i: int) -> Column:
+        high = F.col(f"{side}{i}") if i < bins - 1 else F.col(f"n{side}")
+        count = high - F.col(f"{side}{i - 1}") if i else high
+        return F.greatest(share(count, F.col(f"n{side}")), F.lit(SHARE_FLOOR))
 
-def _nothing(df: DataFrame, schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame([], schema)
+    terms = [(in_bin("q", i) - in_bin("p", i)) * F.ln(in_bin("q", i) / in_bin("p", i)) for i in range(bins)]
+    return counts.select("column", "ks", reduce(add, terms).alias("psi"))
 
 
-def numeric_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """``(column, ks, psi)``."""
-    return ks_distance(baseline, current, columns).join(stability_index(baseline, current, columns, bins), "column")
+def stability_index(baseline: DataFrame, current: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
+    """``(column, psi)``, see :func:`numeric_drift`."""
+    return numeric_drift(baseline, current, columns, bins).select("column", "psi")
+
+
+def _nothing(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
 
 
 def categorical_drift(baseline: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:

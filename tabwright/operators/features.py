@@ -11,8 +11,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators.checks import enforce
-from tabwright.operators.keys import check_key, content_hash, keyed_join, keyed_joins, latest_per_key
+from tabwright.contract import ContractViolation
+from tabwright.operators.checks import null_counts, observing, refuse, violations
+from tabwright.operators.keys import content_hash, keyed_join, keyed_joins, latest_per_key
 from tabwright.session import materialize, planned_bytes, work_dir
 from tabwright.sources.changes import APPLIED, record_changes
 from tabwright.sources.tables import drop_table, overwrite_partitions, set_table_properties, table_properties
@@ -81,14 +82,42 @@ def lookup_keys(features: DataFrame, keys: DataFrame, key: Sequence[str], unique
     return feature_lookup(keys.select(*key), features, key, names, unique=unique)
 
 
-def create_feature_table(df: DataFrame, table: str, key: Sequence[str], path: str | None = None) -> None:
-    """Check the key, then write a feature table that declares it."""
-    enforce(check_key(df, key))
-    writer = df.write.format("parquet").mode("overwrite")
+def create_feature_table(
+    df: DataFrame, table: str, key: Sequence[str], path: str | None = None, lookup_buckets: int | None = None
+) -> None:
+    """Write a feature table that declares its key, if the key holds.
+
+    The frame is computed once: it is written under another name (below ``path`` or in the
+    warehouse), nulls in the key are counted while it is written, and repeated keys are
+    looked for in the written key columns alone. Only then does it take the table's name,
+    so a frame that fails leaves the table as it was, and a frame that differs whenever it
+    is computed is stored as it was checked.
+
+    With ``lookup_buckets`` the files are bucketed by the key as Spark's joins deal rows
+    out: lookups in tables of as many buckets shuffle the asking side once and the tables
+    not at all.
+    """
+    spark = df.sparkSession
+    nulls = [(check, column, agg) for check, column, agg in null_counts(df) if column in key]
+    counted, seen = observing(df, nulls)
+    beside = f"{table}_{uuid.uuid4().hex}"
+    if lookup_buckets:
+        dealt = counted.repartition(lookup_buckets, *[F.col(f"`{k}`") for k in key])  # one file per bucket
+        writer = dealt.write.format("parquet").bucketBy(lookup_buckets, *key).sortBy(*key)
+    else:
+        writer = counted.write.format("parquet")
     if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('primary_key' = '{','.join(key)}')")
+        writer = writer.option("path", f"{path}/{uuid.uuid4().hex}")
+    writer.saveAsTable(beside)
+    repeats = spark.table(beside).groupBy(*[F.col(f"`{k}`") for k in key]).agg(F.count("*").alias("n")).where("n > 1").count()
+    try:
+        refuse([*violations(seen, nulls), ("key_unique", ",".join(key), repeats)])
+    except ContractViolation:
+        drop_table(spark, beside)
+        raise
+    set_table_properties(spark, beside, {"primary_key": ",".join(key)})
+    drop_table(spark, table)
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
 
 
 BUCKET = "_bucket"

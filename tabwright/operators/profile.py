@@ -78,6 +78,11 @@ def quality_profile(
         F.count_if(y == p).alias("hits"),
         *[c.alias(name) for name, c in binary_counts(y, p).items()],
     )
+    return quality_from_cells(cells, by)
+
+
+def quality_from_cells(cells: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The metrics of :func:`quality_profile` from its counts, which can be sums of counts."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     zero = F.lit(0.0)
     return cells.select(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabwright.contract import Contract, ContractViolation, check_present_after, check_required, check_types
 from tabwright.functions.dates import booking_date, normalize_date
-from tabwright.operators.checks import check_all, empty_count, enforce, malformed_count, null_counts, report
+from tabwright.operators.checks import check_all, empty_count, enforce, malformed_count, null_counts, observing, refuse, violations
 from tabwright.operators.split import exact_split, hash_split
 from tabwright.operators.transform import TARGET_CODES, cast, partition_by_predicate, recode_target, rename
 from tabwright.session import materialize
@@ -108,15 +108,16 @@ def ingest(
 
     ``extra`` holds the rows outside the segment; without a segment all rows are split
     and there is no such table. The text is parsed and
-    prepared once; checks and the three writes work on that result, and one
-    timestamp stands for the whole run. A record that does not fit the header,
+    prepared once and checked in the pass that stores the result; the three writes work on
+    that, and one timestamp stands for the whole run. A record that does not fit the header,
     a null in any column or an empty file stops the run before anything is
     written.
     """
     state = prepare(read_csv(spark, path, contract, typed=False), contract, dates, codes, check=False)
-    stored = materialize(state.df, "prepared")
-    clean = stored.drop(CORRUPT)
-    enforce(report(stored, empty_count() + malformed_count(CORRUPT) + null_counts(clean)))
+    checks = empty_count() + malformed_count(CORRUPT) + null_counts(state.df.drop(CORRUPT))
+    counted, seen = observing(state.df, checks)
+    clean = materialize(counted, "prepared").drop(CORRUPT)
+    refuse(violations(seen, checks))
     wanted, extra = partition_by_predicate(clean, F.col(segment[0]) == segment[1]) if segment else (clean, None)
     train, held_out = split(Prepared(wanted, contract), key, test, seed)
     ts = ts or datetime.now(timezone.utc)

@@ -6,7 +6,8 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def get_session(app: str = "tabwright", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,6 +71,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def observed(counted: Observation) -> dict:
+    """The metrics of a written frame; nothing when the planner found that it has no rows and left the metrics out."""
+    try:
+        return counted.get
+    except Py4JJavaError:
+        return {}
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate for ``df``."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from registry.tables import RECORD, booking_features, fresh_name, inference_log, label_sources, table
+from tabwright.operators.features import read_features
 from tabwright.operators.inference_log import build_monitoring, dropped_payloads, parse_inference_log
 from tabwright.operators.keys import latest_per_key
 from tabwright.operators.profile import quality_profile
@@ -70,7 +71,8 @@ def test_sync_equals_latest(spark, files):
     for _ in range(2):
         sync_features(stream(spark, files).select(*narrow), name, ["user_id"], ["ts", "event_id"], checkpoint)
     want = latest_per_key(spark.read.parquet(files).select(*narrow), ["user_id"], ["ts", "event_id"])
-    assert spark.table(name).exceptAll(want).isEmpty() and want.exceptAll(spark.table(name)).isEmpty()
+    got = read_features(spark, name)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
 PAYLOADS = [
