@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.llm.rows import id_and_text, slices, text_buffer
-from tabwright.llm.words import _BYTE_CODES, grams, span_hashes, spans
+from tabwright.llm.words import _BYTE_CODES, grams, mix, span_hashes, spans
 from tabwright.session import materialize
 
-#: Lines of the shortest repeated run that is deleted; every such run is found.
-MIN_LINES = 2
+#: Lines of the shortest repeated run that is deleted, or words of a line that is a run of its own; every such run is found.
+MIN_LINES, LONG_WORDS = 2, 50
 _LINE_END = np.zeros(256, bool)
 _LINE_END[10] = True
 
 
-def line_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the lines that are not blank, their numbers in the text, and each text's first one.
+def line_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the lines that are not blank, their numbers in the text, each text's first one, and the words of each.
 
     Blanks, tabs and returns at either end of a line play no part.
     """
@@ -35,7 +35,8 @@ def line_hashes(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarra
     head = np.flatnonzero(new)
     tail = np.append(head[1:], len(starts)) - 1 if len(head) else head
     hashes = span_hashes(_BYTE_CODES, data, starts[head], ends[tail])
-    return hashes, line[head] - breaks[offsets[:-1]][text[head]], np.searchsorted(text[head], np.arange(len(offsets)))
+    number = line[head] - breaks[offsets[:-1]][text[head]]
+    return hashes, number, np.searchsorted(text[head], np.arange(len(offsets))), tail - head + 1
 
 
 def _selected(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -45,18 +46,18 @@ def _selected(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def repeated_runs(
-    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS
 ) -> DataFrame:
     """``id, row, runs`` of documents with repeated lines: maximal runs (first, last) of line numbers to delete.
 
-    A run goes when its lines, at least ``min_lines`` that are not blank, stand in the
-    same order at an earlier place: in a document before it (smaller id; a null id is
+    A run goes when its lines, at least ``min_lines`` that are not blank or one of at least
+    ``long_words`` words, stand in the same order at an earlier place: in a document before it (smaller id; a null id is
     the smallest), or further up in the same one. Blank lines are not counted; those
     inside a run go with it. ``row`` is a hash of the text: rows that share id and text
     are one document, other rows of an id are ordered by it. Null and empty texts and
     empty tables give nothing.
 
-    Each window of ``min_lines`` lines selects its smallest line hash, so equal windows
+    A long line is a window of its own and its own fingerprint. Each window of ``min_lines`` lines selects its smallest line hash, so equal windows
     select the same line: these fingerprints are counted first, combined before the
     shuffle, and only shared ones go on. Each is then extended both ways to the windows
     that selected it; the earliest place of every window is again a combined minimum.
@@ -70,10 +71,21 @@ def repeated_runs(
         [frame.schema["id"], frame.schema["row"], T.StructField("print", T.LongType()), T.StructField("windows", T.ArrayType(window))]
     )
 
+    def single_lines(part: pa.RecordBatch, hashes: np.ndarray, number: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+        rows, place = pa.array(owner), pa.array(number.astype(np.int32))
+        lines = pa.StructArray.from_arrays([pa.array(mix(hashes).view(np.int64)), place, place], ["run", "first", "last"])
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32)), lines)
+        return pa.RecordBatch.from_arrays(
+            [part.column("id").take(rows), part.column("row").take(rows), pa.array(hashes.view(np.int64)), lists],
+            ["id", "row", "print", "windows"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                hashes, number, first = line_hashes(part)
+                hashes, number, first, words = line_hashes(part)
+                if len(long := np.flatnonzero(words >= long_words)):
+                    yield single_lines(part, hashes[long], number[long], np.searchsorted(first, long, "right") - 1)
                 runs, at = grams(hashes, first, min_lines)
                 owner, prints, begin, values = [], [], [], []
                 for k in np.flatnonzero(np.diff(at)):
@@ -125,7 +137,7 @@ def repeated_runs(
 
 
 def drop_repeated_lines(
-    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id", text_col: str = "text", long_words: int = LONG_WORDS
 ) -> DataFrame:
     """``id, text, n_lines, n_removed`` for every row of ``docs``: the text without its repeated runs.
 
@@ -133,7 +145,7 @@ def drop_repeated_lines(
     empty text has one blank line. Lines that stay keep their bytes and their breaks.
     """
     frame = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
-    runs = repeated_runs(docs, min_lines, id_col, text_col)
+    runs = repeated_runs(docs, min_lines, id_col, text_col, long_words)
     both = frame.join(runs.withColumnsRenamed({"id": "run_id", "row": "run_row"}), F.col("row").eqNullSafe(F.col("run_row")) & F.col("id").eqNullSafe(F.col("run_id")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.expr("filter(lines, (x, i) -> NOT exists(runs, r -> i BETWEEN r.first AND r.last))")

@@ -80,8 +80,11 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
             ranked AS (SELECT doc_id, i, j, row_number() OVER (PARTITION BY t, u ORDER BY doc_id, i) AS nth
                        FROM pairs WHERE j IS NOT NULL),
-            gone AS (SELECT DISTINCT s.doc_id, s.i FROM split s JOIN ranked r
-                     ON s.doc_id = r.doc_id AND s.i BETWEEN r.i AND r.j WHERE r.nth > 1)
+            long AS (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS nth FROM full_lines
+                     WHERE len(string_split_regex(t, '[ \t\x0b\x0c\r]+')) >= 50),
+            gone AS (SELECT s.doc_id, s.i FROM split s JOIN ranked r
+                     ON s.doc_id = r.doc_id AND s.i BETWEEN r.i AND r.j WHERE r.nth > 1
+                     UNION SELECT doc_id, i FROM long WHERE nth > 1)
        SELECT s.doc_id, CAST(count(*) AS INTEGER) AS n_lines, CAST(count(g.i) AS INTEGER) AS n_removed,
               sha256(coalesce(string_agg(s.line, chr(10) ORDER BY s.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
        FROM split s LEFT JOIN gone g ON s.doc_id = g.doc_id AND s.i = g.i GROUP BY s.doc_id""",
