@@ -218,15 +218,20 @@ def find_mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return frame.mapInArrow(run, schema)
 
 
-def _scored(edges: DataFrame, seeds: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
+def _scored(edges: DataFrame, seeds: DataFrame, contexts: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Confident patterns per kind, and confident instances per kind, after all rounds.
 
     A pattern's confidence in a kind is the mean belief in its different instances: 1 for
     seeds of the kind, 0 for those of another, for the rest what the last round gave. A
-    candidate's belief is the mean over its confident patterns. Edges are distinct, and
-    sums are combined before the shuffle, so a frequent pattern is no large group.
+    candidate's belief is the mean over all its places, each counting with the surest of
+    the patterns it stands in (0 where none has enough seeds), so a number that mostly
+    stands elsewhere is refused though one of its places looks right. Edges are distinct,
+    places with the same patterns are counted first, and sums are combined before the
+    shuffle, so neither a frequent pattern nor a frequent number is a large group.
     """
     beliefs = seeds.withColumn("belief", F.lit(1.0))
+    at = contexts.select("value", "context", "n", F.explode("patterns").alias("pattern"))
+    everywhere = contexts.groupBy("value").agg(F.sum("n").alias("places"))
     patterns = None
     for step in range(settings.rounds):
         totals = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances"))
@@ -235,21 +240,23 @@ def _scored(edges: DataFrame, seeds: DataFrame, settings: Settings) -> tuple[Dat
         )
         patterns = materialize(
             held.join(totals, "pattern")
-            .select("pattern", "kind", (F.col("mass") / F.col("instances")).alias("confidence"), "seeds")
-            .where((F.col("seeds") >= settings.support) & (F.col("confidence") >= settings.confidence)),
+            .where(F.col("seeds") >= settings.support)
+            .select("pattern", "kind", (F.col("mass") / F.col("instances")).alias("confidence")),
             f"pii-patterns-{step}",
         )
+        surest = at.join(patterns, "pattern").groupBy("value", "context", "kind").agg(F.max(F.col("confidence") * F.col("n")).alias("mass"))
         new = (
-            edges.join(patterns, "pattern")
-            .join(seeds.select("value"), "value", "left_anti")
-            .groupBy("value", "kind")
-            .agg(F.avg("confidence").alias("belief"))
+            surest.groupBy("value", "kind")
+            .agg(F.sum("mass").alias("mass"))
+            .join(everywhere, "value")
+            .select("value", "kind", (F.col("mass") / F.col("places")).alias("belief"))
             .where(F.col("belief") >= settings.confidence)
         )
         beliefs = materialize(
-            seeds.withColumn("belief", F.lit(1.0)).unionByName(new.withColumn("seed", F.lit(False))), f"pii-beliefs-{step}"
+            seeds.withColumn("belief", F.lit(1.0)).unionByName(new.withColumn("seed", F.lit(False)).select("value", "kind", "seed", "belief")),
+            f"pii-beliefs-{step}",
         )
-    return patterns, beliefs.where(~F.col("seed"))
+    return patterns.where(F.col("confidence") >= settings.confidence), beliefs.where(~F.col("seed"))
 
 
 def personal_data(
@@ -262,7 +269,7 @@ def personal_data(
     a run of digit groups with single blanks, dashes, dots or parentheses between, up
     to 63 code points, that no base entity touches; it is added under the kind of the
     pattern it stands in when pattern and candidate both reach the confidence (the
-    first kind in order when several do). Null and empty texts have no spans, repeated
+    first kind in order when several do), see :func:`_scored`. Null and empty texts have no spans, repeated
     rows get the same spans, an empty table gives none; other columns play no part.
 
     Texts are read once; what is shuffled are mentions, a few per text.
@@ -274,7 +281,15 @@ def personal_data(
         places.select("value", "kind", F.explode("patterns").alias("pattern")).distinct(), "pii-edges"
     )
     seeds = edges.where("kind IS NOT NULL").select("value", "kind").distinct().withColumn("seed", F.lit(True))
-    patterns, instances = _scored(edges.select("value", "pattern").distinct(), seeds, s)
+    contexts = materialize(
+        places.where("kind IS NULL")
+        .groupBy("value", "patterns")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(seeds.select("value").distinct(), "value", "left_anti")
+        .withColumn("context", F.xxhash64("patterns")),
+        "pii-contexts",
+    )
+    patterns, instances = _scored(edges.select("value", "pattern").distinct(), seeds, contexts, s)
     order = F.create_map(*[x for k, name in enumerate(KINDS) for x in (F.lit(name), F.lit(k))])
     added = (
         places.where("kind IS NULL")

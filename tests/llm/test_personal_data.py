@@ -98,6 +98,20 @@ def test_one_word_labels(spark):
         assert added == ([unseen[i]] if i in unseen else []), text
 
 
+def test_a_number_that_mostly_stands_elsewhere_is_refused(spark):
+    rng = random.Random(4)
+
+    def other():
+        return "w" + "".join(rng.choices("abcdefghijklmnop", k=9))
+
+    rows = [(k, f"{other()} call +1555010{1000 + k} now {other()}") for k in range(20)]
+    rows += [(100 + k, f"{other()} page 12 {other()} {other()}") for k in range(50)]
+    rows += [(200, f"please call 12 times {other()}"), (201, f"{other()} call 555-7710 now {other()}"), (202, f"{other()} call 555-7711 now {other()} call 555-7711 {other()}")]
+    found = {r.id: r.spans for r in personal_data(messy(spark, rows)).collect()}
+    added = {i: [text[s.start : s.end] for s in found[i] if s.added] for i, text in rows}
+    assert {i: v for i, v in added.items() if v} == {201: ["555-7710"], 202: ["555-7711", "555-7711"]}
+
+
 def test_runs():
     def values(text):
         return [m["value"] for m in mentions(text) if m["kind"] is None]
