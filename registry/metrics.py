@@ -85,12 +85,12 @@ def a4_distinct_count(spark, sf_dir):
               true AS l_partkey_near, true AS l_suppkey_near FROM lineitem""",
 )
 def a4_distinct_count_approx(spark, sf_dir):
-    """The exact counts, and whether the approximate ones are within ten percent of them."""
+    """The exact counts, and whether the approximate ones are within five percent of them."""
     lineitem, keys = table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"]
     both = pr.distinct_count(lineitem, keys).withColumn("exact", F.lit(True))
     both = both.unionByName(pr.distinct_count(lineitem, keys, approx=True).withColumn("exact", F.lit(False)))
     exact, about = ({k: F.max(F.when(F.col("exact") == which, F.col(k))) for k in keys} for which in (True, False))
-    near = [(F.abs(about[k] - exact[k]) <= 0.1 * exact[k]).alias(f"{k}_near") for k in keys]
+    near = [(F.abs(about[k] - exact[k]) <= 0.05 * exact[k]).alias(f"{k}_near") for k in keys]
     return both.agg(*[exact[k].alias(k) for k in keys], *near)
 
 
@@ -240,7 +240,7 @@ def a11_column_profile(spark, sf_dir):
         FROM ({_profile_sql("value")} UNION ALL {_profile_sql("user_id")})""",
 )
 def a11_column_profile_approx(spark, sf_dir):
-    """The exact columns; distinct counts within a tenth, medians between the values next to the middle."""
+    """The exact columns; distinct counts within a twentieth, medians between the values next to the middle."""
     rows, columns = _with_gaps(spark, sf_dir), ["value", "user_id"]
     found = pr.column_profile(rows, "ts", columns, ["model"], "1 day", approx=True)
     exact = pr.column_profile(rows, "ts", columns, ["model"], "1 day").select(
@@ -256,7 +256,7 @@ def a11_column_profile_approx(spark, sf_dir):
     half = F.col("known") / 2
     return both.select(
         F.unix_seconds(F.col("window.start").cast("timestamp")).alias("window_start"), "model", "column", "n", "nulls", "min", "max", "mean", "std",
-        (F.abs(F.col("distinct") - F.col("all")) <= F.greatest(F.lit(1), 0.1 * F.col("all"))).alias("distinct_near"),
+        (F.abs(F.col("distinct") - F.col("all")) <= F.greatest(F.lit(1), 0.05 * F.col("all"))).alias("distinct_near"),
         F.coalesce((F.col("below") <= half + 1) & (F.col("up_to") >= half - 1), F.col("n") == 0).alias("median_near"),
     )
 

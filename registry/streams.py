@@ -114,9 +114,14 @@ def t3_waiting_labels(spark, sf_dir):
     ]
     labels = dated[0].unionByName(dated[1])
     labels.limit(0).write.parquet(given)
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # the state is kept in as many stores as there are shuffle partitions when a stream first runs
+    settings = {
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.shuffle.partitions": "4",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         for _ in range(2):
             records = parse_inference_log(inference_log(stream(spark, sf_dir, "events")), RECORD, "rule")
@@ -124,7 +129,8 @@ def t3_waiting_labels(spark, sf_dir):
             write_available(label_in_stream(records, told, "booking_id", "booking_status", "told_at", "60 days"), out, checkpoint)
             labels.write.mode("append").parquet(given)
     finally:
-        spark.conf.set(provider, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     schema = label_in_stream(records, told, "booking_id", "booking_status", "told_at").schema
     found = attach_features(spark.read.schema(schema).parquet(out), booking_features(known), "booking_id", ["version"])
     return found.withColumn("second", F.unix_seconds("timestamp")).select(*MONITORED)

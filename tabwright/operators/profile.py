@@ -12,6 +12,8 @@ from tabwright.operators.metrics import auc_from_cells, binary_counts, confusion
 from tabwright.operators.running import exact_quantiles
 from tabwright.operators.transform import latest_batch
 
+#: Relative error asked of distinct sketches.
+APPROX_ERROR = 0.015
 _COMPARE = {"<": operator.lt, "<=": operator.le, ">": operator.gt, ">=": operator.ge, "==": operator.eq}
 
 
@@ -51,7 +53,7 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 def distinct_count(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """Distinct non-null values per column, exact or by a sketch, one row."""
-    count = F.approx_count_distinct if approx else F.count_distinct
+    count = (lambda c: F.approx_count_distinct(c, APPROX_ERROR)) if approx else F.count_distinct
     return df.agg(*[count(F.col(c)).alias(c) for c in columns])
 
 
@@ -146,7 +148,7 @@ def column_profile(
     groups = ["window", *by]
     wide = {name: lambda c, agg=agg: agg(F.col(c)) for name, agg in _BASIC.items()}
     if approx:
-        wide["distinct"] = lambda c: F.approx_count_distinct(f"_own_{c}")
+        wide["distinct"] = lambda c: F.approx_count_distinct(f"_own_{c}", APPROX_ERROR)
         wide["median"] = lambda c: F.percentile_approx(c, 0.5, 10_000)
     wide["nulls"] = lambda c: F.count_if(F.col(c).isNull())
     totals = rows.groupBy(*groups).agg(
