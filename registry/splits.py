@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.tables import hash_sql, table
+from registry.tables import hash_sql, table, uniform_sql
 from tabwright.operators.split import evaluation_sample, exact_split, hash_split, sample_with_replacement
 from tabwright.operators.transform import drop_nulls, latest_batch, limit, partition_by_predicate, segment_filter
 
@@ -93,11 +93,14 @@ def f7_evaluation_sample(spark, sf_dir):
     return evaluation_sample(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 100)
 
 
-@query("f8_sample_with_replacement", "SELECT CAST(100 AS BIGINT) AS drawn, CAST(100 AS BIGINT) AS known FROM orders HAVING count(*) > 0")
+@query(
+    "f8_sample_with_replacement",
+    f"""WITH ranked AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY {hash_sql('o_orderkey')}, o_orderkey) - 1 AS nth FROM orders),
+             drawn AS (SELECT CAST(floor({uniform_sql('i', 'draw')} * (SELECT count(*) FROM orders)) AS BIGINT) AS nth FROM range(3000) t(i))
+        SELECT o_orderkey, o_totalprice FROM drawn JOIN ranked USING (nth)""",
+)
 def f8_sample_with_replacement(spark, sf_dir):
-    """How many rows are drawn, and how many of them are rows of the table."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    found = sample_with_replacement(orders, 100)
-    same = [F.col("s.o_orderkey") == F.col("o.o_orderkey"), F.col("s.o_totalprice") == F.col("o.o_totalprice")]
-    both = found.alias("s").join(orders.alias("o"), same, "left")
-    return both.agg(F.count(F.lit(1)).alias("drawn"), F.count("o.o_orderkey").alias("known"))
+    return sample_with_replacement(orders, 3000, ["o_orderkey"])
+
+

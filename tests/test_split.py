@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -45,8 +46,21 @@ def test_split_does_not_depend_on_partitions(spark):
         assert one != {r[0] for r in method(df, ["id"], seed=7)[1].collect()}
 
 
-def test_sample_with_replacement(spark):
-    drawn = sp.sample_with_replacement(spark.range(50), 100, 3)
-    assert drawn.count() == 100
-    assert drawn.distinct().count() < 100
-    assert sp.sample_with_replacement(spark.range(0), 5).count() == 0
+@pytest.mark.parametrize("rows, n", [(50, 100), (1, 7), (7, 1), (30000, 900), (9000, 9000), (50, 0)])
+def test_sample_with_replacement(spark, rows, n):
+    """Against ranks and draws worked out plainly."""
+    df = spark.range(rows).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = sorted(map(tuple, sp.sample_with_replacement(df.repartition(5), n, ["k"], 3).collect()))
+
+    def digest(text):
+        return hashlib.md5(f"{text}|3".encode()).hexdigest()
+
+    ranked = sorted(range(rows), key=lambda k: digest(k)[:15])
+    drawn = [ranked[int(int(digest(f"{i}|draw")[:13], 16) / 2**52 * rows)] for i in range(n)]
+    assert got == sorted((k, 2 * k) for k in drawn) and len(got) == n
+
+
+def test_sample_of_repeated_keys_and_of_nothing(spark):
+    drawn = sp.sample_with_replacement(spark.range(300).selectExpr("id % 3 AS k", "id AS v"), 600, ["k"])
+    assert drawn.count() == 600 and drawn.where("k <> v % 3").isEmpty() and drawn.select("v").distinct().count() > 200
+    assert sp.sample_with_replacement(spark.range(0), 5, ["id"]).count() == 0
