@@ -112,6 +112,27 @@ def c4_refresh_upsert(spark, sf_dir):
     return read_features(spark, name).withColumn("day", F.col("day").cast("string"))
 
 
+@query(
+    "c4_refresh_newest_batch",
+    """SELECT c_custkey, c_acctbal, CAST(CASE WHEN c_custkey % 4 = 3 THEN 2 ELSE 1 END AS INTEGER) AS parts FROM customer WHERE c_custkey % 4 > 0""",
+)
+def c4_refresh_newest_batch(spark, sf_dir):
+    """Two batch tables, each of two batches; the features take over the newest batch of both, by append and by upsert."""
+    customer, names, columns = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), [], "c_custkey BIGINT, c_acctbal DOUBLE"
+    for first, second in ((0, 1), (2, 3)):
+        name = fresh_name("batches")
+        append_stamped(customer.where(f"c_custkey % 4 = {first}"), name, RUN_TIME, work_dir(spark, name))
+        append_stamped(customer.where(f"c_custkey % 4 = {second}"), name, RUN_TIME)
+        names.append(name)
+    appended, upserted = fresh_name("features"), fresh_name("features")
+    build_features(spark, appended, [customer.where("c_custkey % 4 = 2")], columns, ["c_custkey"], work_dir(spark, appended))
+    refresh_features(spark, appended, names, ["c_custkey", "c_acctbal"])
+    for _ in range(2):
+        refresh_features(spark, upserted, names, ["c_custkey", "c_acctbal"], ["c_custkey"], "upsert", root=work_dir(spark, "states"))
+    both = spark.table(appended).unionByName(read_features(spark, upserted).where("c_custkey % 4 = 3").select("c_custkey", "c_acctbal"))
+    return both.groupBy("c_custkey", "c_acctbal").agg(F.count(F.lit(1)).cast("int").alias("parts"))
+
+
 @query(
     "c2_scheduled_ingest",
     f"""SELECT booking_id, lead_time, booking_status, CASE WHEN {hash_sql('booking_id')} < {int(0.2 * (1 << 60))} THEN 'test' ELSE 'train' END AS part

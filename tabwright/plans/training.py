@@ -16,7 +16,7 @@ from tabwright.operators.model import score, train
 from tabwright.operators.transform import latest_batch
 from tabwright.session import materialize
 from tabwright.sources.changes import table_version
-from tabwright.sources.tables import STAMP, create_table, insert_select
+from tabwright.sources.tables import STAMP, create_table, insert_select, newest_batch
 
 
 def build_features(
@@ -37,7 +37,7 @@ def build_features(
 def refresh_features(
     spark: SparkSession,
     table: str,
-    sources: Sequence[DataFrame],
+    sources: Sequence[DataFrame | str],
     columns: Sequence[str],
     key: Sequence[str] = (),
     mode: str = "append",
@@ -46,12 +46,14 @@ def refresh_features(
 ) -> None:
     """Take over the newest batch of every source.
 
+    Of a batch table given by its name only the partition of its newest batch is read; a
+    frame is read for its greatest stamp first.
     ``append`` adds the rows as they are, so a rerun repeats them. ``upsert``
     keeps one row per key, the newest by the stamp, which the feature table
     must then carry.
     """
     for source in sources:
-        newest = latest_batch(source, stamp_column)
+        newest = newest_batch(spark, source) if isinstance(source, str) else latest_batch(source, stamp_column)
         if mode == "append":
             insert_select(newest, table, columns)
         else:

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tabwright.functions.dates import event_time, normalize_date
 from tabwright.functions.values import converted, resolve_chain
-from tabwright.operators.transform import correct_values, recode_target
+from tabwright.operators.transform import correct_values, preview, recode_target
 
 
 def first_valid(year, month, day):
@@ -113,3 +113,19 @@ def test_conversions(spark, source, target, pairs):
     df = spark.createDataFrame([(a,) for a, _ in pairs], f"v {source}")
     got = [r[0] for r in df.select(converted(F.col("v"), df.schema["v"].dataType, target)).collect()]
     assert got == [b for _, b in pairs]
+
+
+def test_preview_is_the_ordered_start(spark):
+    df = spark.range(100).select((F.col("id") * 37 % 100).alias("v"))
+    assert [r.v for r in preview(df, 3, [F.desc("v")])] == [99, 98, 97]
+    assert preview(df.limit(0), 3, ["v"]) == []
+
+
+def test_ddl_with_commas_through_build_features(spark):
+    from registry.tables import fresh_name
+    from tabwright.plans.training import build_features
+
+    name = fresh_name("ddl")
+    made = spark.sql("SELECT 'k' AS id, CAST(1.5 AS DECIMAL(10,2)) AS n, named_struct('a', 1, 'b', 'x') AS s")
+    build_features(spark, name, [made, made.withColumn("id", F.lit("l"))], "id STRING, n DECIMAL(10,2), s STRUCT<a: INT, b: STRING>", ["id"])
+    assert sorted((r.id, str(r.n), r.s.b) for r in spark.table(name).collect()) == [("k", "1.50", "x"), ("l", "1.50", "x")]
