@@ -77,7 +77,11 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, that of the smallest id (a null id is the smallest here)."""
+    """``docs`` with one row of each group of equal texts, that of the smallest id (a null id is the smallest here).
+
+    Null and empty texts are equal; of rows equal in id and text one stays. An empty table
+    gives none, and columns of any name come back as they are.
+    """
     rows, groups = _rows_and_groups(id_and_text(docs, id_col, text_col), False)
     decided = rows.join(groups.where("group_size > 1"), ["n", "p", "full"])
     stays = F.struct("id", "row").eqNullSafe(F.col("keep"))

@@ -403,7 +403,12 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` with one row of each component, that of the smallest id (a null id is the smallest here)."""
+    """``docs`` with one row of each component, that of the smallest id (a null id is the smallest here).
+
+    Texts without words, null ones as well, are linked with nothing and stay; of rows equal
+    in id and text one stays. An empty table gives none, and columns of any name come back
+    as they are.
+    """
     known = _classes(docs, settings, id_col, text_col).where("class IS NOT NULL")
     groups = known.groupBy("class").agg(F.min(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("size"))
     decided = known.join(groups.where("size > 1"), "class")

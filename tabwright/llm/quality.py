@@ -168,7 +168,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def good(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose score is at least ``least``, with all their columns."""
+    """The rows of ``docs`` whose score is at least ``least``, with all their columns.
+
+    A null text counts as empty; texts without words have the score of the intercept. Ids
+    play no part, equal rows stay or go together, an empty table gives none, and columns
+    of any name come back as they are.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")

@@ -80,6 +80,11 @@ class WordCounter:
 
     def count(self, word: str) -> int:
         """Ids of a stretch, strings of special tokens in it as one each."""
+        if word.isascii():  # most new ones are letters, perhaps with a sign behind them
+            if word.isalpha():
+                return self.pieces[word.lower()]
+            if word[:-1].isalpha():
+                return self.pieces[word[:-1].lower()] + self.pieces[word[-1]]
         total = 0
         for part in self.cut.split(word):
             if part in self.special:

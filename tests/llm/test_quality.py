@@ -1,11 +1,14 @@
 """The classifier on held-out labels."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tabwright.llm.quality import Settings, fit, fit_rows, good, score
+from tabwright.llm.quality import Settings, features, fit, fit_rows, good, score
 from tabwright.llm.queries import QUERIES, held_out
 from tests.llm.cases import TEXTS, empty, messy
 
@@ -74,3 +77,17 @@ def test_updates_follow_the_regularised_leader():
             n[k] += g * g
     found = fit_rows(rows, s)
     assert np.allclose(found[[1, 4]], [weight(1), weight(4)]) and not found[[0, 2, 3]].any()
+
+
+def test_scores_are_plain_dot_products(spark, sf_dir):
+    """Scores of the whole table against each text's own features, counted and multiplied one by one."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(docs, labels)
+    found = {r.id: r.score for r in score(docs, model).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        buckets = features(pa.RecordBatch.from_arrays([pa.array([r.text])], ["text"]), model.settings)[0].tolist()
+        counts = Counter(buckets)
+        total = float(model.weights[-1])
+        for bucket, n in counts.items():
+            total += float(model.weights[bucket]) * model.settings.scale * n / len(buckets)
+        assert abs(found[r.doc_id] - 1 / (1 + math.exp(-total))) < 1e-6
