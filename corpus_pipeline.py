@@ -2,6 +2,11 @@
 
 Each stage reads all that the one before kept and returns the columns of ``documents``;
 the last returns packed token ids.
+
+All stages take a null text as the empty one, null ids, rows that share an id, and further
+columns of any name, which come back as they are (the last stage leaves them out). An
+empty table gives an empty one. Of rows that are equal in id and text one stays after the
+stages that drop copies; the others treat every row by itself.
 """
 
 from __future__ import annotations
@@ -24,28 +29,40 @@ NEAR = Settings(words=5, percent=80)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; it learns from the labels that are not held out."""
+    """Documents that the classifier rejects go; it learns from the labels that are not held out.
+
+    A text without words has the score of the intercept, so all of them stay or go together.
+    """
     labels = read_table(spark, sf_dir, "labels").where(~held_out())
     return good(docs, fit(docs, labels), QUALITY)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the smallest id stays."""
+    """Of documents with equal texts the one with the smallest id stays.
+
+    Null and empty texts are equal; a null id is the smallest.
+    """
     return drop_exact_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of near copies join the one with the smallest id stays."""
+    """Of documents that links of near copies join the one with the smallest id stays.
+
+    Texts without words are linked with nothing and stay; a null id is the smallest.
+    """
     return drop_near_duplicates(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold most of a benchmark item go."""
+    """Documents that hold most of a benchmark item go; texts too short to hold one stay."""
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed token ids of every document, their number, and whether decoding gives the text back."""
+    """Packed token ids of every document, their number, and whether decoding gives the text back.
+
+    An empty text has no ids, which give it back.
+    """
     path = tokenizer_path("byte_bpe_50k.json")
     digest = F.sha2(F.coalesce("text", F.lit("")), 256)
     keyed = docs.select(F.struct("doc_id", digest.alias("before")).alias("key"), "text")
