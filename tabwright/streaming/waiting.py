@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from typing import Any
 
@@ -13,57 +14,104 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 _FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+#: Waiting records of one entry of the state.
+_CHUNK = 1024
+
+
 class _Waiting(StatefulProcessor):
-    """Per key the records without a label, each with the time it is due, and the label once known."""
+    """Per part of the keys the records without a label, each with its key and the time it is due, and the labels known.
+
+    A call of the state costs far more than a row, so the keys of a part share their
+    calls: records wait in chunks, labels in one value, which also has the time of the
+    part's next timer.
+    """
 
     def __init__(self, timeout_ms: int, keep: bool):
         self.timeout_ms, self.keep = timeout_ms, keep
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "record string, due bigint")
-        self.known = handle.getValueState("known", "label int, rank int, due bigint")
+        self.pending = handle.getListState("pending", "rows string")
+        self.about = handle.getValueState("about", "labels string, due bigint")
+
+    def _waiting(self) -> Iterator[list]:
+        for (text,) in self.pending.get():
+            yield from json.loads(text)
+
+    def _chunks(self, rows: list) -> list[tuple]:
+        return [(json.dumps(rows[i : i + _CHUNK]),) for i in range(0, len(rows), _CHUNK)]
+
+    def _replace(self, rows: list) -> None:
+        if rows:
+            self.pending.put(self._chunks(rows))
+        else:
+            self.pending.clear()
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        known = self.known.get()
-        had, asked = known is not None, []
+        about = self.about.get()
+        known, timer = (json.loads(about[0]), about[1]) if about is not None else ({}, None)
+        fresh, asked, dues, told = set(), [], [], False
         for r in rows:
-            due = r["at_ms"] + self.timeout_ms
+            name, due = r["key"], r["at_ms"] + self.timeout_ms
             if r["record"] is not None:
-                asked.append((r["record"], due))
-            elif known is None or (r["rank"], r["label"]) < (known[1], known[0]):
-                known = (r["label"], r["rank"], max(due, known[2]) if known else due)
-            elif due > known[2]:
-                known = (known[0], known[1], due)
-        if known is None:
-            self.pending.appendList(asked)
-            for due in {due for _, due in asked}:
-                self.handle.registerTimer(due)
-            return
-        self.known.update(known)
-        self.handle.registerTimer(known[2])
-        if not had:
-            for record, _ in self.pending.get():
-                yield Row(record=record, label=known[0])
-            self.pending.clear()
-        for record, _ in asked:
-            yield Row(record=record, label=known[0])
+                asked.append((name, r["record"], due))
+                continue
+            told = True
+            dues.append(due)
+            best = known.get(name)
+            if best is None:
+                fresh.add(name)
+                known[name] = [r["label"], r["rank"], due]
+                continue
+            if (r["rank"], r["label"]) < (best[1], best[0]):
+                best[:2] = r["label"], r["rank"]
+            best[2] = max(best[2], due)
+        waits = [w for w in asked if w[0] not in known]
+        dues += [due for _, _, due in waits]
+        soonest = min(dues, default=None)
+        sooner = soonest is not None and (timer is None or soonest < timer)
+        if sooner:
+            self.handle.registerTimer(soonest)
+        if told or sooner:
+            self.about.update((json.dumps(known), soonest if sooner else timer))
+        for name, record, _ in asked:
+            if name in known:
+                yield Row(record=record, label=known[name][0])
+        rest, found = [], False
+        if fresh and about is not None:
+            for w in self._waiting():
+                if w[0] in fresh:
+                    found = True
+                    yield Row(record=w[1], label=known[w[0]][0])
+                else:
+                    rest.append(w)
+        if found:
+            self._replace(rest + waits)
+        elif waits:
+            self.pending.appendList(self._chunks(waits))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        known = self.known.get()
-        if known is not None and known[2] <= now:
-            self.known.clear()
-        waiting = list(self.pending.get())
-        rest = [w for w in waiting if w[1] > now]
-        if len(rest) < len(waiting):
-            self.pending.clear()
-            if rest:
-                self.pending.appendList(rest)
-        if self.keep:
-            for record, due in waiting:
-                if due <= now:
-                    yield Row(record=record, label=None)
+        now = timerValues.getCurrentWatermarkInMs()
+        about = self.about.get()
+        if about is None or about[1] > now:  # an earlier timer of this batch did it
+            return
+        known = {name: best for name, best in json.loads(about[0]).items() if best[2] > now}
+        rest, gone = [], False
+        for w in self._waiting():
+            if w[2] > now:
+                rest.append(w)
+                continue
+            gone = True
+            if self.keep:
+                yield Row(record=w[1], label=None)
+        if gone:
+            self._replace(rest)
+        dues = [best[2] for best in known.values()] + [due for _, _, due in rest]
+        if not dues:
+            self.about.clear()
+            return
+        self.handle.registerTimer(min(dues))
+        self.about.update((json.dumps(known), min(dues)))
 
 
 def label_in_stream(
@@ -79,6 +127,7 @@ def label_in_stream(
     identity: tuple[str, ...] = ("request_id", "position"),
     keep_unlabelled: bool = False,
     spread: int = 1,
+    parts: int = 4096,
 ) -> DataFrame:
     """Streaming ``records`` with ``label``, each as soon as its label comes on the stream ``labels``.
 
@@ -91,7 +140,10 @@ def label_in_stream(
     dropped, those with a null key as well, as no label can come for them.
 
     ``spread`` deals the records of a key to so many groups, with a copy of each label, for
-    keys that hold a large part of the stream. Needs the RocksDB state store.
+    keys that hold a large part of the stream. The keys are hashed to ``parts`` that share
+    their calls of the state; what waits in a part is read when a label comes for it or a
+    row is due, so some hundred waiting records a part are a good size. Needs the RocksDB
+    state store; ``parts`` stays as it is for the life of a checkpoint.
     """
     timed = records.withColumn(prediction, F.col(prediction).cast("int"))
     timed = timed.where(F.col(prediction).isNotNull() & F.col(key).isNotNull()).withWatermark(timestamp, lateness)
@@ -109,8 +161,9 @@ def label_in_stream(
         F.lit(None).cast("string").alias("record"), F.col(label).cast("int").alias("label"), rank.alias("rank"), F.col("_at").alias("at"),
     )
     both = asking.union(telling).withColumn("at_ms", F.unix_millis("at"))
+    both = both.withColumn("part", F.pmod(F.xxhash64("key", "salt"), F.lit(parts)).cast("int")).drop("salt")
     millis = _milliseconds(records, timeout)
-    found = both.groupBy("key", "salt").transformWithState(_Waiting(millis, keep_unlabelled), "record string, label int", "Append", "EventTime")
+    found = both.groupBy("part").transformWithState(_Waiting(millis, keep_unlabelled), "record string, label int", "Append", "EventTime")
     parsed = found.select(F.from_json("record", once.schema, _FORMAT).alias("r"), F.col("label").alias("_label"))
     return parsed.select("r.*", F.col("_label").alias(label))
 

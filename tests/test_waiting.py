@@ -76,3 +76,29 @@ def test_times_and_numbers_are_kept(spark):
     write_available(found, places["out"], places["checkpoint"])
     r = spark.read.parquet(places["out"]).select(F.unix_micros("timestamp").alias("t"), "amount").first()
     assert r.t == int(exact.timestamp()) * 1_000_000 + 123456 and r.amount == 0.1 + 0.2
+
+
+def test_keys_share_entries_of_the_state(run, spark):
+    rows = [record(f"r{i}", i, i % 5) for i in range(400)]
+    assert run(rows, parts=8) == []
+    places = {name: work_dir(spark, name) for name in ("records", "labels", "checkpoint")}
+    spark.createDataFrame(rows, RECORDS).write.parquet(places["records"])
+    spark.createDataFrame([], LABELS).write.parquet(places["labels"])
+    streams = [spark.readStream.schema(s).parquet(places[n]) for n, s in (("records", RECORDS), ("labels", LABELS))]
+    found = label_in_stream(*streams, "k", "y", "told", "10 hours", parts=8)
+    query = found.writeStream.format("noop").option("checkpointLocation", places["checkpoint"]).trigger(availableNow=True).start()
+    query.awaitTermination()
+    held = [o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"] if o["operatorName"].startswith("transformWithState")]
+    assert held and max(held) <= 8 * 8
+    assert run(labels=[(i, i % 2, at(1), 0) for i in range(100, 300)], parts=8) == sorted((f"r{i}", 0, i, i % 2) for i in range(100, 300))
+
+
+def test_records_of_a_part_are_due_each_at_its_own_time(run):
+    rows = [record(f"r{i}", i, i) for i in range(9)]
+    options = {"keep_unlabelled": True, "parts": 1}
+    assert run(rows, **options) == []
+    # the watermark is an hour behind: 14 hours less 10 are past after the second batch
+    run([record("z", 99, 15)], [(98, 1, at(15), 0)], **options)
+    got = run([record("y", 99, 15)], [(98, 1, at(15), 0)], **options)
+    assert got == [(f"r{i}", 0, i, None) for i in range(5)]
+    assert run(labels=[(7, 1, at(15), 0)], **options)[-1] == ("r7", 0, 7, 1)
