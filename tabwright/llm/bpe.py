@@ -7,6 +7,7 @@ a piece stores a last token per prefix, and back-pointers give the ids.
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
@@ -246,14 +247,14 @@ class ByteDecoder:
         return b"".join(found).decode("utf-8", "replace")
 
 
-@lru_cache(2)
-def _byte_coder(spec: bytes) -> ByteCoder:
-    return ByteCoder(spec)
+def _released() -> None:
+    """Gives the memory that Arrow keeps for later back, once a task has let go of its tables.
 
-
-@lru_cache(2)
-def _byte_decoder(spec: bytes) -> ByteDecoder:
-    return ByteDecoder(spec)
+    A worker outlives its task, and may wait beside those of other steps; so coders, made
+    in a fraction of a second, belong to a task.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,12 +270,13 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     frame = id_and_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _byte_coder(spec)
+        coder = ByteCoder(spec)
         for batch in batches:
             for part in slices(batch):
                 ids = [coder.encode(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ids, pa.binary())], ["id", "ids"])
-        coder.table.forget()
+        del coder
+        _released()
 
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary")
 
@@ -288,14 +290,15 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     frame = id_and_text(docs, id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, decoder = _byte_coder(spec), _byte_decoder(spec)
+        coder, decoder = ByteCoder(spec), ByteDecoder(spec)
         for batch in batches:
             for part in slices(batch):
                 ids = [coder.encode(t) for t in part.column("text").to_pylist()]
                 texts = [decoder.decode(i) for i in ids]
                 columns = [part.column("id"), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "ids", "text"])
-        coder.table.forget()
+        del coder, decoder
+        _released()
 
     return frame.mapInArrow(run, f"id {frame.schema['id'].dataType.simpleString()}, ids binary, text string")
 
@@ -308,7 +311,7 @@ def bpe_decode(encoded: DataFrame, tokenizer: str, id_col: str = "id", ids_col:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _byte_decoder(spec)
+        coder = ByteDecoder(spec)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)

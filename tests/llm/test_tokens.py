@@ -1,8 +1,10 @@
 """Encoding, decoding and counting against the tokenizers library."""
 
+import gc
 import random
 import struct
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,3 +132,16 @@ def test_documents(spark, sf_dir, coders):
         assert ids(r.ids) == byte_library.encode(texts[r.id], add_special_tokens=False).ids
     for r in count_tokens(docs, WORDS).collect():
         assert r.n_tokens == len(word_library.encode(texts[r.id], add_special_tokens=False).ids)
+
+
+def test_a_worker_keeps_no_coder_after_its_task(spark):
+    def left(batches):
+        for _ in batches:
+            held = sum(isinstance(x, (ByteCoder, ByteDecoder)) for x in gc.get_objects())
+            yield pa.RecordBatch.from_arrays([pa.array([held])], ["held"])
+
+    docs = spark.range(64, numPartitions=16).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    encoded = bpe_round_trip(docs, BYTES)
+    assert encoded.where("text NOT LIKE 'word %'").count() == 0
+    assert bpe_decode(bpe_encode(docs, BYTES), BYTES).count() == 64
+    assert spark.range(16, numPartitions=16).mapInArrow(left, "held long").where("held > 0").count() == 0
