@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.rows import STEP_BYTES, id_and_text, marks, slices, text_buffer, with_mark
+from tabwright.llm.rows import id_and_text, marks, slices, text_buffer, with_mark
 from tabwright.llm.suffix_groups import suffix_arrays
 from tabwright.llm.words import _BYTE_CODES, _powers, mix
 from tabwright.session import materialize
@@ -31,8 +31,9 @@ from tabwright.session import materialize
 @dataclass(frozen=True)
 class Settings:
     """``length`` of the strings in bytes; ``gram`` bytes under a fingerprint; bytes and rows of a part
-    of the input that travels as one. A fingerprint that more than ``parts`` parts have, or ``crowd``
-    documents of one part, is frequent: its strings travel by their content, each by itself. At
+    of the input that travels as one. The piece of a fingerprint is the text of all strings that select
+    it there. A fingerprint with more than ``crowd`` different pieces in one part, or ``parts * crowd``
+    in more than ``parts`` parts, is frequent: its strings travel by their content, each by itself. At
     most ``together`` different pieces are sorted as one text."""
 
     length: int = 50
@@ -44,7 +45,9 @@ class Settings:
     together: int = 48
 
 
-_KNOWN, _CROWDED = 0xFFFF, 0xFFFE  # in place of a row number: the part itself has it in several, or in very many documents
+_STEP = 1 << 18  # bytes of text whose fingerprints are taken together: its arrays are small enough for a processor's cache
+_KNOWN = 0xFFFF  # in place of a row number: the part itself has it in several documents
+_SEVERAL = 0x8000  # in place of a piece's short hash: how many different pieces the part has
 _FREQUENT = np.uint64(1 << 63)
 
 
@@ -78,9 +81,12 @@ def _cuts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, np.append(at[1:], len(values))
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(
+    data: np.ndarray, offsets: np.ndarray, s: Settings, prefix: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprints of texts that lie one after another: hash, place, the first and last string start that selects
     it, and the text's number. Places and starts count from the first text's start.
+    ``prefix`` are the prefix sums of ``data``, where they are known.
 
     The string that starts at ``i`` selects the smallest hash of its grams, the first of
     equals. Equal strings so select equal hashes at equal offsets.
@@ -90,7 +96,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[np.ndar
     starts = np.maximum(size - s.length + 1, 0)  # strings per text
     if not starts.sum():
         return none.astype(np.uint64), none, none, none, none
-    sums, inverse = _prefix_sums(data)
+    sums, inverse = prefix or _prefix_sums(data)
     grams = mix((sums[s.gram :] - sums[: -s.gram]) * inverse[: len(data) - s.gram + 1])
     grams[grams == 0] = 1
     width = s.length - s.gram + 1
@@ -116,6 +122,20 @@ def _split_print(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return (h % np.uint64(buckets)).astype(np.int64), (h >> np.uint64(32)).astype(np.uint32)
 
 
+def _pieces_of(keys: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """For each different one of the sorted ``keys`` the short hash of its piece, or how many different ones it has."""
+    lead, _ = _cuts(keys)
+    if not len(lead):
+        return kinds
+    out = kinds[lead]
+    several = np.minimum.reduceat(kinds, lead) != np.maximum.reduceat(kinds, lead)
+    no = np.repeat(np.arange(len(lead)), np.diff(np.append(lead, len(keys))))
+    mixed = several[no]
+    times = np.bincount(np.unique((no[mixed] << 16) | kinds[mixed]) >> 16, minlength=len(lead))
+    out[several] = np.minimum(times[several], _SEVERAL - 1) | _SEVERAL
+    return out
+
+
 def _name(ids: list, rows: list) -> int:
     """A number for a part, from what it holds."""
     both = np.array([*rows, *ids], np.int64).view(np.uint64) + np.arange(2 * len(rows), dtype=np.uint64)
@@ -143,25 +163,28 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
 
     What a part has in several documents it need not be told to be shared, so it sends
     such a fingerprint without a document. Each bucket answers which of a part's others
-    came from elsewhere too, and which are frequent.
+    came from elsewhere too, and which are frequent. A passage that stands in all parts
+    is not: but for its ends all its pieces are the same.
     """
-    columns = ["part", "bucket", "prints", "owners", "ids", "rows"]
+    columns = ["part", "bucket", "prints", "owners", "kinds", "ids", "rows"]
     lists = [pa.list_(pa.int64())] * 2
 
-    def part_rows(h: np.ndarray, own: np.ndarray, ids: list, rows: list) -> Iterator[pa.RecordBatch]:
+    def part_rows(h: np.ndarray, own: np.ndarray, kinds: np.ndarray, ids: list, rows: list) -> Iterator[pa.RecordBatch]:
         bucket, short = _split_print(h, buckets)
-        o = np.lexsort((own, short, bucket))
-        bucket, short, own = bucket[o], short[o], own[o]
+        key = (bucket.astype(np.uint64) << np.uint64(32)) | short
+        o = np.argsort(key, kind="stable")  # the owners of each stay in order
+        bucket, short, own, key = bucket[o], short[o], own[o], key[o]
+        kinds = _pieces_of(key, kinds[o])
         # several times in one document counts once
-        once = np.append(True, (own[1:] != own[:-1]) | (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])) if len(o) else np.zeros(0, bool)
-        bucket, short, own = bucket[once], short[once], own[once]
+        once = np.append(True, (own[1:] != own[:-1]) | (key[1:] != key[:-1])) if len(o) else np.zeros(0, bool)
+        bucket, short, own, key = bucket[once], short[once], own[once], key[once]
         first = np.ones(len(own), bool)
-        first[1:] = (short[1:] != short[:-1]) | (bucket[1:] != bucket[:-1])
+        first[1:] = key[1:] != key[:-1]
         no = np.cumsum(first) - 1
         times = np.bincount(no)[no] if len(no) else no
         many = times > 1
         known = np.stack([bucket[many].astype(np.uint32), short[many], own[many].astype(np.uint32)], axis=1)
-        to = np.where(many, np.where(times > s.crowd, _CROWDED, _KNOWN), own).astype(np.uint16)[first]
+        to = np.where(many, _KNOWN, own).astype(np.uint16)[first]
         bucket, short = bucket[first], short[first]
         name, (at, end) = _name(ids, rows), _cuts(bucket)
         n = len(at)
@@ -170,26 +193,30 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
              pa.array([*bucket[at].tolist(), -1 - name], pa.int64()),
              pa.array([*[short[a:b].tobytes() for a, b in zip(at, end, strict=True)], known.tobytes()], pa.binary()),
              pa.array([*[to[a:b].tobytes() for a, b in zip(at, end, strict=True)], None], pa.binary()),
+             pa.array([*[kinds[a:b].tobytes() for a, b in zip(at, end, strict=True)], None], pa.binary()),
              pa.array([*[None] * n, ids], lists[0]), pa.array([*[None] * n, rows], lists[1])],
             columns,
         )
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, owners, ids, rows, volume = [], [], [], [], 0
+        held, owners, kinds, ids, rows, volume = [], [], [], [], [], 0
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, size=_STEP):
                 data, offsets = text_buffer(piece.column("text"))
                 if ids and (volume >= s.part_bytes or len(ids) + piece.num_rows > s.part_rows):
-                    yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
-                    held, owners, ids, rows, volume = [], [], [], [], 0
-                h, _, _, _, text = anchors(data, offsets, s)
+                    yield from part_rows(np.concatenate(held), np.concatenate(owners), np.concatenate(kinds), ids, rows)
+                    held, owners, kinds, ids, rows, volume = [], [], [], [], [], 0
+                sums, inverse = _prefix_sums(data)
+                h, at, first, last, text = anchors(data, offsets, s, (sums, inverse))
+                content = (sums[last + s.length] - sums[first]) * inverse[first]
                 held.append(h)
                 owners.append((text + len(ids)).astype(np.uint16))
+                kinds.append((mix(mix(content) + ((at - first) << 16 | last - first).astype(np.uint64)) >> np.uint64(49)).astype(np.uint16))
                 ids += piece.column("id").to_pylist()
                 rows += piece.column("row").to_pylist()
                 volume += len(data)
         if ids:
-            yield from part_rows(np.concatenate(held), np.concatenate(owners), ids, rows)
+            yield from part_rows(np.concatenate(held), np.concatenate(owners), np.concatenate(kinds), ids, rows)
 
     def compare(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -197,16 +224,24 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
             return table.select(["part", "prints", "ids", "rows"]).rename_columns(["part", "found", "ids", "rows"])
         prints = [np.frombuffer(x, np.uint32) for x in table.column("prints").to_pylist()]
         owners = [np.frombuffer(x, np.uint16) for x in table.column("owners").to_pylist()]
+        kinds = np.concatenate([np.frombuffer(x, np.uint16) for x in table.column("kinds").to_pylist()]).astype(np.int64)
         values, no, times = np.unique(np.concatenate(prints), return_inverse=True, return_counts=True)
+        several = kinds >= _SEVERAL
+        count = np.where(several, kinds - _SEVERAL, 1)
         crowded = np.zeros(len(values), bool)
-        crowded[no[np.concatenate(owners) == _CROWDED]] = True
-        frequent = (crowded | (times > s.parts))[no]
+        crowded[no[count > s.crowd]] = True
+        # in so many parts, equal single pieces count once
+        look = (times > s.parts)[no]
+        once = np.unique((no[look & ~several] << 16) | kinds[look & ~several]) >> 16
+        different = np.bincount(once, minlength=len(values))
+        different += np.bincount(no[look & several], count[look & several], len(values)).astype(np.int64)
+        frequent = (crowded | (different > s.parts * s.crowd))[no]
         shared = (times > 1)[no]
         out, at = [], 0
         for p, w in zip(prints, owners, strict=True):
             here = slice(at, at + len(p))
-            use = np.where(w >= _CROWDED, frequent[here], shared[here])
-            owner = np.minimum(w[use], _KNOWN).astype(np.uint32) | (frequent[here][use].astype(np.uint32) << np.uint32(31))
+            use = np.where(w == _KNOWN, frequent[here], shared[here])
+            owner = w[use].astype(np.uint32) | (frequent[here][use].astype(np.uint32) << np.uint32(31))
             out.append(np.stack([np.full(len(owner), bucket, np.uint32), p[use], owner], axis=1).tobytes())
             at += len(p)
         return pa.table(
@@ -223,7 +258,7 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
             return (found[:, 0].astype(np.uint64) << np.uint64(32)) | found[:, 1]
 
         frequent, owner = (told[:, 2] >> np.uint32(31)) == 1, told[:, 2] & np.uint32(_KNOWN)
-        general = owner >= _CROWDED
+        general = owner == _KNOWN
         mine = np.isin(keys(known), keys(told[general & frequent]))
         key = np.concatenate([keys(known) | np.where(mine, _FREQUENT, np.uint64(0)),
                               keys(told[~general]) | np.where(frequent[~general], _FREQUENT, np.uint64(0))])
@@ -236,7 +271,7 @@ def _shared(frame: DataFrame, s: Settings, buckets: int) -> DataFrame:
              "shared": pa.array([key[a:b].tobytes() for a, b in zip(at, end, strict=True)], pa.binary())}
         )
 
-    parts = frame.mapInArrow(send, "part long, bucket long, prints binary, owners binary, ids array<long>, rows array<long>")
+    parts = frame.mapInArrow(send, "part long, bucket long, prints binary, owners binary, kinds binary, ids array<long>, rows array<long>")
     replies = parts.groupBy("bucket").applyInArrow(compare, "part long, found binary, ids array<long>, rows array<long>")
     return replies.groupBy("part").applyInArrow(deal, "id long, row long, shared binary")
 
@@ -247,11 +282,11 @@ def _strings(data: np.ndarray, offsets: np.ndarray, shared: np.ndarray, s: Setti
     A group holds what can be equal somewhere: the strings that select one fingerprint
     lie in one piece of text; of a frequent one each string is a piece and a group.
     """
-    h, at, first, last, text = anchors(data, offsets, s)
+    sums, inverse = _prefix_sums(data)
+    h, at, first, last, text = anchors(data, offsets, s, (sums, inverse))
     bucket, short = _split_print(h, buckets)
     key = (bucket.astype(np.uint64) << np.uint64(32)) | short
     plain, often = np.isin(key, shared), np.isin(key | _FREQUENT, shared)
-    sums, inverse = _prefix_sums(data)
     count = (last - first + 1)[often]
     start = np.concatenate([first[plain], _spread(first[often], count)])
     end = np.concatenate([last[plain], _spread(first[often], count)]) + s.length
@@ -304,7 +339,7 @@ def _repeats(texts: DataFrame, s: Settings, buckets: int) -> DataFrame:
             at = 0
             while at < batch.num_rows:
                 texts, size = [], 0
-                while at + len(texts) < batch.num_rows and size < STEP_BYTES:
+                while at + len(texts) < batch.num_rows and size < _STEP:
                     texts.append(zlib.decompress(batch.column("packed")[at + len(texts)].as_py()))
                     size += len(texts[-1])
                 piece = batch.slice(at, len(texts))
@@ -445,11 +480,15 @@ def _earlier(pieces: list[tuple[int, int, bytes]], least: np.ndarray, s: Setting
 
     def sort(step: list[list[tuple[int, int, bytes]]]) -> None:
         flat = [x for group in step for x in group]
-        groups = np.repeat(np.arange(len(step)), [len(group) for group in step])
         own = least[[k for k, _, _ in flat]]
-        found = first_owners([text for _, _, text in flat], own, groups, s.length)
-        for (k, shift, _), mine, first in zip(flat, own.tolist(), found, strict=True):
-            gone = first < mine
+        # equal texts of a group are sorted once
+        number: dict[tuple[int, bytes], int] = {}
+        at = np.array([number.setdefault((no, text), len(number)) for no, group in enumerate(step) for _, _, text in group], np.int64)
+        lowest = np.full(len(number), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, at, own)
+        found = first_owners([text for _, text in number], lowest, np.array([no for no, _ in number], np.int64), s.length)
+        for (k, shift, _), mine, no in zip(flat, own.tolist(), at.tolist(), strict=True):
+            gone = found[no] < mine
             if gone.any():
                 all_of_it = before.setdefault(k, np.zeros(len(pieces[k][2]) - s.length + 1, bool))
                 all_of_it[shift : shift + len(gone)] |= gone
@@ -542,10 +581,11 @@ def drop_repeated_strings(
 
     Equal texts are found by two 64-bit hashes first: all but the one with the smallest
     id are covered in full. Documents are compared by fingerprints, about one per 17
-    bytes of text at 6 bytes each, a part of the input at a time. Only strings around
-    shared fingerprints are gathered, once per part. Groups that are suffix-sorted have
-    at most ``settings.parts * settings.crowd`` different pieces; the strings of more
-    frequent fingerprints are compared by content, each in a group of its own.
+    bytes of text at 8 bytes each, a part of the input at a time. Only strings around
+    shared fingerprints are gathered, each different piece once per part. Groups that are
+    suffix-sorted have about ``settings.parts * settings.crowd`` different pieces at most
+    (told by hashes of 15 bits); the strings of fingerprints with more are compared by
+    content, each in a group of its own.
     """
     s = settings or Settings()
     if not 8 <= s.gram <= s.length:

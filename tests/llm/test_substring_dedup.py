@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tabwright.llm.substring_dedup import Settings, anchors, drop_repeated_strings, first_owners
+from tabwright.llm.substring_dedup import Settings, _pieces_of, _shared, anchors, drop_repeated_strings, first_owners
 from tests.llm.cases import PASSAGE, TEXTS, documents, empty, messy, rows_of
 
 
@@ -84,6 +85,27 @@ def test_frequent_passages_in_changing_surroundings(spark, parts, crowd, togethe
     assert rows_of(drop_repeated_strings(messy(spark, rows), s)) == brute(rows)
 
 
+@pytest.mark.parametrize("crowd, ends", [(256, False), (4, True)])
+def test_a_passage_in_all_parts_travels_in_pieces(spark, crowd, ends):
+    """All its pieces are the same in every part but for the ends, which count as frequent when there are many."""
+    rng = random.Random(6)
+    rows = [(i, f"{rng.random()} {PASSAGE} {rng.random()}") for i in range(60)]
+    s = Settings(part_bytes=2000, part_rows=7, parts=3, crowd=crowd)
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("row", F.xxhash64("text"))
+    found = [np.frombuffer(x.shared, np.uint64) >> np.uint64(63) for x in _shared(docs, s, 4).collect()]
+    assert len(found) == 60
+    assert all((x == 0).any() and (x == 1).any() == ends for x in found)
+    frame = docs.select(F.col("id").alias("doc_id"), "text")
+    assert rows_of(drop_repeated_strings(frame, s)) == brute(rows)
+
+
+def test_different_pieces_are_counted():
+    keys = np.array([3, 3, 5, 7, 7, 7, 7], np.uint64)
+    kinds = np.array([9, 9, 4, 1, 2, 2, 8], np.uint16)
+    assert _pieces_of(keys, kinds).tolist() == [9, 4, 0x8000 + 3]
+    assert _pieces_of(keys[:0], kinds[:0]).tolist() == []
+
+
 def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     assert rows_of(drop_repeated_strings(docs)) == brute(documents(spark, sf_dir))
